@@ -14,13 +14,12 @@ from perimeter.operators.attachments import nsg_vnic_assoc, subnet_sl, vnic_data
 from perimeter.operators.skew import HotKeys, keyed_join
 
 
-def subnets_with_sl(subnets: DataFrame, rules: DataFrame, hot: HotKeys = HotKeys()) -> DataFrame:
-    """Ids of subnets, in any scope, with a security list that has one of the rules."""
+def attached_to(subnets: DataFrame, rules: DataFrame, hot: HotKeys = HotKeys()) -> DataFrame:
+    """Distinct (subnet, list) pairs, in any scope, of lists that have one of the rules."""
     policies = rules.select("securitylist_id").distinct()
-    attached = subnet_sl(subnets).distinct()
+    pairs = subnet_sl(subnets).distinct()
     splits = hot.on("subnet_sl.securitylist_id")
-    attached = keyed_join(attached, policies, "securitylist_id", "left_semi", splits)
-    return attached.select("subnet_id").distinct()
+    return keyed_join(pairs, policies, "securitylist_id", "left_semi", splits)
 
 
 def members_of(nsgvnic: DataFrame, rules: DataFrame, hot: HotKeys = HotKeys()) -> DataFrame:
@@ -30,76 +29,116 @@ def members_of(nsgvnic: DataFrame, rules: DataFrame, hot: HotKeys = HotKeys()) -
     return keyed_join(members, policies, "nsg_id", "left_semi", hot.on("nsgvnic.nsg_id"))
 
 
+def places_of(
+    vnics: DataFrame, nsgvnic: DataFrame, rules: DataFrame, hot: HotKeys = HotKeys()
+) -> DataFrame:
+    """Distinct (interface, subnet) pairs, in any scope, of the members of such groups."""
+    members = members_of(nsgvnic, rules, hot).select("vnic_id").distinct()
+    places = vnics.select("vnic_id", "subnet_id").distinct()
+    return keyed_join(places, members, "vnic_id", "left_semi", hot.on("vnics.vnic_id"))
+
+
 def vnics_in_scope(vnics: DataFrame, scope: DataFrame, hot: HotKeys = HotKeys()) -> DataFrame:
     """Distinct interfaces of the subnets in ``scope``, with the subnet's columns."""
     interfaces = vnic_data(vnics).distinct()
     return keyed_join(interfaces, scope, "subnet_id", "inner", hot.on("vnics.subnet_id"))
 
 
-def _tagged(ids: DataFrame, source: str) -> DataFrame:
-    return ids.withColumn("exposure_source", F.lit(source))
+def _tagged(ids: DataFrame, key: str, source: str) -> DataFrame:
+    return ids.select(key).distinct().withColumn("exposure_source", F.lit(source))
+
+
+def _located(vnics: DataFrame, subnet_ids: DataFrame, hot: HotKeys) -> DataFrame:
+    """Distinct (interface, subnet) pairs of the given subnets."""
+    places = vnics.select("vnic_id", "subnet_id").distinct()
+    ids = subnet_ids.select("subnet_id").distinct()
+    return keyed_join(places, ids, "subnet_id", "left_semi", hot.on("vnics.subnet_id"))
+
+
+def _subnets_by_sl(
+    scope: DataFrame, subnets: DataFrame, rules: DataFrame, hot: HotKeys
+) -> DataFrame:
+    exposed = attached_to(subnets, rules, hot).select("subnet_id").distinct()
+    return keyed_join(scope.select("subnet_id").distinct(), exposed, "subnet_id", "left_semi")
+
+
+def vnic_flags(
+    vnics: DataFrame,
+    subnets: DataFrame,
+    nsgvnic: DataFrame,
+    scope: DataFrame,
+    sl: DataFrame,
+    nsg: DataFrame,
+    hot: HotKeys = HotKeys(),
+) -> DataFrame:
+    """Exposed interfaces with a flag per source; those by group in any scope."""
+    by_sl = _located(vnics, _subnets_by_sl(scope, subnets, sl, hot), hot)
+    return _flags(by_sl, members_of(nsgvnic, nsg, hot), "vnic_id")
+
+
+def subnet_flags(
+    vnics: DataFrame,
+    subnets: DataFrame,
+    nsgvnic: DataFrame,
+    sl: DataFrame,
+    nsg: DataFrame,
+    hot: HotKeys = HotKeys(),
+) -> DataFrame:
+    """Exposed subnets in any scope with a flag per source."""
+    return _flags(attached_to(subnets, sl, hot), places_of(vnics, nsgvnic, nsg, hot), "subnet_id")
 
 
 def vnics_exposed_by_sl(
-    interfaces: DataFrame, subnets: DataFrame, rules: DataFrame, hot: HotKeys = HotKeys()
+    vnics: DataFrame,
+    subnets: DataFrame,
+    scope: DataFrame,
+    rules: DataFrame,
+    hot: HotKeys = HotKeys(),
 ) -> DataFrame:
     """Interfaces in scope whose subnet has a list with one of the rules, each once."""
-    exposed = subnets_with_sl(subnets, rules, hot)
-    splits = hot.on("vnics.subnet_id")
-    found = keyed_join(
-        interfaces.select("subnet_id", "vnic_id"), exposed, "subnet_id", "left_semi", splits
-    )
-    return _tagged(found.select("vnic_id").distinct(), K.SOURCE_SL)
+    exposed = _located(vnics, _subnets_by_sl(scope, subnets, rules, hot), hot)
+    return _tagged(exposed, "vnic_id", K.SOURCE_SL)
 
 
 def vnics_exposed_by_nsg(
-    interfaces: DataFrame, nsgvnic: DataFrame, rules: DataFrame, hot: HotKeys = HotKeys()
+    vnics: DataFrame,
+    nsgvnic: DataFrame,
+    scope: DataFrame,
+    rules: DataFrame,
+    hot: HotKeys = HotKeys(),
 ) -> DataFrame:
     """Interfaces in scope that belong to a group with one of the rules, each once."""
-    members = members_of(nsgvnic, rules, hot).select("vnic_id").distinct()
-    return _tagged(
-        keyed_join(interfaces.select("vnic_id").distinct(), members, "vnic_id", "left_semi"),
-        K.SOURCE_NSG,
-    )
+    places = places_of(vnics, nsgvnic, rules, hot)
+    ids = scope.select("subnet_id").distinct()
+    exposed = keyed_join(places, ids, "subnet_id", "left_semi", hot.on("vnics.subnet_id"))
+    return _tagged(exposed, "vnic_id", K.SOURCE_NSG)
 
 
 def subnets_exposed_by_sl(
-    scope: DataFrame, subnets: DataFrame, rules: DataFrame, hot: HotKeys = HotKeys()
+    subnets: DataFrame, scope: DataFrame, rules: DataFrame, hot: HotKeys = HotKeys()
 ) -> DataFrame:
     """Subnets in scope with a list that has one of the rules, each once."""
-    exposed = subnets_with_sl(subnets, rules, hot)
-    in_scope = scope.select("subnet_id").distinct()
-    return _tagged(keyed_join(in_scope, exposed, "subnet_id", "left_semi"), K.SOURCE_SL)
-
-
-def subnets_with_nsg(
-    vnics: DataFrame, nsgvnic: DataFrame, rules: DataFrame, hot: HotKeys = HotKeys()
-) -> DataFrame:
-    """Ids of subnets, in any scope, with an interface in a group with one of the rules."""
-    members = members_of(nsgvnic, rules, hot).select("vnic_id").distinct()
-    places = vnics.select("vnic_id", "subnet_id").distinct()
-    places = keyed_join(places, members, "vnic_id", "left_semi", hot.on("vnics.vnic_id"))
-    return places.select("subnet_id").distinct()
+    return _tagged(_subnets_by_sl(scope, subnets, rules, hot), "subnet_id", K.SOURCE_SL)
 
 
 def subnets_exposed_by_nsg(
-    scope: DataFrame,
     vnics: DataFrame,
     nsgvnic: DataFrame,
+    scope: DataFrame,
     rules: DataFrame,
     hot: HotKeys = HotKeys(),
 ) -> DataFrame:
     """Subnets in scope with an interface in a group with one of the rules, each once."""
-    exposed = subnets_with_nsg(vnics, nsgvnic, rules, hot)
+    exposed = places_of(vnics, nsgvnic, rules, hot).select("subnet_id").distinct()
     in_scope = scope.select("subnet_id").distinct()
-    return _tagged(keyed_join(in_scope, exposed, "subnet_id", "left_semi"), K.SOURCE_NSG)
-
+    return _tagged(
+        keyed_join(in_scope, exposed, "subnet_id", "left_semi"), "subnet_id", K.SOURCE_NSG
+    )
 
-def exposure_flags(by_sl: DataFrame, by_nsg: DataFrame, key: str) -> DataFrame:
-    """One row per id with a flag per source.
 
-    Grouping by the id alone leaves the rows placed for the join that follows.
-    """
+def _flags(by_sl: DataFrame, by_nsg: DataFrame, key: str) -> DataFrame:
+    # Repeated ids combine before the shuffle, and grouping by the id alone
+    # leaves the rows placed for the join that follows.
     rows = by_sl.select(key, F.lit(True).alias("_sl"), F.lit(False).alias("_nsg")).unionByName(
         by_nsg.select(key, F.lit(False).alias("_sl"), F.lit(True).alias("_nsg"))
     )

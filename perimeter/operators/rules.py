@@ -104,15 +104,27 @@ def nsg_other_rules(nsgrules: DataFrame) -> DataFrame:
     return nsg_rules(nsgrules).where(scalars.is_other(*_matching(True)))
 
 
+_CASES = (K.CASE_ALL, K.CASE_SSH, K.CASE_RDP)
+
+
+def case_flags() -> list[Column]:
+    """One aggregate per possible case: whether a policy has it.
+
+    With three cases this gives the ordered list in one aggregation that
+    combines before the shuffle, instead of a distinct and then a list.
+    """
+    return [F.bool_or(F.col("insecure_case") == case).alias(f"_case_{case}") for case in _CASES]
+
+
+def case_text() -> Column:
+    """The cases of ``case_flags`` as text, NULL when there is none."""
+    named = [F.when(F.col(f"_case_{case}"), F.lit(case)) for case in _CASES]
+    return F.nullif(F.concat_ws(K.CASE_SEPARATOR, *named), F.lit(""))
+
+
 def _case_list(rules: DataFrame, policy: str) -> DataFrame:
-    # Three possible cases: one flag each gives the ordered list in a single
-    # aggregation, combined before the shuffle, instead of distinct + list.
-    cases = (K.CASE_ALL, K.CASE_SSH, K.CASE_RDP)
-    flags = rules.groupBy(policy).agg(
-        *(F.bool_or(F.col("insecure_case") == case).alias(case) for case in cases)
-    )
-    named = [F.when(F.col(f"`{case}`"), F.lit(case)) for case in cases]
-    return flags.select(policy, F.concat_ws(K.CASE_SEPARATOR, *named).alias("cis_insecure_case"))
+    flags = rules.groupBy(policy).agg(*case_flags())
+    return flags.select(policy, case_text().alias("cis_insecure_case"))
 
 
 def sl_insecure_agg(securitylists: DataFrame) -> DataFrame:

@@ -91,12 +91,12 @@ def _with_splits(df: DataFrame, key: str, splits: DataFrame) -> DataFrame:
     return df.join(F.broadcast(splits), F.col(key) == F.col("_hot"), "left").drop("_hot")
 
 
-def _own_split(columns: list[str], splits: Column) -> Column:
-    return F.pmod(F.xxhash64(*(F.col(f"`{c}`") for c in columns)), F.coalesce(splits, F.lit(1)))
+def _spread(columns: list[str], splits: Column) -> Column:
+    return F.pmod(F.xxhash64(*(F.col(f"`{c}`") for c in columns)), splits)
 
 
-def _every_split(splits: Column) -> Column:
-    return F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce(splits, F.lit(1)) - 1))
+def _each(splits: Column) -> Column:
+    return F.explode(F.sequence(F.lit(0).cast("bigint"), splits - 1))
 
 
 def keyed_join(
@@ -112,43 +112,45 @@ def keyed_join(
     Rows of a hot left key are spread by a hash of the row and meet a copy of
     the matching right rows in every split, and the other way round. Both
     sides should hold no equal rows (see ``count_copies``), because equal rows
-    hash alike. ``left`` and ``left_anti`` also spread NULL keys, which match
-    nothing but would all land in one task. For every type but ``inner`` the
-    right side must be small per key, so only the left side is split.
+    hash alike. ``left`` also spreads NULL keys, which match nothing but would
+    all land in one task. For every type but ``inner`` the right side must be
+    small per key, so only the left side is split.
     """
     hot_left = hot_left or {}
     hot_right = (hot_right or {}) if how == "inner" else {}
-    keeps_nulls = how in ("left", "left_anti")
-    if not (hot_left or hot_right or keeps_nulls):
+    spread_nulls = how == "left"
+    if not (hot_left or hot_right or spread_nulls):
         return left.join(right, key, how)
 
     left_columns, right_columns = left.columns, right.columns
+    left_splits = right_splits = F.lit(1).cast("bigint")
     if hot_left or hot_right:
         splits = _splits_table(left, hot_left, hot_right)
         left, right = _with_splits(left, key, splits), _with_splits(right, key, splits)
-        left_splits, right_splits = F.col("_left_splits"), F.col("_right_splits")
-    else:
-        left_splits = right_splits = F.lit(1)
-
-    left_salt = _own_split(left_columns, left_splits)
-    if keeps_nulls:
-        spread = _own_split(left_columns, F.lit(NULL_SPREAD))
-        left_salt = F.when(F.col(key).isNull(), spread).otherwise(left_salt)
-    one = F.lit(0).cast("bigint")
-    columns = [F.col(f"`{c}`") for c in left_columns]
-    left = left.select(
-        *columns,
-        left_salt.alias("_salt_left"),
-        (_every_split(right_splits) if hot_right else one).alias("_salt_right"),
-    )
-    columns = [F.col(f"`{c}`") for c in right_columns]
-    right = right.select(
-        *columns,
-        (_every_split(left_splits) if hot_left else one).alias("_salt_left"),
-        (_own_split(right_columns, right_splits) if hot_right else one).alias("_salt_right"),
+        left_splits = F.coalesce("_left_splits", left_splits)
+        right_splits = F.coalesce("_right_splits", right_splits)
+
+    left_salts, right_salts = {}, {}
+    if hot_left or spread_nulls:
+        own = _spread(left_columns, left_splits) if hot_left else F.lit(0).cast("bigint")
+        if spread_nulls:
+            nulls = _spread(left_columns, F.lit(NULL_SPREAD).cast("bigint"))
+            own = F.when(F.col(key).isNull(), nulls).otherwise(own)
+        left_salts["_left_salt"] = own
+        right_salts["_left_salt"] = _each(left_splits) if hot_left else F.lit(0).cast("bigint")
+    if hot_right:
+        left_salts["_right_salt"] = _each(right_splits)
+        right_salts["_right_salt"] = _spread(right_columns, right_splits)
+
+    left = _salted(left, left_columns, left_salts)
+    right = _salted(right, right_columns, right_salts)
+    return left.join(right, [key, *left_salts], how).drop(*left_salts)
+
+
+def _salted(df: DataFrame, columns: list[str], salts: Mapping[str, Column]) -> DataFrame:
+    return df.select(
+        *(F.col(f"`{c}`") for c in columns), *(salt.alias(name) for name, salt in salts.items())
     )
-    joined = left.join(right, [key, "_salt_left", "_salt_right"], how)
-    return joined.drop("_salt_left", "_salt_right")
 
 
 def count_copies(rows: DataFrame, copies: str = "copies") -> DataFrame:

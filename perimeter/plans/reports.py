@@ -13,18 +13,15 @@ from pyspark.sql import functions as F
 from perimeter import constants as K
 from perimeter.operators.attachments import (
     nsg_details,
+    nsg_vnic_assoc,
     sl_details,
     subnet_sl,
-    used_nsgs,
-    used_securitylists,
 )
 from perimeter.operators.exposure import (
-    exposure_flags,
     exposure_sources,
     members_of,
-    subnets_with_nsg,
-    subnets_with_sl,
-    vnics_exposed_by_sl,
+    subnet_flags,
+    vnic_flags,
     vnics_in_scope,
 )
 from perimeter.operators.lookup import (
@@ -34,11 +31,11 @@ from perimeter.operators.lookup import (
     vnic_target_by_ip,
 )
 from perimeter.operators.rules import (
+    case_flags,
+    case_text,
     labelled,
-    nsg_insecure_agg,
     nsg_insecure_rules,
     nsg_other_rules,
-    sl_insecure_agg,
     sl_insecure_rules,
     sl_other_rules,
 )
@@ -157,12 +154,11 @@ def _exposed_vnics(
     inventory: Inventory, scope: str, sl: DataFrame, nsg: DataFrame, ordered: bool
 ) -> DataFrame:
     hot = inventory.hot
-    interfaces = vnics_in_scope(inventory.vnics, _scope(inventory, scope, SUBNET), hot)
-    flags = exposure_flags(
-        vnics_exposed_by_sl(interfaces, inventory.subnets, sl, hot),
-        members_of(inventory.nsgvnic, nsg, hot),
-        "vnic_id",
+    subnets = _scope(inventory, scope, SUBNET)
+    flags = vnic_flags(
+        inventory.vnics, inventory.subnets, inventory.nsgvnic, subnets, sl, nsg, hot
     )
+    interfaces = vnics_in_scope(inventory.vnics, subnets, hot)
     found = keyed_join(interfaces, flags, "vnic_id", "inner", hot.on("vnics.vnic_id"))
     return _sorted(
         found.select(*_ON_VNIC, exposure_sources()), ordered, "vnic_id", "exposure_source"
@@ -173,14 +169,9 @@ def _exposed_subnets(
     inventory: Inventory, scope: str, sl: DataFrame, nsg: DataFrame, ordered: bool
 ) -> DataFrame:
     hot = inventory.hot
-    flags = exposure_flags(
-        subnets_with_sl(inventory.subnets, sl, hot),
-        subnets_with_nsg(inventory.vnics, inventory.nsgvnic, nsg, hot),
-        "subnet_id",
-    )
-    found = keyed_join(
-        _scope(inventory, scope, SUBNET), flags, "subnet_id", "inner", hot.on("subnets.subnet_id")
-    )
+    flags = subnet_flags(inventory.vnics, inventory.subnets, inventory.nsgvnic, sl, nsg, hot)
+    subnets = _scope(inventory, scope, SUBNET)
+    found = keyed_join(subnets, flags, "subnet_id", "inner", hot.on("subnets.subnet_id"))
     return _sorted(
         found.select(*SUBNET, exposure_sources()), ordered, "subnet_id", "exposure_source"
     )
@@ -257,30 +248,33 @@ def service_summary(inventory: Inventory, scope: str, ordered: bool = True) -> D
 
 
 def _unused(
-    details: DataFrame, used: DataFrame, cases: DataFrame, policy: str, splits, columns, ordered
+    details: DataFrame, attached: DataFrame, rules: DataFrame, policy: str, splits, columns, ordered
 ) -> DataFrame:
-    unused = keyed_join(count_copies(details), used, policy, "left_anti", splits)
-    described = keyed_join(unused, cases, policy, "left", splits).fillna(
-        K.CASE_NONE, ["cis_insecure_case"]
-    )
-    described = described.select(
+    # Attachments and rules say two things about a policy, so they are folded
+    # into one row per policy and met in one join.
+    marks = attached.select(
+        policy, F.lit(True).alias("_used"), F.lit(None).cast("string").alias("insecure_case")
+    ).unionByName(rules.select(policy, F.lit(False).alias("_used"), "insecure_case"))
+    marks = marks.groupBy(policy).agg(F.bool_or("_used").alias("_used"), *case_flags())
+    marked = keyed_join(count_copies(details), marks, policy, "left", splits)
+    unused = marked.where(~F.coalesce("_used", F.lit(False))).select(
         *columns,
         "vcn_id",
         "compartment_id",
         "lifecycle_state",
         "time_created",
-        "cis_insecure_case",
+        F.coalesce(case_text(), F.lit(K.CASE_NONE)).alias("cis_insecure_case"),
         "copies",
     )
-    return expand_copies(described, "copies", _by(*columns) if ordered else None)
+    return expand_copies(unused, "copies", _by(*columns) if ordered else None)
 
 
 def unused_sl(inventory: Inventory, ordered: bool = True) -> DataFrame:
     """Security lists attached to no subnet, with their insecure cases."""
     return _unused(
         sl_details(inventory.securitylists),
-        used_securitylists(inventory.subnets),
-        sl_insecure_agg(inventory.securitylists),
+        subnet_sl(inventory.subnets),
+        sl_insecure_rules(inventory.securitylists),
         "securitylist_id",
         inventory.hot.on("securitylists.securitylist_id"),
         ("securitylist_name", "securitylist_id"),
@@ -292,8 +286,8 @@ def unused_nsg(inventory: Inventory, ordered: bool = True) -> DataFrame:
     """Groups attached to no interface, with their insecure cases."""
     return _unused(
         nsg_details(inventory.nsgdata),
-        used_nsgs(inventory.nsgvnic),
-        nsg_insecure_agg(inventory.nsgrules),
+        nsg_vnic_assoc(inventory.nsgvnic),
+        nsg_insecure_rules(inventory.nsgrules),
         "nsg_id",
         inventory.hot.on("nsgdata.nsg_id"),
         ("nsg_name", "nsg_id"),

@@ -66,15 +66,12 @@ def _exposed(block: str, name: str, kind: str) -> Query:
     def build(i) -> DataFrame:
         sl, nsg = _kinds(i, kind)
         subnets = _subnets(i, name)
-        if block == "vnics_exposed_by_sl":
-            interfaces = exposure.vnics_in_scope(i.vnics, subnets, i.hot)
-            return exposure.vnics_exposed_by_sl(interfaces, i.subnets, sl, i.hot)
-        if block == "vnics_exposed_by_nsg":
-            interfaces = exposure.vnics_in_scope(i.vnics, subnets, i.hot)
-            return exposure.vnics_exposed_by_nsg(interfaces, i.nsgvnic, nsg, i.hot)
+        by_sl = block.endswith("_by_sl")
+        operator = getattr(exposure, block)
         if block == "subnets_exposed_by_sl":
-            return exposure.subnets_exposed_by_sl(subnets, i.subnets, sl, i.hot)
-        return exposure.subnets_exposed_by_nsg(subnets, i.vnics, i.nsgvnic, nsg, i.hot)
+            return operator(i.subnets, subnets, sl, i.hot)
+        attached = i.subnets if by_sl else i.nsgvnic
+        return operator(i.vnics, attached, subnets, sl if by_sl else nsg, i.hot)
 
     return _on(build)
 
@@ -280,3 +277,8 @@ def _sources() -> dict[str, Query]:
 def queries() -> dict[str, Query]:
     """Every registered query by name."""
     return {**_reports(), **_blocks(), **_sources()}
+
+
+def report_keys() -> list[str]:
+    """Names of the user-level reports."""
+    return list(_reports())
