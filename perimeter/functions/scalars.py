@@ -1,4 +1,8 @@
-"""Scalar semantics shared by every operator."""
+"""Scalar semantics shared by every operator.
+
+Arguments are column names or SQL expressions; each function gives one SQL
+expression, so a report is built with few calls into the JVM.
+"""
 
 from __future__ import annotations
 
@@ -7,96 +11,104 @@ from pyspark.sql import functions as F
 
 from perimeter import constants as K
 
+_TCP = f"= '{K.PROTOCOL_TCP}'"
+_UDP = f"= '{K.PROTOCOL_UDP}'"
+_ALL = f"= '{K.PROTOCOL_ALL}'"
+
 
-def text(value: Column, max_bytes: int) -> Column:
+def text(value: str, max_bytes: int) -> str:
     """Document text as a value: empty text and text over ``max_bytes`` are NULL."""
-    return F.when((value != "") & (F.octet_length(value) <= max_bytes), value)
+    return f"CASE WHEN {value} <> '' AND octet_length({value}) <= {max_bytes} THEN {value} END"
 
 
-def port(value: Column) -> Column:
+def port(value: str) -> str:
     """Port number from text; ``22``, ``22.0`` and ``"22"`` agree, anything else is NULL."""
-    return value.try_cast("decimal(38,10)").try_cast("bigint")
+    return f"try_cast(try_cast({value} AS DECIMAL(38, 10)) AS BIGINT)"
+
 
+def _open(source: str, direction: str | None) -> str:
+    to_any = f"{source} = '{K.ANY_SOURCE}'"
+    return f"({to_any} AND {direction} = '{K.INGRESS}')" if direction else f"({to_any})"
 
-def _open_to_any(source: Column, direction: Column | None) -> Column:
-    is_open = source == K.ANY_SOURCE
-    return is_open if direction is None else is_open & (direction == K.INGRESS)
 
+def _every_port(protocol: str, has_tcp: str) -> str:
+    return f"({protocol} {_ALL} OR ({protocol} {_TCP} AND NOT {has_tcp}))"
 
-def _every_port(protocol: Column, has_tcp: Column) -> Column:
-    return (protocol == K.PROTOCOL_ALL) | ((protocol == K.PROTOCOL_TCP) & ~has_tcp)
 
+def _covers(number: int, low: str, high: str) -> str:
+    return f"({low} IS NOT NULL AND {high} IS NOT NULL AND {number} BETWEEN {low} AND {high})"
 
-def _covers(number: int, low: Column, high: Column) -> Column:
-    return low.isNotNull() & high.isNotNull() & F.lit(number).between(low, high)
+
+def is_open(source: str = "source", direction: str | None = None) -> Column:
+    """True for (ingress) rules open to any address."""
+    return F.expr(_open(source, direction))
 
 
 def insecure_case(
-    source: Column,
-    protocol: Column,
-    has_tcp: Column,
-    low: Column,
-    high: Column,
-    direction: Column | None = None,
+    source: str = "source",
+    protocol: str = "protocol",
+    has_tcp: str = "has_tcp",
+    low: str = "tcp_port_min",
+    high: str = "tcp_port_max",
+    direction: str | None = None,
 ) -> Column:
     """``ALL``, ``22`` or ``3389`` for an over-permissive open rule, else NULL."""
-    is_open = _open_to_any(source, direction)
-    tcp = protocol == K.PROTOCOL_TCP
-    return (
-        F.when(is_open & _every_port(protocol, has_tcp), K.CASE_ALL)
-        .when(is_open & tcp & _covers(K.SSH_PORT, low, high), K.CASE_SSH)
-        .when(is_open & tcp & _covers(K.RDP_PORT, low, high), K.CASE_RDP)
+    return F.expr(
+        f"""CASE WHEN {_open(source, direction)} THEN
+              CASE WHEN {_every_port(protocol, has_tcp)} THEN '{K.CASE_ALL}'
+                   WHEN {protocol} {_TCP} AND {_covers(K.SSH_PORT, low, high)} THEN '{K.CASE_SSH}'
+                   WHEN {protocol} {_TCP} AND {_covers(K.RDP_PORT, low, high)} THEN '{K.CASE_RDP}'
+              END END"""
     )
 
 
 def is_other(
-    source: Column,
-    protocol: Column,
-    has_tcp: Column,
-    low: Column,
-    high: Column,
-    direction: Column | None = None,
+    source: str = "source",
+    protocol: str = "protocol",
+    has_tcp: str = "has_tcp",
+    low: str = "tcp_port_min",
+    high: str = "tcp_port_max",
+    direction: str | None = None,
 ) -> Column:
     """True for open rules that are not insecure.
 
     Three-valued on purpose: a missing protocol makes the condition NULL, so
     the rule counts neither as insecure nor as other.
     """
-    exposed_admin = _covers(K.SSH_PORT, low, high) | _covers(K.RDP_PORT, low, high)
-    insecure = _every_port(protocol, has_tcp) | ((protocol == K.PROTOCOL_TCP) & exposed_admin)
-    return _open_to_any(source, direction) & ~insecure
+    admin = f"({_covers(K.SSH_PORT, low, high)} OR {_covers(K.RDP_PORT, low, high)})"
+    insecure = f"({_every_port(protocol, has_tcp)} OR ({protocol} {_TCP} AND {admin}))"
+    return F.expr(f"{_open(source, direction)} AND NOT {insecure}")
 
 
-def is_open(source: Column, direction: Column | None = None) -> Column:
-    """True for (ingress) rules open to any address."""
-    return _open_to_any(source, direction)
-
-
-def protocol_label(protocol: Column, upper_all: bool = False) -> Column:
+def protocol_label(protocol: str = "protocol", upper_all: bool = False) -> Column:
     """``TCP`` and ``UDP`` for their numbers, other protocols unchanged."""
-    label = F.when(protocol == K.PROTOCOL_TCP, "TCP").when(protocol == K.PROTOCOL_UDP, "UDP")
-    if upper_all:
-        label = label.when(protocol == K.PROTOCOL_ALL, "ALL")
-    return label.otherwise(protocol)
+    upper = f"WHEN {protocol} {_ALL} THEN 'ALL'" if upper_all else ""
+    return F.expr(
+        f"CASE WHEN {protocol} {_TCP} THEN 'TCP' WHEN {protocol} {_UDP} THEN 'UDP' {upper} "
+        f"ELSE {protocol} END"
+    )
 
 
-def _range_label(low: Column, high: Column) -> Column:
-    return (
-        F.when(low.isNull() | high.isNull(), K.ALL_PORTS)
-        .when(low == high, low.cast("string"))
-        .otherwise(F.concat_ws("-", low.cast("string"), high.cast("string")))
-    )
+def _range_label(low: str, high: str) -> str:
+    return f"""CASE WHEN {low} IS NULL OR {high} IS NULL THEN '{K.ALL_PORTS}'
+                    WHEN {low} = {high} THEN CAST({low} AS STRING)
+                    ELSE concat_ws('-', CAST({low} AS STRING), CAST({high} AS STRING)) END"""
 
 
 def service_label(
-    protocol: Column, tcp_low: Column, tcp_high: Column, udp_low: Column, udp_high: Column
+    protocol: str = "protocol",
+    tcp_low: str = "tcp_port_min",
+    tcp_high: str = "tcp_port_max",
+    udp_low: str = "udp_port_min",
+    udp_high: str = "udp_port_max",
 ) -> Column:
     """Port or port range of a rule: UDP ports for UDP, TCP ports for all else."""
-    return F.when(protocol == K.PROTOCOL_UDP, _range_label(udp_low, udp_high)).otherwise(
-        _range_label(tcp_low, tcp_high)
+    return F.expr(
+        f"""CASE WHEN {protocol} {_UDP} THEN {_range_label(udp_low, udp_high)}
+                 ELSE {_range_label(tcp_low, tcp_high)} END"""
     )
 
 
-def vcn_name(domain: Column, pattern: str = K.VCN_NAME_PATTERN) -> Column:
+def vcn_name(domain: str = "domain_name", pattern: str = K.VCN_NAME_PATTERN) -> Column:
     """First group of ``pattern`` in a subnet's domain name, NULL without a match."""
     return F.nullif(F.regexp_extract(domain, pattern, 1), F.lit(""))

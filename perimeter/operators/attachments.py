@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from perimeter.functions import scalars
 from perimeter.constants import VCN_NAME_PATTERN
+from perimeter.functions import scalars
 
 _VNIC = ("vnic_id", "vnic_name", "subnet_id", "private_ip", "public_ip")
 _DESCRIPTION = ("compartment_id", "lifecycle_state", "time_created", "vcn_id")
@@ -14,7 +13,7 @@ _DESCRIPTION = ("compartment_id", "lifecycle_state", "time_created", "vcn_id")
 
 def subnet_sl(subnets: DataFrame) -> DataFrame:
     """(subnet, security list) pairs, copies kept."""
-    return subnets.select("subnet_id", F.explode("securitylist_ids").alias("securitylist_id"))
+    return subnets.selectExpr("subnet_id", "explode(securitylist_ids) AS securitylist_id")
 
 
 def used_securitylists(subnets: DataFrame) -> DataFrame:
@@ -58,5 +57,5 @@ def subnet_details(subnets: DataFrame, pattern: str = VCN_NAME_PATTERN) -> DataF
         "subnet_id",
         "subnet_name",
         "vcn_id",
-        scalars.vcn_name(F.col("domain_name"), pattern).alias("vcn_name"),
+        scalars.vcn_name("domain_name", pattern).alias("vcn_name"),
     )

@@ -11,31 +11,29 @@ from pyspark.sql import functions as F
 
 from perimeter import constants as K
 from perimeter.operators.attachments import nsg_vnic_assoc, subnet_sl, vnic_data
-from perimeter.operators.skew import HotKeys, keyed_join
+from perimeter.operators.skew import HotKeys, keyed_join, semi_join
 
 
 def attached_to(subnets: DataFrame, rules: DataFrame, hot: HotKeys = HotKeys()) -> DataFrame:
-    """Distinct (subnet, list) pairs, in any scope, of lists that have one of the rules."""
+    """(subnet, list) pairs, in any scope, of lists that have one of the rules."""
     policies = rules.select("securitylist_id").distinct()
-    pairs = subnet_sl(subnets).distinct()
     splits = hot.on("subnet_sl.securitylist_id")
-    return keyed_join(pairs, policies, "securitylist_id", "left_semi", splits)
+    return semi_join(subnet_sl(subnets), policies, "securitylist_id", splits)
 
 
 def members_of(nsgvnic: DataFrame, rules: DataFrame, hot: HotKeys = HotKeys()) -> DataFrame:
-    """Distinct (group, interface) pairs of groups that have one of the rules."""
+    """(group, interface) pairs of groups that have one of the rules."""
     policies = rules.select("nsg_id").distinct()
-    members = nsg_vnic_assoc(nsgvnic).distinct()
-    return keyed_join(members, policies, "nsg_id", "left_semi", hot.on("nsgvnic.nsg_id"))
+    return semi_join(nsg_vnic_assoc(nsgvnic), policies, "nsg_id", hot.on("nsgvnic.nsg_id"))
 
 
 def places_of(
     vnics: DataFrame, nsgvnic: DataFrame, rules: DataFrame, hot: HotKeys = HotKeys()
 ) -> DataFrame:
-    """Distinct (interface, subnet) pairs, in any scope, of the members of such groups."""
+    """(interface, subnet) pairs, in any scope, of the members of such groups."""
     members = members_of(nsgvnic, rules, hot).select("vnic_id").distinct()
-    places = vnics.select("vnic_id", "subnet_id").distinct()
-    return keyed_join(places, members, "vnic_id", "left_semi", hot.on("vnics.vnic_id"))
+    places = vnics.select("vnic_id", "subnet_id")
+    return semi_join(places, members, "vnic_id", hot.on("vnics.vnic_id"))
 
 
 def vnics_in_scope(vnics: DataFrame, scope: DataFrame, hot: HotKeys = HotKeys()) -> DataFrame:
@@ -49,17 +47,17 @@ def _tagged(ids: DataFrame, key: str, source: str) -> DataFrame:
 
 
 def _located(vnics: DataFrame, subnet_ids: DataFrame, hot: HotKeys) -> DataFrame:
-    """Distinct (interface, subnet) pairs of the given subnets."""
-    places = vnics.select("vnic_id", "subnet_id").distinct()
+    """(interface, subnet) pairs of the given subnets."""
+    places = vnics.select("vnic_id", "subnet_id")
     ids = subnet_ids.select("subnet_id").distinct()
-    return keyed_join(places, ids, "subnet_id", "left_semi", hot.on("vnics.subnet_id"))
+    return semi_join(places, ids, "subnet_id", hot.on("vnics.subnet_id"))
 
 
 def _subnets_by_sl(
     scope: DataFrame, subnets: DataFrame, rules: DataFrame, hot: HotKeys
 ) -> DataFrame:
     exposed = attached_to(subnets, rules, hot).select("subnet_id").distinct()
-    return keyed_join(scope.select("subnet_id").distinct(), exposed, "subnet_id", "left_semi")
+    return semi_join(scope.select("subnet_id"), exposed, "subnet_id", hot.on("subnets.subnet_id"))
 
 
 def vnic_flags(
@@ -110,7 +108,7 @@ def vnics_exposed_by_nsg(
     """Interfaces in scope that belong to a group with one of the rules, each once."""
     places = places_of(vnics, nsgvnic, rules, hot)
     ids = scope.select("subnet_id").distinct()
-    exposed = keyed_join(places, ids, "subnet_id", "left_semi", hot.on("vnics.subnet_id"))
+    exposed = semi_join(places, ids, "subnet_id", hot.on("vnics.subnet_id"))
     return _tagged(exposed, "vnic_id", K.SOURCE_NSG)
 
 
@@ -130,10 +128,9 @@ def subnets_exposed_by_nsg(
 ) -> DataFrame:
     """Subnets in scope with an interface in a group with one of the rules, each once."""
     exposed = places_of(vnics, nsgvnic, rules, hot).select("subnet_id").distinct()
-    in_scope = scope.select("subnet_id").distinct()
-    return _tagged(
-        keyed_join(in_scope, exposed, "subnet_id", "left_semi"), "subnet_id", K.SOURCE_NSG
-    )
+    in_scope = scope.select("subnet_id")
+    found = semi_join(in_scope, exposed, "subnet_id", hot.on("subnets.subnet_id"))
+    return _tagged(found, "subnet_id", K.SOURCE_NSG)
 
 
 def _flags(by_sl: DataFrame, by_nsg: DataFrame, key: str) -> DataFrame:

@@ -20,7 +20,7 @@ from perimeter.operators.attachments import (
     subnet_sl,
     vnic_data,
 )
-from perimeter.operators.rules import nsg_rules, service, sl_rules
+from perimeter.operators.rules import nsg_rules, sl_rules
 from perimeter.operators.skew import HotKeys, Salts, count_copies, expand_copies, keyed_join
 from perimeter.sources.inventory import Inventory
 
@@ -104,8 +104,8 @@ def _effective(rows: DataFrame, source: str, policy_name: str, policy: str, rule
         F.col(policy).alias("policy_id"),
         rule.alias("rule_id"),
         F.col("source").alias("source_cidr"),
-        scalars.protocol_label(F.col("protocol"), upper_all=True).alias("protocol"),
-        service().alias("destination_service_port"),
+        scalars.protocol_label(upper_all=True).alias("protocol"),
+        scalars.service_label().alias("destination_service_port"),
         F.col("copies"),
     )
 

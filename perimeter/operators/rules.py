@@ -18,65 +18,41 @@ RULE_FIELDS = (
     "udp_port_max",
 )
 
-_MATCH = ("source", "protocol", "has_tcp", "tcp_port_min", "tcp_port_max")
-
-
-def _matching(direction: bool) -> list[Column]:
-    return [F.col(c) for c in (*_MATCH, *(["direction"] if direction else []))]
-
-
-def service() -> Column:
-    """Service label of a rule row."""
-    return scalars.service_label(
-        *(
-            F.col(c)
-            for c in ("protocol", "tcp_port_min", "tcp_port_max", "udp_port_min", "udp_port_max")
-        )
-    )
-
-
 def labelled(rules: DataFrame) -> DataFrame:
     """Rules with ports replaced by ``service`` and the protocol by its label."""
     ports = [c for c in RULE_FIELDS if c.endswith(("_min", "_max"))]
     return rules.withColumns(
-        {"service": service(), "protocol": scalars.protocol_label(F.col("protocol"))}
+        {"service": scalars.service_label(), "protocol": scalars.protocol_label()}
     ).drop("source", "has_tcp", *ports)
 
 
 def sl_rules(securitylists: DataFrame) -> DataFrame:
     """One row per ingress rule; ``rule_no`` is its place in the document, from 1."""
-    return securitylists.select(
-        "securitylist_id",
-        "securitylist_name",
-        F.posexplode("ingress_rules").alias("_pos", "_rule"),
-    ).select(
-        "securitylist_id",
-        "securitylist_name",
-        (F.col("_pos") + 1).cast("bigint").alias("rule_no"),
-        *(F.col(f"_rule.{f}").alias(f) for f in RULE_FIELDS),
+    return securitylists.selectExpr(
+        "securitylist_id", "securitylist_name", "posexplode(ingress_rules) AS (_pos, _rule)"
+    ).selectExpr(
+        "securitylist_id", "securitylist_name", "CAST(_pos + 1 AS BIGINT) AS rule_no", "_rule.*"
     )
 
 
 def sl_open_rules(securitylists: DataFrame) -> DataFrame:
     """Ingress rules open to any address."""
-    return sl_rules(securitylists).where(scalars.is_open(F.col("source")))
+    return sl_rules(securitylists).where(scalars.is_open())
 
 
 def sl_rule_cases(securitylists: DataFrame) -> DataFrame:
     """Every ingress rule with its ``insecure_case``, NULL when it has none."""
-    return sl_rules(securitylists).withColumn(
-        "insecure_case", scalars.insecure_case(*_matching(False))
-    )
+    return sl_rules(securitylists).withColumn("insecure_case", scalars.insecure_case())
 
 
 def sl_insecure_rules(securitylists: DataFrame) -> DataFrame:
     """Over-permissive open rules with their case."""
-    return sl_rule_cases(securitylists).where(F.col("insecure_case").isNotNull())
+    return sl_rule_cases(securitylists).where("insecure_case IS NOT NULL")
 
 
 def sl_other_rules(securitylists: DataFrame) -> DataFrame:
     """Open rules that are not insecure."""
-    return sl_rules(securitylists).where(scalars.is_other(*_matching(False)))
+    return sl_rules(securitylists).where(scalars.is_other())
 
 
 def nsg_rules(nsgrules: DataFrame) -> DataFrame:
@@ -86,22 +62,23 @@ def nsg_rules(nsgrules: DataFrame) -> DataFrame:
 
 def nsg_open_rules(nsgrules: DataFrame) -> DataFrame:
     """Group ingress rules open to any address."""
-    return nsg_rules(nsgrules).where(scalars.is_open(F.col("source"), F.col("direction")))
+    return nsg_rules(nsgrules).where(scalars.is_open(direction="direction"))
 
 
 def nsg_rule_cases(nsgrules: DataFrame) -> DataFrame:
     """Every group rule with its ``insecure_case``, NULL when it has none."""
-    return nsg_rules(nsgrules).withColumn("insecure_case", scalars.insecure_case(*_matching(True)))
+    case = scalars.insecure_case(direction="direction")
+    return nsg_rules(nsgrules).withColumn("insecure_case", case)
 
 
 def nsg_insecure_rules(nsgrules: DataFrame) -> DataFrame:
     """Over-permissive open group rules with their case."""
-    return nsg_rule_cases(nsgrules).where(F.col("insecure_case").isNotNull())
+    return nsg_rule_cases(nsgrules).where("insecure_case IS NOT NULL")
 
 
 def nsg_other_rules(nsgrules: DataFrame) -> DataFrame:
     """Open group ingress rules that are not insecure."""
-    return nsg_rules(nsgrules).where(scalars.is_other(*_matching(True)))
+    return nsg_rules(nsgrules).where(scalars.is_other(direction="direction"))
 
 
 _CASES = (K.CASE_ALL, K.CASE_SSH, K.CASE_RDP)

@@ -147,6 +147,17 @@ def keyed_join(
     return left.join(right, [key, *left_salts], how).drop(*left_salts)
 
 
+def semi_join(
+    left: DataFrame, right: DataFrame, key: str, hot_left: Salts | None = None
+) -> DataFrame:
+    """Rows of ``left``, taken as a set, whose key is in ``right``.
+
+    Only where keys are hot are equal rows combined first, so that what is
+    left of a hot key can be split; the caller must not count the result.
+    """
+    return keyed_join(left.distinct() if hot_left else left, right, key, "left_semi", hot_left)
+
+
 def _salted(df: DataFrame, columns: list[str], salts: Mapping[str, Column]) -> DataFrame:
     return df.select(
         *(F.col(f"`{c}`") for c in columns), *(salt.alias(name) for name, salt in salts.items())

@@ -77,7 +77,7 @@ def _nsg_rules_in_scope(inventory: Inventory, scope: str, rules: DataFrame) -> D
     rules = rules.distinct()
     interfaces = vnics_in_scope(inventory.vnics, _scope(inventory, scope, SUBNET), hot)
     members = keyed_join(
-        interfaces, members_of(inventory.nsgvnic, rules, hot), "vnic_id", "inner",
+        interfaces, members_of(inventory.nsgvnic, rules, hot).distinct(), "vnic_id", "inner",
         hot.on("vnics.vnic_id"), hot.on("nsgvnic.vnic_id"),
     )
     return keyed_join(

@@ -6,144 +6,97 @@ tables, so parquet statistics, column pruning and filter pushdown apply.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from perimeter import constants as K
 from perimeter.functions.scalars import port, text
 
-
-def _detail(name: str) -> Column:
-    return F.col(f"additional_details.{name}")
+_DETAILS = "additional_details"
+
+
+def _first_of(max_bytes: int, *names: str) -> str:
+    return f"coalesce({', '.join(text(name, max_bytes) for name in names)})"
+
+
+_DESCRIBED = {
+    "compartment_id": text("compartment_id", K.MAX_ID),
+    "lifecycle_state": text("lifecycle_state", K.MAX_STATE),
+    "time_created": text("time_created", K.MAX_TIME),
+    "vcn_id": text(f"{_DETAILS}.vcnId", K.MAX_ID),
+}
 
 
-def _first_of(max_bytes: int, *names: str) -> Column:
-    return F.coalesce(*(text(F.col(f"`{n}`"), max_bytes) for n in names))
-
-
-def _described() -> list[Column]:
-    return [
-        text(F.col("compartment_id"), K.MAX_ID).alias("compartment_id"),
-        text(F.col("lifecycle_state"), K.MAX_STATE).alias("lifecycle_state"),
-        text(F.col("time_created"), K.MAX_TIME).alias("time_created"),
-        text(_detail("vcnId"), K.MAX_ID).alias("vcn_id"),
-    ]
-
-
-def _rule_ports(tcp: Column, udp: Column, range_field: str) -> list[Column]:
-    tcp_range, udp_range = tcp[range_field], udp[range_field]
-    return [
-        tcp.isNotNull().alias("has_tcp"),
-        port(tcp_range["min"]).alias("tcp_port_min"),
-        port(tcp_range["max"]).alias("tcp_port_max"),
-        port(udp_range["min"]).alias("udp_port_min"),
-        port(udp_range["max"]).alias("udp_port_max"),
-    ]
-
-
-def _ingress_rule(rule: Column) -> Column:
-    return F.struct(
-        text(rule["source"], K.MAX_ADDRESS).alias("source"),
-        text(rule["protocol"], K.MAX_PROTOCOL).alias("protocol"),
-        *_rule_ports(rule["tcpOptions"], rule["udpOptions"], "destinationPortRange"),
-    )
-
-
-def _routes() -> list[Column]:
-    return [
-        text(F.col("identifier"), K.MAX_ID).alias("route_table_id"),
-        F.transform(
-            _detail("routeRules"), lambda r: text(r["networkEntityId"], K.MAX_ENTITY_ID)
-        ).alias("entity_ids"),
-    ]
-
-
-def _subnets() -> list[Column]:
-    return [
-        text(F.col("identifier"), K.MAX_ID).alias("subnet_id"),
-        text(F.col("display_name"), K.MAX_NAME).alias("subnet_name"),
-        text(_detail("routeTableId"), K.MAX_ID).alias("route_table_id"),
-        text(_detail("prohibitPublicIpOnVnic"), K.MAX_FLAG).alias("prohibit_public_ip_on_vnic"),
-        F.transform(_detail("securityListIds"), lambda i: text(i, K.MAX_ID)).alias(
-            "securitylist_ids"
-        ),
-        text(_detail("vcnId"), K.MAX_ID).alias("vcn_id"),
-        text(_detail("subnetDomainName"), K.MAX_DOMAIN).alias("domain_name"),
-    ]
-
-
-def _securitylists() -> list[Column]:
-    return [
-        text(F.col("identifier"), K.MAX_ID).alias("securitylist_id"),
-        text(F.col("display_name"), K.MAX_NAME).alias("securitylist_name"),
-        *_described(),
-        F.transform(_detail("ingressSecurityRules"), _ingress_rule).alias("ingress_rules"),
-    ]
-
-
-def _vnics() -> list[Column]:
-    return [
-        text(F.col("identifier"), K.MAX_ID).alias("vnic_id"),
-        text(F.col("display_name"), K.MAX_NAME).alias("vnic_name"),
-        text(_detail("subnetId"), K.MAX_ID).alias("subnet_id"),
-        text(_detail("privateIp"), K.MAX_ADDRESS).alias("private_ip"),
-        text(_detail("publicIp"), K.MAX_ADDRESS).alias("public_ip"),
-    ]
-
-
-def _nsgdata() -> list[Column]:
-    return [
-        _first_of(K.MAX_ID, "identifier", "id").alias("nsg_id"),
-        text(F.col("display_name"), K.MAX_NAME).alias("nsg_name"),
-        *_described(),
-    ]
-
-
-def _nsgrules() -> list[Column]:
-    return [
-        text(F.col("`nsg-id`"), K.MAX_ID).alias("nsg_id"),
-        text(F.col("id"), K.MAX_RULE_ID).alias("rule_id"),
-        text(F.col("direction"), K.MAX_DIRECTION).alias("direction"),
-        text(F.col("source"), K.MAX_ADDRESS).alias("source"),
-        text(F.col("protocol"), K.MAX_PROTOCOL).alias("protocol"),
-        *_rule_ports(F.col("tcp_options"), F.col("udp_options"), "destination_port_range"),
-    ]
-
-
-def _nsgvnic() -> list[Column]:
-    return [
-        text(F.col("`nsg-id`"), K.MAX_ID).alias("nsg_id"),
-        text(F.col("vnic_id"), K.MAX_ID).alias("vnic_id"),
-    ]
-
-
-def _privateips() -> list[Column]:
-    return [
-        _first_of(K.MAX_ID, "id", "identifier").alias("private_ip_id"),
-        _first_of(K.MAX_ID, "vnic_id", "vnic-id", "vnicId").alias("vnic_id"),
-        _first_of(K.MAX_ADDRESS, "ip_address", "ipAddress").alias("ip_address"),
-    ]
-
-
-def _publicips() -> list[Column]:
-    return [
-        _first_of(K.MAX_ADDRESS, "ip_address", "ipAddress").alias("ip_address"),
-        _first_of(K.MAX_ID, "private_ip_id", "privateIpId").alias("private_ip_id"),
-    ]
-
-
-_PROJECTIONS: dict[str, Callable[[], list[Column]]] = {
-    "routes": _routes,
-    "subnets": _subnets,
-    "securitylists": _securitylists,
-    "vnics": _vnics,
-    "nsgdata": _nsgdata,
-    "nsgrules": _nsgrules,
-    "nsgvnic": _nsgvnic,
-    "privateips": _privateips,
-    "publicips": _publicips,
+def _rule_fields(rule: str, tcp: str, udp: str, port_range: str) -> dict[str, str]:
+    return {
+        "source": text(f"{rule}source", K.MAX_ADDRESS),
+        "protocol": text(f"{rule}protocol", K.MAX_PROTOCOL),
+        "has_tcp": f"{rule}{tcp} IS NOT NULL",
+        "tcp_port_min": port(f"{rule}{tcp}.{port_range}.min"),
+        "tcp_port_max": port(f"{rule}{tcp}.{port_range}.max"),
+        "udp_port_min": port(f"{rule}{udp}.{port_range}.min"),
+        "udp_port_max": port(f"{rule}{udp}.{port_range}.max"),
+    }
+
+
+def _struct(fields: dict[str, str]) -> str:
+    return f"named_struct({', '.join(f"'{name}', {value}" for name, value in fields.items())})"
+
+
+_INGRESS_RULE = _struct(_rule_fields("r.", "tcpOptions", "udpOptions", "destinationPortRange"))
+
+# Column and the expression over a document that gives it, per collection.
+_PROJECTIONS: dict[str, dict[str, str]] = {
+    "routes": {
+        "route_table_id": text("identifier", K.MAX_ID),
+        "entity_ids": f"transform({_DETAILS}.routeRules, "
+        f"r -> {text('r.networkEntityId', K.MAX_ENTITY_ID)})",
+    },
+    "subnets": {
+        "subnet_id": text("identifier", K.MAX_ID),
+        "subnet_name": text("display_name", K.MAX_NAME),
+        "route_table_id": text(f"{_DETAILS}.routeTableId", K.MAX_ID),
+        "prohibit_public_ip_on_vnic": text(f"{_DETAILS}.prohibitPublicIpOnVnic", K.MAX_FLAG),
+        "securitylist_ids": f"transform({_DETAILS}.securityListIds, i -> {text('i', K.MAX_ID)})",
+        "vcn_id": text(f"{_DETAILS}.vcnId", K.MAX_ID),
+        "domain_name": text(f"{_DETAILS}.subnetDomainName", K.MAX_DOMAIN),
+    },
+    "securitylists": {
+        "securitylist_id": text("identifier", K.MAX_ID),
+        "securitylist_name": text("display_name", K.MAX_NAME),
+        **_DESCRIBED,
+        "ingress_rules": f"transform({_DETAILS}.ingressSecurityRules, r -> {_INGRESS_RULE})",
+    },
+    "vnics": {
+        "vnic_id": text("identifier", K.MAX_ID),
+        "vnic_name": text("display_name", K.MAX_NAME),
+        "subnet_id": text(f"{_DETAILS}.subnetId", K.MAX_ID),
+        "private_ip": text(f"{_DETAILS}.privateIp", K.MAX_ADDRESS),
+        "public_ip": text(f"{_DETAILS}.publicIp", K.MAX_ADDRESS),
+    },
+    "nsgdata": {
+        "nsg_id": _first_of(K.MAX_ID, "identifier", "id"),
+        "nsg_name": text("display_name", K.MAX_NAME),
+        **_DESCRIBED,
+    },
+    "nsgrules": {
+        "nsg_id": text("`nsg-id`", K.MAX_ID),
+        "rule_id": text("id", K.MAX_RULE_ID),
+        "direction": text("direction", K.MAX_DIRECTION),
+        **_rule_fields("", "tcp_options", "udp_options", "destination_port_range"),
+    },
+    "nsgvnic": {
+        "nsg_id": text("`nsg-id`", K.MAX_ID),
+        "vnic_id": text("vnic_id", K.MAX_ID),
+    },
+    "privateips": {
+        "private_ip_id": _first_of(K.MAX_ID, "id", "identifier"),
+        "vnic_id": _first_of(K.MAX_ID, "vnic_id", "`vnic-id`", "vnicId"),
+        "ip_address": _first_of(K.MAX_ADDRESS, "ip_address", "ipAddress"),
+    },
+    "publicips": {
+        "ip_address": _first_of(K.MAX_ADDRESS, "ip_address", "ipAddress"),
+        "private_ip_id": _first_of(K.MAX_ID, "private_ip_id", "privateIpId"),
+    },
 }
 
 # The column that names a row of each typed table; stored tables are sorted by it.
@@ -162,5 +115,6 @@ SORT_COLUMN = {
 
 def typed(collection: str, documents: DataFrame) -> DataFrame:
     """Typed table of ``collection``; keeps one row per document."""
-    region = [F.col("region")] if "region" in documents.columns else []
-    return documents.select(*_PROJECTIONS[collection](), *region)
+    columns = [f"{value} AS {name}" for name, value in _PROJECTIONS[collection].items()]
+    region = ["region"] if "region" in documents.columns else []
+    return documents.selectExpr(*columns, *region)

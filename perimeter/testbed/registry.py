@@ -95,9 +95,9 @@ def _labels(i) -> DataFrame:
     both = rules.nsg_rules(i.nsgrules).select("rule_id", *rules.RULE_FIELDS)
     return both.select(
         "rule_id",
-        scalars.protocol_label(F.col("protocol")).alias("protocol_label"),
-        scalars.protocol_label(F.col("protocol"), upper_all=True).alias("protocol_label_upper"),
-        rules.service().alias("service_label"),
+        scalars.protocol_label().alias("protocol_label"),
+        scalars.protocol_label(upper_all=True).alias("protocol_label_upper"),
+        scalars.service_label().alias("service_label"),
     )
 
 
