@@ -12,7 +12,7 @@ from perimeter import constants as K
 from perimeter.operators.skew import MIN_SHARE, ROWS_PER_TASK, HotKeys, measure_hot_keys
 from perimeter.sources.documents import REGION_COLUMN, load_collections
 from perimeter.sources.regions import consolidate_regions
-from perimeter.sources.tables import SORT_COLUMN, typed
+from perimeter.sources.tables import SORT_COLUMN, table_schema, typed
 
 
 @dataclass(frozen=True)
@@ -55,21 +55,24 @@ class Inventory:
     @classmethod
     def open(cls, spark: SparkSession, path: str) -> Inventory:
         """Tables written by ``store``."""
-        return cls(**{name: spark.read.parquet(f"{path}/{name}") for name in K.COLLECTIONS})
+
+        def read(name: str) -> DataFrame:
+            return spark.read.schema(table_schema(spark, name)).parquet(f"{path}/{name}")
+
+        return cls(**{name: read(name) for name in K.COLLECTIONS})
 
     def tables(self) -> dict[str, DataFrame]:
         return {name: getattr(self, name) for name in K.COLLECTIONS}
 
     def store(self, path: str, mode: str = "errorifexists") -> None:
-        """Write typed parquet, partitioned by region where it is known.
+        """Write typed parquet, partitioned by region.
 
         No shuffle: each task writes what it read, sorted by the column that
         lookups filter on, so row groups can be skipped by their statistics.
         """
         for name, table in self.tables().items():
-            by_region = [REGION_COLUMN] if REGION_COLUMN in table.columns else []
-            writer = table.sortWithinPartitions(*by_region, SORT_COLUMN[name]).write.mode(mode)
-            writer.partitionBy(*by_region).parquet(f"{path}/{name}")
+            rows = table.sortWithinPartitions(REGION_COLUMN, SORT_COLUMN[name])
+            rows.write.mode(mode).partitionBy(REGION_COLUMN).parquet(f"{path}/{name}")
 
     def profiled(
         self, rows_per_task: int = ROWS_PER_TASK, min_share: float = MIN_SHARE

@@ -6,10 +6,12 @@ tables, so parquet statistics, column pruning and filter pushdown apply.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from perimeter import constants as K
 from perimeter.functions.scalars import port, text
+from perimeter.schemas import document_schema
 
 _DETAILS = "additional_details"
 
@@ -116,5 +118,10 @@ SORT_COLUMN = {
 def typed(collection: str, documents: DataFrame) -> DataFrame:
     """Typed table of ``collection``; keeps one row per document."""
     columns = [f"{value} AS {name}" for name, value in _PROJECTIONS[collection].items()]
-    region = ["region"] if "region" in documents.columns else []
-    return documents.selectExpr(*columns, *region)
+    region = "region" if "region" in documents.columns else "CAST(NULL AS STRING) AS region"
+    return documents.selectExpr(*columns, region)
+
+
+def table_schema(spark: SparkSession, collection: str) -> T.StructType:
+    """Schema of the typed table, for reading it back."""
+    return typed(collection, spark.createDataFrame([], document_schema(collection))).schema
