@@ -37,6 +37,7 @@ CASE_ALL = "ALL"
 CASE_SSH = "22"
 CASE_RDP = "3389"
 CASE_NONE = "NONE"
+FLAG_INSECURE = "INSECURE"
 CASE_SEPARATOR = ", "
 ALL_PORTS = "ALL_PORTS"
 SOURCE_SL = "SECURITY_LIST"

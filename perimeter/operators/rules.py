@@ -76,6 +76,12 @@ def nsg_insecure_rules(nsgrules: DataFrame) -> DataFrame:
     return nsg_rule_cases(nsgrules).where("insecure_case IS NOT NULL")
 
 
+def nsg_insecure_flags(nsgrules: DataFrame) -> DataFrame:
+    """Distinct (group, ``INSECURE`` or NULL): what the group's rules amount to."""
+    flag = F.when(F.col("insecure_case").isNotNull(), K.FLAG_INSECURE).alias("insecure_flag")
+    return nsg_rule_cases(nsgrules).select("nsg_id", flag).distinct()
+
+
 def nsg_other_rules(nsgrules: DataFrame) -> DataFrame:
     """Open group ingress rules that are not insecure."""
     return nsg_rules(nsgrules).where(scalars.is_other(direction="direction"))

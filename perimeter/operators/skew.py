@@ -14,7 +14,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass, field
-from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -44,24 +43,16 @@ class HotKeys:
 
 
 def measure_hot_keys(
-    weights: Mapping[str, DataFrame],
-    rows_per_task: int = ROWS_PER_TASK,
-    min_share: float = MIN_SHARE,
+    weighted: DataFrame, rows_per_task: int = ROWS_PER_TASK, min_share: float = MIN_SHARE
 ) -> HotKeys:
-    """Hot keys of several columns in one job.
+    """Hot keys of several columns in one job over ``(column, key, weight)`` rows.
 
-    ``weights`` maps a column name to rows ``(key, weight)``. Weights are
-    combined before the shuffle, and at most ``1 / min_share`` keys per column
-    reach the driver.
+    Weights are combined before the shuffle, and at most ``1 / min_share`` keys
+    per column reach the driver.
     """
-    rows = reduce(
-        DataFrame.unionByName,
-        (
-            df.where(F.col("key").isNotNull()).select(F.lit(name).alias("column"), "key", "weight")
-            for name, df in weights.items()
-        ),
+    per_key = (
+        weighted.where("key IS NOT NULL").groupBy("column", "key").agg(F.sum("weight").alias("weight"))
     )
-    per_key = rows.groupBy("column", "key").agg(F.sum("weight").alias("weight"))
     totals = per_key.groupBy("column").agg(F.sum("weight").alias("total"))
     hot = per_key.where(F.col("weight") > rows_per_task).join(
         F.broadcast(totals), "column"  # one row per measured column

@@ -27,9 +27,11 @@ def _expected(spark: SparkSession, regions: Iterable[str]) -> DataFrame:
     )
 
 
-def _line_counts(spark: SparkSession, directory: str, tenancy: str) -> DataFrame:
+def _line_counts(
+    spark: SparkSession, directory: str, tenancy: str, regions: list[str]
+) -> DataFrame:
     flags = [
-        regional_lines(spark, directory, name, tenancy).select(
+        regional_lines(spark, directory, name, tenancy, regions).select(
             REGION_COLUMN, F.lit(name).alias("collection"), is_unreadable(name).alias("unreadable")
         )
         for name in K.COLLECTIONS
@@ -47,7 +49,8 @@ def _line_counts(spark: SparkSession, directory: str, tenancy: str) -> DataFrame
 def _counted(
     spark: SparkSession, directory: str, tenancy: str, regions: Iterable[str]
 ) -> DataFrame:
-    found = _line_counts(spark, directory, tenancy)
+    regions = list(regions)
+    found = _line_counts(spark, directory, tenancy, regions)
     return _expected(spark, regions).join(found, [REGION_COLUMN, "collection"], "left").fillna(
         0, ["documents", "unreadable_lines"]
     )

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field, replace
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from perimeter import constants as K
 from perimeter.operators.skew import MIN_SHARE, ROWS_PER_TASK, HotKeys, measure_hot_keys
@@ -15,6 +15,34 @@ from perimeter.sources.regions import consolidate_regions
 from perimeter.sources.tables import SORT_COLUMN, table_schema, typed
 
 
+def _weight(column: str, key: str, rows: str = "1") -> str:
+    weight = f"CAST({rows} AS BIGINT)"
+    return f"named_struct('column', '{column}', 'key', {key}, 'weight', {weight})"
+
+
+def _weights(table: str, *keys: str) -> str:
+    return ", ".join(_weight(f"{table}.{key}", key) for key in keys)
+
+
+# Per table, the join keys of a row and how many rows each brings to a join.
+_JOIN_KEYS = {
+    "subnets": f"""concat(
+        array({_weights("subnets", "route_table_id", "subnet_id")},
+          {_weight("subnet_sl.subnet_id", "subnet_id",
+                   "coalesce(array_size(securitylist_ids), 0)")}),
+        transform(coalesce(securitylist_ids, array()),
+          i -> {_weight("subnet_sl.securitylist_id", "i")}))""",
+    "securitylists": f"""array({_weights("securitylists", "securitylist_id")},
+        {_weight("sl_rules.securitylist_id", "securitylist_id",
+                 "coalesce(array_size(ingress_rules), 0)")})""",
+    "vnics": f"array({_weights('vnics', 'vnic_id', 'subnet_id')})",
+    "nsgdata": f"array({_weights('nsgdata', 'nsg_id')})",
+    "nsgvnic": f"array({_weights('nsgvnic', 'nsg_id', 'vnic_id')})",
+    "nsgrules": f"array({_weights('nsgrules', 'nsg_id')})",
+    "privateips": f"array({_weights('privateips', 'private_ip_id')})",
+}
+
+
 @dataclass(frozen=True)
 class Inventory:
     """Typed tables plus the hot keys measured on them (none until ``profiled``)."""
@@ -77,38 +105,9 @@ class Inventory:
     def profiled(
         self, rows_per_task: int = ROWS_PER_TASK, min_share: float = MIN_SHARE
     ) -> Inventory:
-        """The same tables with their hot join keys measured, in one narrow pass."""
-
-        def weights(table: DataFrame, key: str, weight: Column | int = 1) -> DataFrame:
-            value = F.lit(weight) if isinstance(weight, int) else weight
-            return table.select(F.col(key).alias("key"), value.cast("bigint").alias("weight"))
-
-        def length(array: str) -> Column:
-            return F.coalesce(F.array_size(array), F.lit(0))
-
-        attached = self.subnets.select(F.explode("securitylist_ids").alias("securitylist_id"))
-        hot = measure_hot_keys(
-            {
-                "subnets.route_table_id": weights(self.subnets, "route_table_id"),
-                "subnets.subnet_id": weights(self.subnets, "subnet_id"),
-                "subnet_sl.subnet_id": weights(
-                    self.subnets, "subnet_id", length("securitylist_ids")
-                ),
-                "subnet_sl.securitylist_id": weights(attached, "securitylist_id"),
-                "securitylists.securitylist_id": weights(self.securitylists, "securitylist_id"),
-                "sl_rules.securitylist_id": weights(
-                    self.securitylists, "securitylist_id", length("ingress_rules")
-                ),
-                "vnics.vnic_id": weights(self.vnics, "vnic_id"),
-                "vnics.subnet_id": weights(self.vnics, "subnet_id"),
-                "nsgdata.nsg_id": weights(self.nsgdata, "nsg_id"),
-                "nsgvnic.nsg_id": weights(self.nsgvnic, "nsg_id"),
-                "nsgvnic.vnic_id": weights(self.nsgvnic, "vnic_id"),
-                "nsgrules.nsg_id": weights(self.nsgrules, "nsg_id"),
-                "privateips.private_ip_id": weights(self.privateips, "private_ip_id"),
-                "publicips.private_ip_id": weights(self.publicips, "private_ip_id"),
-            },
-            rows_per_task,
-            min_share,
+        """The same tables with their hot join keys measured, reading each table once."""
+        weighted = reduce(
+            DataFrame.unionByName,
+            (getattr(self, name).selectExpr(f"inline({w})") for name, w in _JOIN_KEYS.items()),
         )
-        return replace(self, hot=hot)
+        return replace(self, hot=measure_hot_keys(weighted, rows_per_task, min_share))

@@ -35,8 +35,13 @@ def select_regions(
     return documents.where(region != skip) if skip else documents
 
 
-def _export_glob(directory: str, collection: str, tenancy: str) -> str:
-    return f"{directory}/*{collection}-{tenancy}-*.jsonl"
+def _export_glob(
+    directory: str, collection: str, tenancy: str, include: str | Iterable[str] = ()
+) -> str:
+    """Files of one collection; only those of the included regions are even listed."""
+    names = include_list(include) if isinstance(include, str) else list(include)
+    region = "{" + ",".join(names) + "}" if names else "*"
+    return f"{directory}/*{collection}-{tenancy}-{region}.jsonl"
 
 
 def _region_of(path, collection: str, tenancy: str):
@@ -45,10 +50,15 @@ def _region_of(path, collection: str, tenancy: str):
 
 
 def regional_lines(
-    spark: SparkSession, directory: str, collection: str, tenancy: str
+    spark: SparkSession,
+    directory: str,
+    collection: str,
+    tenancy: str,
+    include: str | Iterable[str] = (),
 ) -> DataFrame:
-    """All lines of one collection with the region taken from the file name."""
-    lines = read_lines(spark, collection, _export_glob(directory, collection, tenancy), "_file")
+    """Lines of one collection with the region taken from the file name."""
+    glob = _export_glob(directory, collection, tenancy, include)
+    lines = read_lines(spark, collection, glob, "_file")
     region = _region_of(F.col("_file"), collection, tenancy)
     return lines.withColumn(REGION_COLUMN, region).drop("_file")
 
@@ -63,7 +73,7 @@ def consolidate_regions(
     """The nine collections over all selected regions, each row with its region."""
     return {
         name: select_regions(
-            readable(name, regional_lines(spark, directory, name, tenancy)), include, skip
+            readable(name, regional_lines(spark, directory, name, tenancy, include)), include, skip
         )
         for name in K.COLLECTIONS
     }
@@ -80,7 +90,7 @@ def consolidate_lines(
     """Copy the selected regions' lines verbatim into ``<target>/<collection>.jsonl``."""
     for name in K.COLLECTIONS:
         try:
-            lines = spark.read.text(_export_glob(directory, name, tenancy))
+            lines = spark.read.text(_export_glob(directory, name, tenancy, include))
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise

@@ -316,6 +316,10 @@ _SELECTS: dict[str, str] = {
     "nsg_insecure_cases": "SELECT nsg_id, rule_id, insecure_case FROM nsg_rule",
     "nsg_insecure_ids": "SELECT DISTINCT nsg_id FROM nsg_insecure",
     "nsg_other_rules": f"SELECT {_NSG_RULE} FROM nsg_other",
+    "sl_other_ids": "SELECT DISTINCT securitylist_id FROM sl_other",
+    "nsg_other_ids": "SELECT DISTINCT nsg_id FROM nsg_other",
+    "nsg_insecure_flags": """SELECT DISTINCT nsg_id,
+        CASE WHEN insecure_case IS NOT NULL THEN 'INSECURE' END AS insecure_flag FROM nsg_rule""",
     "rule_labels": f"""SELECT rule_id, {_LABEL} AS protocol_label,
         {_LABEL_UPPER} AS protocol_label_upper, {_SERVICE} AS service_label FROM nsg_rule""",
     "nsg_vnic_assoc": "SELECT nsg_id, vnic_id FROM member",
@@ -359,6 +363,9 @@ _SELECTS: dict[str, str] = {
 }
 
 
+_SELECTS["write_report"] = _SELECTS["priv_other_subnets"]
+
+
 def _with_relations(select: str) -> str:
     """``select`` preceded by the relations it needs, in order."""
     needed: set[str] = set()

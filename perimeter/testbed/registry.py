@@ -12,7 +12,7 @@ from perimeter.functions import scalars
 from perimeter.operators import attachments, exposure, lookup, rules, scope, services
 from perimeter.operators.skew import expand_copies
 from perimeter.plans import reports
-from perimeter.sources import audit, children, documents, regions
+from perimeter.sources import audit, children, documents, downloads, regions
 from perimeter.testbed.workspace import (
     FAILED_REGION,
     LOOKUP_PRIVATE_IP,
@@ -127,6 +127,13 @@ def _blocks() -> dict[str, Query]:
             lambda i: rules.nsg_insecure_rules(i.nsgrules).select("nsg_id").distinct()
         ),
         "nsg_other_rules": _on(lambda i: rules.nsg_other_rules(i.nsgrules)),
+        "sl_other_ids": _on(
+            lambda i: rules.sl_other_rules(i.securitylists).select("securitylist_id").distinct()
+        ),
+        "nsg_other_ids": _on(
+            lambda i: rules.nsg_other_rules(i.nsgrules).select("nsg_id").distinct()
+        ),
+        "nsg_insecure_flags": _on(lambda i: rules.nsg_insecure_flags(i.nsgrules)),
         "rule_labels": _on(_labels),
         "nsg_vnic_assoc": _on(lambda i: attachments.nsg_vnic_assoc(i.nsgvnic)),
         "vnic_data": _on(lambda i: attachments.vnic_data(i.vnics)),
@@ -247,6 +254,14 @@ def _written(w: Workspace) -> DataFrame:
     )
 
 
+def _downloaded(w: Workspace) -> DataFrame:
+    """A report saved as CSV and read back."""
+    path = w.new_path()
+    report = reports.other_subnets(w.inventory, scope.PRIVATE)
+    downloads.write_report(report, path, "csv")
+    return w.spark.read.schema(report.schema).csv(path, header=True, escape='"')
+
+
 def _sources() -> dict[str, Query]:
     expected = (*REGIONS, MISSING_REGION)
     return {
@@ -271,6 +286,7 @@ def _sources() -> dict[str, Query]:
             lambda w: audit.load_audit(w.spark, w.export_dir, TENANCY, expected, [FAILED_REGION])
         ),
         "write_jsonl": _query(_written),
+        "write_report": _query(_downloaded),
     }
 
 

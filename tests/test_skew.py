@@ -81,15 +81,16 @@ def test_hot_rows_are_spread(spark, sides):
 def test_measured_keys(spark, sides):
     left, right = sides
 
-    def weighted(df):
-        return df.selectExpr("key", "CAST(1 AS BIGINT) AS weight")
+    def weighted(name, df):
+        return df.selectExpr(f"'{name}' AS column", "key", "CAST(1 AS BIGINT) AS weight")
 
-    hot = measure_hot_keys({"l": weighted(left), "r": weighted(right)}, 100, 0.2)
+    both = weighted("l", left).unionByName(weighted("r", right))
+    hot = measure_hot_keys(both, 100, 0.2)
     assert hot.on("l") == {"hot": 10}
     assert hot.on("r") == {}
     assert hot.on("unknown") == {}
     # the share bounds how many keys there can be
-    many = measure_hot_keys({"l": weighted(left)}, rows_per_task=1, min_share=0.02)
+    many = measure_hot_keys(both, rows_per_task=1, min_share=0.02)
     assert len(many.on("l")) <= 50
 
 
