@@ -117,6 +117,23 @@ def _times(rows: DataFrame, *factors: str) -> DataFrame:
     return rows.withColumn("copies", product).drop(*(f for f in factors if f != "copies"))
 
 
+def _fetch_policies(
+    lists: DataFrame, members: DataFrame, limit: int
+) -> tuple[list[str] | None, list[str] | None]:
+    """Ids of the lists and groups that apply, or None for both when over ``limit``."""
+    both = lists.select(F.lit(K.SOURCE_SL).alias("source"), F.col("securitylist_id").alias("id"))
+    both = both.unionByName(
+        members.select(F.lit(K.SOURCE_NSG).alias("source"), F.col("nsg_id").alias("id"))
+    )
+    found = both.where("id IS NOT NULL").distinct().take(limit + 1)
+    if len(found) > limit:
+        return None, None
+    return (
+        [row.id for row in found if row.source == K.SOURCE_SL],
+        [row.id for row in found if row.source == K.SOURCE_NSG],
+    )
+
+
 def effective_rules(
     inventory: Inventory, target: DataFrame, limit: int = MAX_FILTER_IDS
 ) -> DataFrame:
@@ -126,8 +143,8 @@ def effective_rules(
     carry copies as counts and the rows are only repeated at the very end.
     """
     hot = inventory.hot
-    target = count_copies(target, "n_target")
     keys = target.select("vnic_id", "subnet_id").distinct().take(limit + 1)
+    target = count_copies(target, "n_target")
     known = len(keys) <= limit
     vnic_ids = sorted({k.vnic_id for k in keys if k.vnic_id}) if known else None
     subnet_ids = sorted({k.subnet_id for k in keys if k.subnet_id}) if known else None
@@ -145,7 +162,9 @@ def effective_rules(
 
     lists = count_copies(subnet_sl(subnets), "n_list")
     lists = narrow(lists, "subnet_id", target, subnet_ids, hot.on("subnet_sl.subnet_id"))
-    list_ids = fetch_ids(lists, "securitylist_id", limit)
+    members = count_copies(nsg_vnic_assoc(inventory.nsgvnic), "n_member")
+    members = narrow(members, "vnic_id", target, vnic_ids, hot.on("nsgvnic.vnic_id"))
+    list_ids, nsg_ids = _fetch_policies(lists, members, limit) if known else (None, None)
     rules = count_copies(sl_rules(inventory.securitylists), "n_rule")
     rules = narrow(
         rules, "securitylist_id", lists, list_ids, hot.on("sl_rules.securitylist_id")
@@ -163,9 +182,6 @@ def effective_rules(
         K.SOURCE_SL, "securitylist_name", "securitylist_id", F.col("rule_no").cast("string"),
     )
 
-    members = count_copies(nsg_vnic_assoc(inventory.nsgvnic), "n_member")
-    members = narrow(members, "vnic_id", target, vnic_ids, hot.on("nsgvnic.vnic_id"))
-    nsg_ids = fetch_ids(members, "nsg_id", limit)
     group_rules = nsg_rules(inventory.nsgrules).where(F.col("direction") == K.INGRESS)
     group_rules = count_copies(group_rules, "n_rule")
     group_rules = narrow(group_rules, "nsg_id", members, nsg_ids, hot.on("nsgrules.nsg_id"))

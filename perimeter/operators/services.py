@@ -43,7 +43,9 @@ def _counted_services(
 ) -> DataFrame:
     """Rule and attachment counts meet per policy; pairs are multiplied, not listed."""
     per_policy = (
-        labelled(rules).groupBy(policy, "protocol", "service").agg(F.count(F.lit(1)).alias("n_rules"))
+        labelled(rules)
+        .groupBy(policy, "protocol", "service")
+        .agg(F.count(F.lit(1)).alias("n_rules"))
     )
     return keyed_join(per_policy, attachments, policy, "inner", splits).select(
         F.lit(source).alias("exposure_source"),

@@ -51,7 +51,9 @@ def measure_hot_keys(
     per column reach the driver.
     """
     per_key = (
-        weighted.where("key IS NOT NULL").groupBy("column", "key").agg(F.sum("weight").alias("weight"))
+        weighted.where("key IS NOT NULL")
+        .groupBy("column", "key")
+        .agg(F.sum("weight").alias("weight"))
     )
     totals = per_key.groupBy("column").agg(F.sum("weight").alias("total"))
     hot = per_key.where(F.col("weight") > rows_per_task).join(
@@ -175,11 +177,8 @@ def expand_copies(
     """
     columns = [F.col(f"`{c}`") for c in rows.columns if c != copies]
     total = F.col(copies) if isinstance(copies, str) else copies
-    chunks = rows.select(
-        *columns,
-        total.alias("_copies"),
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((total - 1) / chunk))).alias("_chunk"),
-    )
+    numbers = F.sequence(F.lit(0).cast("bigint"), F.floor((total - 1) / chunk))
+    chunks = rows.select(*columns, total.alias("_copies"), F.explode(numbers).alias("_chunk"))
     if order:
         chunks = chunks.orderBy(*order, F.col("_chunk").asc())
     in_chunk = F.least(F.lit(chunk).cast("bigint"), F.col("_copies") - F.col("_chunk") * chunk)

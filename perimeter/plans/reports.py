@@ -49,8 +49,14 @@ def _by(*names: str) -> list:
     return [F.col(n).asc_nulls_last() for n in names]
 
 
+def _order(rows: DataFrame, *names: str) -> list:
+    # The other columns break ties: the order is then the same in every run,
+    # and rows that share the named columns can still go to several tasks.
+    return _by(*names, *(c for c in rows.columns if c not in (*names, "copies")))
+
+
 def _sorted(rows: DataFrame, ordered: bool, *names: str) -> DataFrame:
-    return rows.orderBy(*_by(*names)) if ordered else rows
+    return rows.orderBy(*_order(rows, *names)) if ordered else rows
 
 
 def _scope(inventory: Inventory, scope: str, columns: tuple[str, ...]) -> DataFrame:
@@ -266,7 +272,7 @@ def _unused(
         F.coalesce(case_text(), F.lit(K.CASE_NONE)).alias("cis_insecure_case"),
         "copies",
     )
-    return expand_copies(unused, "copies", _by(*columns) if ordered else None)
+    return expand_copies(unused, "copies", _order(unused, *columns) if ordered else None)
 
 
 def unused_sl(inventory: Inventory, ordered: bool = True) -> DataFrame:
@@ -299,8 +305,8 @@ def unused_nsg(inventory: Inventory, ordered: bool = True) -> DataFrame:
 
 
 def _lookup(inventory: Inventory, target: DataFrame, ordered: bool, limit: int) -> DataFrame:
-    order = _by("rule_source", "policy_name", "rule_id")
     rules = effective_rules(inventory, target, limit)
+    order = _order(rules, "rule_source", "policy_name", "rule_id")
     return expand_copies(rules, "copies", order if ordered else None)
 
 

@@ -16,7 +16,9 @@ _SNAKE_PORTS = f"struct<destination_port_range:{_RANGE}>"
 _INGRESS_RULE = (
     f"struct<source:string,protocol:string,tcpOptions:{_CAMEL_PORTS},udpOptions:{_CAMEL_PORTS}>"
 )
-_DESCRIBED = "display_name string, compartment_id string, lifecycle_state string, time_created string"
+_DESCRIBED = (
+    "display_name string, compartment_id string, lifecycle_state string, time_created string"
+)
 
 _DDL = {
     "routes": """

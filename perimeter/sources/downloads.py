@@ -11,7 +11,9 @@ _OPTIONS = {
 }
 
 
-def write_report(report: DataFrame, path: str, fmt: str = "csv", mode: str = "errorifexists") -> None:
+def write_report(
+    report: DataFrame, path: str, fmt: str = "csv", mode: str = "errorifexists"
+) -> None:
     """Write ``report`` as ``csv`` (with header), ``json`` or ``parquet``.
 
     A sorted report stays sorted over the numbered part files.

@@ -229,9 +229,7 @@ def _nsgrules(t: Tables) -> DataFrame:
             F.struct(
                 _id("nsg-", F.col("l_partkey")).alias("nsg-id"),
                 region.alias("region"),
-                F.concat_ws(
-                    "-", F.lit("rule"), F.col("l_orderkey").cast("string"), F.col("rn").cast("string")
-                ).alias("id"),
+                F.expr("concat('rule-', l_orderkey, '-', rn)").alias("id"),
                 F.when(F.col("l_discount") < 0.02, "EGRESS")
                 .otherwise("INGRESS")
                 .alias("direction"),
