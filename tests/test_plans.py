@@ -42,6 +42,13 @@ def test_reports_shuffle_when_nothing_is_small(large, inventory, name, scope):
         assert unwanted not in text
 
 
+@pytest.mark.parametrize("report", [reports.unused_sl, reports.unused_nsg])
+def test_cleanup_meets_each_policy_once(large, inventory, report):
+    text = plan(report(inventory))
+    assert text.count("SortMergeJoin") == 1
+    assert "Broadcast" not in text
+
+
 @pytest.mark.parametrize("name", ["insecure_vnics", "insecure_subnets", "other_vnics"])
 def test_exposure_uses_semi_joins(large, inventory, name):
     text = plan(reports.SCOPED_REPORTS[name](inventory, "public"))
