@@ -11,20 +11,20 @@ from pyspark.sql import functions as F
 
 from perimeter import constants as K
 from perimeter.operators.attachments import nsg_vnic_assoc, subnet_sl, vnic_data
-from perimeter.operators.skew import HotKeys, keyed_join, semi_join
+from perimeter.operators.skew import HotKeys, keyed_join, set_join
 
 
 def attached_to(subnets: DataFrame, rules: DataFrame, hot: HotKeys = HotKeys()) -> DataFrame:
     """(subnet, list) pairs, in any scope, of lists that have one of the rules."""
     policies = rules.select("securitylist_id").distinct()
     splits = hot.on("subnet_sl.securitylist_id")
-    return semi_join(subnet_sl(subnets), policies, "securitylist_id", splits)
+    return set_join(subnet_sl(subnets), policies, "securitylist_id", hot_left=splits)
 
 
 def members_of(nsgvnic: DataFrame, rules: DataFrame, hot: HotKeys = HotKeys()) -> DataFrame:
     """(group, interface) pairs of groups that have one of the rules."""
     policies = rules.select("nsg_id").distinct()
-    return semi_join(nsg_vnic_assoc(nsgvnic), policies, "nsg_id", hot.on("nsgvnic.nsg_id"))
+    return set_join(nsg_vnic_assoc(nsgvnic), policies, "nsg_id", hot_left=hot.on("nsgvnic.nsg_id"))
 
 
 def places_of(
@@ -33,7 +33,7 @@ def places_of(
     """(interface, subnet) pairs, in any scope, of the members of such groups."""
     members = members_of(nsgvnic, rules, hot).select("vnic_id").distinct()
     places = vnics.select("vnic_id", "subnet_id")
-    return semi_join(places, members, "vnic_id", hot.on("vnics.vnic_id"))
+    return set_join(places, members, "vnic_id", hot_left=hot.on("vnics.vnic_id"))
 
 
 def vnics_in_scope(vnics: DataFrame, scope: DataFrame, hot: HotKeys = HotKeys()) -> DataFrame:
@@ -50,14 +50,15 @@ def _located(vnics: DataFrame, subnet_ids: DataFrame, hot: HotKeys) -> DataFrame
     """(interface, subnet) pairs of the given subnets."""
     places = vnics.select("vnic_id", "subnet_id")
     ids = subnet_ids.select("subnet_id").distinct()
-    return semi_join(places, ids, "subnet_id", hot.on("vnics.subnet_id"))
+    return set_join(places, ids, "subnet_id", hot_left=hot.on("vnics.subnet_id"))
 
 
 def _subnets_by_sl(
     scope: DataFrame, subnets: DataFrame, rules: DataFrame, hot: HotKeys
 ) -> DataFrame:
     exposed = attached_to(subnets, rules, hot).select("subnet_id").distinct()
-    return semi_join(scope.select("subnet_id"), exposed, "subnet_id", hot.on("subnets.subnet_id"))
+    in_scope = scope.select("subnet_id")
+    return set_join(in_scope, exposed, "subnet_id", hot_left=hot.on("subnets.subnet_id"))
 
 
 def vnic_flags(
@@ -108,7 +109,7 @@ def vnics_exposed_by_nsg(
     """Interfaces in scope that belong to a group with one of the rules, each once."""
     places = places_of(vnics, nsgvnic, rules, hot)
     ids = scope.select("subnet_id").distinct()
-    exposed = semi_join(places, ids, "subnet_id", hot.on("vnics.subnet_id"))
+    exposed = set_join(places, ids, "subnet_id", hot_left=hot.on("vnics.subnet_id"))
     return _tagged(exposed, "vnic_id", K.SOURCE_NSG)
 
 
@@ -129,7 +130,7 @@ def subnets_exposed_by_nsg(
     """Subnets in scope with an interface in a group with one of the rules, each once."""
     exposed = places_of(vnics, nsgvnic, rules, hot).select("subnet_id").distinct()
     in_scope = scope.select("subnet_id")
-    found = semi_join(in_scope, exposed, "subnet_id", hot.on("subnets.subnet_id"))
+    found = set_join(in_scope, exposed, "subnet_id", hot_left=hot.on("subnets.subnet_id"))
     return _tagged(found, "subnet_id", K.SOURCE_NSG)
 
 

@@ -8,18 +8,16 @@ from pyspark.sql import functions as F
 from perimeter import constants as K
 from perimeter.operators.attachments import nsg_vnic_assoc, subnet_sl
 from perimeter.operators.rules import labelled, nsg_open_rules, sl_open_rules
-from perimeter.operators.skew import HotKeys, count_copies, keyed_join
+from perimeter.operators.skew import HotKeys, count_copies, counted_join, keyed_join
 
 _SERVICE = ("protocol", "tcp_port_min", "tcp_port_max", "udp_port_min", "udp_port_max")
 
 
-def sl_attachments(
-    subnets: DataFrame, scope: DataFrame, hot: HotKeys = HotKeys()
-) -> DataFrame:
+def sl_attachments(subnets: DataFrame, scope: DataFrame, hot: HotKeys = HotKeys()) -> DataFrame:
     """(list, n): how often each security list is attached in scope, copies counted."""
-    pairs = count_copies(subnet_sl(subnets), "n")
+    ids = scope.select("subnet_id").distinct()
     splits = hot.on("subnet_sl.subnet_id")
-    pairs = keyed_join(pairs, scope.select("subnet_id"), "subnet_id", "left_semi", splits)
+    pairs = counted_join(subnet_sl(subnets), ids, "subnet_id", hot_left=splits)
     return pairs.groupBy("securitylist_id").agg(F.sum("n").alias("n"))
 
 
@@ -27,15 +25,14 @@ def nsg_attachments(
     vnics: DataFrame, nsgvnic: DataFrame, scope: DataFrame, hot: HotKeys = HotKeys()
 ) -> DataFrame:
     """(group, n): how often each group is attached in scope, copies counted."""
-    places = count_copies(vnics.select("vnic_id", "subnet_id"), "n")
-    splits = hot.on("vnics.subnet_id")
-    places = keyed_join(places, scope.select("subnet_id"), "subnet_id", "left_semi", splits)
+    ids = scope.select("subnet_id").distinct()
+    places = vnics.select("vnic_id", "subnet_id")
+    places = counted_join(places, ids, "subnet_id", hot_left=hot.on("vnics.subnet_id"))
     per_vnic = places.groupBy("vnic_id").agg(F.sum("n").alias("n_vnics"))
-    members = count_copies(nsg_vnic_assoc(nsgvnic), "n_members")
-    members = keyed_join(members, per_vnic, "vnic_id", "inner", hot.on("nsgvnic.vnic_id"))
-    return members.groupBy("nsg_id").agg(
-        F.sum(F.col("n_members") * F.col("n_vnics")).alias("n")
-    )
+    splits = hot.on("nsgvnic.vnic_id")
+    members = nsg_vnic_assoc(nsgvnic)
+    members = counted_join(members, per_vnic, "vnic_id", "inner", splits, "n_members")
+    return members.groupBy("nsg_id").agg(F.sum(F.col("n_members") * F.col("n_vnics")).alias("n"))
 
 
 def _counted_services(

@@ -29,12 +29,12 @@ NULL_SPREAD = 256
 # Copies of one row that one sort row stands for.
 COPIES_PER_CHUNK = 100_000
 
-Salts = Mapping[str, int]
+Salts = Mapping[str | None, int]
 
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Number of splits of each hot key, per join column."""
+    """Number of splits of each hot key, per join column; the key may be NULL."""
 
     splits: Mapping[str, Salts] = field(default_factory=dict)
 
@@ -50,17 +50,13 @@ def measure_hot_keys(
     Weights are combined before the shuffle, and at most ``1 / min_share`` keys
     per column reach the driver.
     """
-    per_key = (
-        weighted.where("key IS NOT NULL")
-        .groupBy("column", "key")
-        .agg(F.sum("weight").alias("weight"))
-    )
+    per_key = weighted.groupBy("column", "key").agg(F.sum("weight").alias("weight"))
     totals = per_key.groupBy("column").agg(F.sum("weight").alias("total"))
     hot = per_key.where(F.col("weight") > rows_per_task).join(
         F.broadcast(totals), "column"  # one row per measured column
     )
     found = hot.where(F.col("weight") >= F.col("total") * min_share).collect()
-    splits: dict[str, dict[str, int]] = {}
+    splits: dict[str, dict[str | None, int]] = {}
     for row in found:
         splits.setdefault(row["column"], {})[row["key"]] = -(-row["weight"] // rows_per_task)
     return HotKeys(splits)
@@ -109,8 +105,9 @@ def keyed_join(
     all land in one task. For every type but ``inner`` the right side must be
     small per key, so only the left side is split.
     """
-    hot_left = hot_left or {}
+    hot_left = {k: n for k, n in (hot_left or {}).items() if k is not None}
     hot_right = (hot_right or {}) if how == "inner" else {}
+    hot_right = {k: n for k, n in hot_right.items() if k is not None}
     spread_nulls = how == "left"
     if not (hot_left or hot_right or spread_nulls):
         return left.join(right, key, how)
@@ -140,15 +137,34 @@ def keyed_join(
     return left.join(right, [key, *left_salts], how).drop(*left_salts)
 
 
-def semi_join(
-    left: DataFrame, right: DataFrame, key: str, hot_left: Salts | None = None
+def set_join(
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    how: str = "left_semi",
+    hot_left: Salts | None = None,
 ) -> DataFrame:
-    """Rows of ``left``, taken as a set, whose key is in ``right``.
+    """``left``, taken as a set, against a right side with one row per key.
 
-    Only where keys are hot are equal rows combined first, so that what is
-    left of a hot key can be split; the caller must not count the result.
+    Equal rows are combined before the join only where keys are hot, so that
+    what is left of a hot key can be split. Elsewhere they pass through, which
+    saves a shuffle; the caller must not count the result.
     """
-    return keyed_join(left.distinct() if hot_left else left, right, key, "left_semi", hot_left)
+    return keyed_join(left.distinct() if hot_left else left, right, key, how, hot_left)
+
+
+def counted_join(
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    how: str = "left_semi",
+    hot_left: Salts | None = None,
+    copies: str = "n",
+) -> DataFrame:
+    """As ``set_join``, but ``copies`` tells how many left rows each row stands for."""
+    if hot_left:
+        return keyed_join(count_copies(left, copies), right, key, how, hot_left)
+    return keyed_join(left.withColumn(copies, F.lit(1).cast("bigint")), right, key, how)
 
 
 def _salted(df: DataFrame, columns: list[str], salts: Mapping[str, Column]) -> DataFrame:

@@ -16,6 +16,7 @@ from perimeter.operators.attachments import (
     nsg_vnic_assoc,
     sl_details,
     subnet_sl,
+    vnic_data,
 )
 from perimeter.operators.exposure import (
     exposure_sources,
@@ -41,7 +42,7 @@ from perimeter.operators.rules import (
 )
 from perimeter.operators.scope import SUBNET, SUBNET_WITH_FLAG, scope_subnets
 from perimeter.operators.services import counted_services_from_nsg, counted_services_from_sl
-from perimeter.operators.skew import count_copies, expand_copies, keyed_join
+from perimeter.operators.skew import counted_join, expand_copies, keyed_join, set_join
 from perimeter.sources.inventory import Inventory
 
 
@@ -79,15 +80,22 @@ def _sl_rules_in_scope(inventory: Inventory, scope: str, rules: DataFrame) -> Da
 
 
 def _nsg_rules_in_scope(inventory: Inventory, scope: str, rules: DataFrame) -> DataFrame:
+    # Interfaces are wide and many: keep only members of such groups before
+    # anything else moves them.
     hot = inventory.hot
     rules = rules.distinct()
-    interfaces = vnics_in_scope(inventory.vnics, _scope(inventory, scope, SUBNET), hot)
-    members = keyed_join(
-        interfaces, members_of(inventory.nsgvnic, rules, hot).distinct(), "vnic_id", "inner",
+    members = members_of(inventory.nsgvnic, rules, hot).distinct()
+    exposed = set_join(
+        vnic_data(inventory.vnics), members.select("vnic_id").distinct(), "vnic_id",
+        hot_left=hot.on("vnics.vnic_id"),
+    )
+    interfaces = vnics_in_scope(exposed, _scope(inventory, scope, SUBNET), hot)
+    attached = keyed_join(
+        interfaces, members, "vnic_id", "inner",
         hot.on("vnics.vnic_id"), hot.on("nsgvnic.vnic_id"),
     )
     return keyed_join(
-        members, rules, "nsg_id", "inner",
+        attached, rules, "nsg_id", "inner",
         hot.on("nsgvnic.nsg_id"), hot.on("nsgrules.nsg_id"),
     )
 
@@ -164,8 +172,10 @@ def _exposed_vnics(
     flags = vnic_flags(
         inventory.vnics, inventory.subnets, inventory.nsgvnic, subnets, sl, nsg, hot
     )
-    interfaces = vnics_in_scope(inventory.vnics, subnets, hot)
-    found = keyed_join(interfaces, flags, "vnic_id", "inner", hot.on("vnics.vnic_id"))
+    exposed = set_join(
+        vnic_data(inventory.vnics), flags, "vnic_id", "inner", hot.on("vnics.vnic_id")
+    )
+    found = keyed_join(exposed.distinct(), subnets, "subnet_id", "inner", hot.on("vnics.subnet_id"))
     return _sorted(
         found.select(*_ON_VNIC, exposure_sources()), ordered, "vnic_id", "exposure_source"
     )
@@ -262,7 +272,7 @@ def _unused(
         policy, F.lit(True).alias("_used"), F.lit(None).cast("string").alias("insecure_case")
     ).unionByName(rules.select(policy, F.lit(False).alias("_used"), "insecure_case"))
     marks = marks.groupBy(policy).agg(F.bool_or("_used").alias("_used"), *case_flags())
-    marked = keyed_join(count_copies(details), marks, policy, "left", splits)
+    marked = counted_join(details, marks, policy, "left", splits, "copies")
     unused = marked.where(~F.coalesce("_used", F.lit(False))).select(
         *columns,
         "vcn_id",

@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from perimeter.operators.skew import (
     count_copies,
+    counted_join,
     expand_copies,
     keyed_join,
     measure_hot_keys,
-    semi_join,
+    set_join,
 )
 
 
@@ -50,9 +51,12 @@ def test_split_outer_and_semi_joins(sides):
         assert rows(keyed_join(left, unique, "key", how, {"hot": 5})) == plain
     ids = unique.select("key")
     twice = left.unionByName(left)
-    assert set(rows(semi_join(twice, ids, "key", {"hot": 5}))) == set(
-        rows(left.join(ids, "key", "left_semi"))
-    )
+    plain = rows(left.join(ids, "key", "left_semi"))
+    for hot in ({}, {"hot": 5}):
+        assert set(rows(set_join(twice, ids, "key", hot_left=hot))) == set(plain)
+        counted = counted_join(twice, ids, "key", hot_left=hot)
+        totals = counted.groupBy("key", "l").agg(F.sum("n").alias("n"))
+        assert rows(totals) == Counter((*row, 2) for row in plain)
 
 
 def test_hot_rows_are_spread(spark, sides):
@@ -89,6 +93,8 @@ def test_measured_keys(spark, sides):
     assert hot.on("l") == {"hot": 10}
     assert hot.on("r") == {}
     assert hot.on("unknown") == {}
+    nulls = left.selectExpr("'n' AS column", "CAST(NULL AS STRING) AS key", "1L AS weight")
+    assert measure_hot_keys(nulls, 1000, 0.2).on("n") == {None: 3}
     # the share bounds how many keys there can be
     many = measure_hot_keys(both, rows_per_task=1, min_share=0.02)
     assert len(many.on("l")) <= 50
