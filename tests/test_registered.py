@@ -8,8 +8,8 @@ import __spark_entry__ as registered
 from check import difference, open_tables
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = registered.queries()
-EXPECTED = registered.oracle_sql()
+QUERIES = registered.registry.queries()
+EXPECTED = registered.oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
