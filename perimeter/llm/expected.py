@@ -29,4 +29,41 @@ x AS (SELECT d.doc_id, d.size, r.source_size, r.target,
 SELECT doc_id, size, source_size, target, (size * copies)::BIGINT AS taken FROM x
 """
 
-EXPECTED = {"op7_mix": OP7}
+OP10 = r"""
+WITH dw AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+iw AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+win AS (
+  SELECT DISTINCT item_id, k, list_slice(w, s, s + k - 1) AS g
+  FROM (SELECT item_id, w, least(10, len(w)) AS k, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS s
+        FROM iw WHERE len(w) > 0)),
+dg AS (
+  SELECT doc_id, k, p, list_slice(w, p, p + k - 1) AS g
+  FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS p
+        FROM dw, (SELECT DISTINCT k FROM win) WHERE len(w) >= k)),
+hit AS (SELECT doc_id, p, k, item_id FROM dg JOIN win USING (k, g)),
+n AS (SELECT doc_id, count(DISTINCT q) AS n_hit
+      FROM (SELECT doc_id, unnest(range(p, p + k)) AS q FROM hit) GROUP BY doc_id),
+i AS (SELECT doc_id, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS ids
+      FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS x FROM hit) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw LEFT JOIN n USING (doc_id) LEFT JOIN i USING (doc_id)
+"""
+
+OP3 = r"""
+WITH v AS (
+  SELECT vec_id, min([floor(256 * x::DOUBLE)::BIGINT for x in embedding]) AS q FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0 GROUP BY vec_id),
+s AS (
+  SELECT a.vec_id AS query_id, b.vec_id, list_dot_product(a.q::DOUBLE[], b.q::DOUBLE[])::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q) WHERE a.vec_id % 50 = 0)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
+FROM s QUALIFY rank <= 5
+"""
+
+EXPECTED = {"op3_topk": OP3, "op7_mix": OP7, "op10_decontaminate": OP10}

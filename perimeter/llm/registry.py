@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perimeter.llm import mixing, sharding
+from perimeter.llm import decontamination, language, mixing, pii, sharding, topk
 from perimeter.llm.expected import EXPECTED
 from perimeter.llm.shared import read_table
 
@@ -20,14 +20,63 @@ def op1_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "slot", "shard")
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents")
+    held_out = language.remainder(F.col("doc_id")) == 1
+    dictionaries = language.learn(documents.where(~held_out))
+    return language.identify(documents.select("doc_id", "text"), dictionaries).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected"
+    )
+
+
+def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(read_table(spark, sf_dir, "documents"))
+    kinds = F.transform("base", lambda s: s["kind"])
+    counts = [
+        (F.size("base") - F.size(F.array_remove(kinds, kind))).cast("long").alias(f"n_{kind}")
+        for kind in pii.KINDS
+    ]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(pii.span_list(F.col("base")), 256).alias("base_sha256"),
+        pii.span_list(F.concat("base", "added")).alias("spans"),
+        F.size("added").alias("n_added"),
+    )
+
+
 def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken"
     )
 
 
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents")
+    found = decontamination.decontaminate(documents, read_table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 def queries() -> dict[str, Query]:
-    return {"op1_shard": op1_shard, "op7_mix": op7_mix}
+    return {
+        "op1_shard": op1_shard,
+        "op2_language": op2_language,
+        "op3_topk": op3_topk,
+        "op6_pii": op6_pii,
+        "op7_mix": op7_mix,
+        "op10_decontaminate": op10_decontaminate,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
