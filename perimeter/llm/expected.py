@@ -66,4 +66,19 @@ SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, v
 FROM s QUALIFY rank <= 5
 """
 
-EXPECTED = {"op3_topk": OP3, "op7_mix": OP7, "op10_decontaminate": OP10}
+OP5 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (
+  SELECT DISTINCT doc_id, list_slice(w, p, p + 4) AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS p FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM g a JOIN g b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+e AS (SELECT a, b FROM o JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * i >= 80 * (x.n + y.n - i)),
+r AS (SELECT doc_id, doc_id AS c FROM w UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.doc_id)
+SELECT r.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(c) AS component_id
+FROM r LEFT JOIN n ON r.doc_id = n.doc_id GROUP BY r.doc_id
+"""
+
+EXPECTED = {"op3_topk": OP3, "op5_jaccard": OP5, "op7_mix": OP7, "op10_decontaminate": OP10}

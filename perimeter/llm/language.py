@@ -1,13 +1,14 @@
 """Language identification by compression.
 
 Each language has a raw-content zstandard dictionary, cut from a bounded sample of labelled
-texts. A text is encoded block by block with every dictionary; the language whose blocks are
-smallest together is chosen, and the margin to the next one is the score.
+texts. Of a text its letters count, lower-cased, with one blank between words. They are encoded
+block by block with every dictionary; the language whose blocks are smallest together is
+chosen, and the margin to the next one is the score.
 """
 
 from __future__ import annotations
 
-import math
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,15 +24,30 @@ UNKNOWN = "und"
 PIECES, PIECE = 96, 1_000
 MAX_LANGUAGES = 500
 # Bytes of text encoded at once: each block starts from the dictionary anew.
-BLOCK, LEVEL = 2_048, 3
+BLOCK = 2_048
+# Short matches count: what two languages share is short, too.
+ENCODING = {
+    "window_log": 17,
+    "chain_log": 17,
+    "hash_log": 16,
+    "search_log": 3,
+    "min_match": 3,
+    "target_length": 32,
+    "strategy": zstandard.STRATEGY_LAZY,
+    "write_checksum": False,
+    "write_content_size": False,
+    "write_dict_id": False,
+}
+# Starts every block: without it a short block would be kept as it is, whatever the dictionary.
+HEAD = bytes(64)
 # Below this share of the second-best size the choice is rejected.
-MIN_MARGIN = 0.004
+MIN_MARGIN = 0.01
 RESULT = "lang_pred string, score double, rejected boolean"
 
 
 @dataclass(frozen=True)
 class Dictionaries:
-    """Language and dictionary content, sorted by language."""
+    """Language and dictionary content, languages of many texts first."""
 
     content: tuple[tuple[str, bytes], ...]
 
@@ -41,6 +57,14 @@ def remainder(doc_id: Column, of: int = 3) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % of
 
 
+_NO_LETTERS = re.compile(r"[\W\d_]+")
+
+
+def letters(text: str) -> bytes:
+    """Lower-cased words with one blank around each."""
+    return f" {_NO_LETTERS.sub(' ', text).strip()} ".lower().encode("utf-8", "ignore")
+
+
 def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", order: str = "doc_id") -> Dictionaries:
     """Dictionaries from at most ``PIECES`` texts per language, drawn by hash.
 
@@ -49,9 +73,10 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", order: st
     """
     drawn = F.xxhash64(F.col(order), F.col(text))
     first = F.pmod(drawn, F.greatest(F.length(F.col(text)) - PIECE, F.lit(0)) + 1)
+    usable = labelled.where(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}"))
+    languages = usable.groupBy(F.col(lang).alias("lang")).agg(F.count(F.lit(1)).alias("texts"))
     pieces = (
-        labelled.where(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}"))
-        .select(
+        usable.select(
             F.col(lang).alias("lang"),
             drawn.alias("drawn"),
             F.substring(F.col(text), first.cast("int") + 1, F.lit(PIECE)).alias("piece"),
@@ -59,13 +84,16 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", order: st
         .withColumn("n", F.row_number().over(W.partitionBy("lang").orderBy("drawn", "piece")))
         .where(F.col("n") <= PIECES)
         .groupBy("lang")
-        .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", "piece"))), lambda p: p["piece"]), "\n").alias("content"))
-        .orderBy("lang")
+        .agg(F.sort_array(F.collect_list(F.struct("n", "piece"))).alias("pieces"))
+        .join(languages, "lang")
+        .orderBy(F.desc("texts"), "lang")
     )
     rows = pieces.take(MAX_LANGUAGES + 1)
     if len(rows) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    return Dictionaries(tuple((r["lang"], r["content"].encode()) for r in rows))
+    return Dictionaries(
+        tuple((r["lang"], b"".join(letters(p["piece"]) for p in r["pieces"])) for r in rows)
+    )
 
 
 class Classifier:
@@ -73,33 +101,28 @@ class Classifier:
 
     def __init__(self, dictionaries: Dictionaries) -> None:
         self.languages = [name for name, _ in dictionaries.content]
+        form = zstandard.ZstdCompressionParameters(**ENCODING)
+        self.plain = zstandard.ZstdCompressor(compression_params=form)
         self.encoders = []
         for _, content in dictionaries.content:
             raw = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            raw.precompute_compress(level=LEVEL)
-            self.encoders.append(
-                zstandard.ZstdCompressor(
-                    dict_data=raw, write_checksum=False, write_content_size=False, write_dict_id=False
-                )
-            )
-        self.plain = zstandard.ZstdCompressor(level=LEVEL, write_checksum=False, write_content_size=False)
-
-    def sizes(self, text: str) -> np.ndarray:
+            raw.precompute_compress(compression_params=form)
+            self.encoders.append(zstandard.ZstdCompressor(dict_data=raw, compression_params=form))
+
+    def sizes(self, data: bytes) -> np.ndarray:
         """Encoded bytes of the whole text per language."""
-        data = text.encode("utf-8", "surrogatepass")
-        blocks = max(1, math.ceil(len(data) / BLOCK))
-        step = math.ceil(len(data) / blocks)
-        parts = [data[n : n + step] for n in range(0, len(data), step)]
+        parts = [HEAD + data[n : n + BLOCK] for n in range(0, len(data), BLOCK)]
         return np.array([sum(len(e.compress(p)) for p in parts) for e in self.encoders])
 
     def classify(self, text: str | None) -> tuple[str, float, bool]:
         if not self.encoders or text is None or not any(map(str.isalpha, text)):
             return UNKNOWN, 0.0, True
-        sizes = self.sizes(text)
+        data = letters(text)
+        sizes = self.sizes(data)
         best = int(sizes.argmin())
         rest = np.delete(sizes, best)
         # With one language the margin is the one to encoding without dictionary.
-        other = rest.min() if len(rest) else len(self.plain.compress(text.encode()))
+        other = rest.min() if len(rest) else len(self.plain.compress(data))
         margin = float(max(0.0, 1.0 - sizes[best] / other))
         return self.languages[best], margin, margin < MIN_MARGIN
 
@@ -108,7 +131,7 @@ def identify(documents: DataFrame, dictionaries: Dictionaries, text: str = "text
     """Adds lang_pred, score (0 to 1: saved share against the second-best) and rejected.
 
     Null texts and texts without a letter are ``und`` with score 0, rejected. Ties go to the
-    first language in code-point order, with score 0. Columns of these names are replaced. The
+    language of more learned texts, with score 0. Columns of these names are replaced. The
     dictionaries (bounded by ``PIECES``, ``PIECE`` and ``MAX_LANGUAGES``) travel with the tasks.
     """
 
