@@ -66,6 +66,23 @@ SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, v
 FROM s QUALIFY rank <= 5
 """
 
+OP4 = r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, s, md5_number(substr(h, 2 * s + 1, 200)) AS k
+      FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 99)) AS s FROM d WHERE len(h) >= 200)),
+f AS (SELECT doc_id, s FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY k ORDER BY doc_id, s) AS n FROM w) WHERE n > 1),
+m AS (SELECT doc_id, s, sum(new) OVER (PARTITION BY doc_id ORDER BY s) AS island
+      FROM (SELECT doc_id, s, CASE WHEN s - lag(s) OVER (PARTITION BY doc_id ORDER BY s) <= 100 THEN 0 ELSE 1 END AS new FROM f)),
+i AS (SELECT doc_id, min(s) AS a, max(s) + 100 AS b FROM m GROUP BY doc_id, island),
+e AS (SELECT doc_id, a, b FROM i UNION ALL SELECT doc_id, len(h) // 2, len(h) // 2 FROM d),
+p AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a, b), 0) AS z FROM e),
+k AS (SELECT doc_id, string_agg(substr(h, 2 * z + 1, 2 * (a - z)), '' ORDER BY a, b) AS kept FROM p JOIN d USING (doc_id) GROUP BY doc_id),
+c AS (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans FROM i GROUP BY doc_id)
+SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(kept)) AS kept_sha256
+FROM d JOIN k USING (doc_id) LEFT JOIN c USING (doc_id)
+"""
+
 OP5 = r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -81,4 +98,4 @@ SELECT r.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(c) AS co
 FROM r LEFT JOIN n ON r.doc_id = n.doc_id GROUP BY r.doc_id
 """
 
-EXPECTED = {"op3_topk": OP3, "op5_jaccard": OP5, "op7_mix": OP7, "op10_decontaminate": OP10}
+EXPECTED = {"op3_topk": OP3, "op4_suffix": OP4, "op5_jaccard": OP5, "op7_mix": OP7, "op10_decontaminate": OP10}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perimeter.llm import decontamination, language, mixing, ngram_join, pii, sharding, topk
+from perimeter.llm import decontamination, language, mixing, ngram_join, pii, sharding, suffix_dedup, topk
 from perimeter.llm.expected import EXPECTED
 from perimeter.llm.shared import read_table
 
@@ -33,6 +33,11 @@ def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op4_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.deduplicate(read_table(spark, sf_dir, "documents"))
+    return found.drop("kept")
+
+
 def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = ngram_join.jaccard_components(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id")
@@ -78,6 +83,7 @@ def queries() -> dict[str, Query]:
         "op1_shard": op1_shard,
         "op2_language": op2_language,
         "op3_topk": op3_topk,
+        "op4_suffix": op4_suffix,
         "op5_jaccard": op5_jaccard,
         "op6_pii": op6_pii,
         "op7_mix": op7_mix,
