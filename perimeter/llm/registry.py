@@ -7,9 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perimeter.llm import decontamination, language, mixing, ngram_join, pii, sharding, suffix_dedup, topk
+from perimeter.llm import (
+    decontamination,
+    language,
+    mixing,
+    ngram_join,
+    pii,
+    quality,
+    sharding,
+    suffix_dedup,
+    tokens,
+    topk,
+)
 from perimeter.llm.expected import EXPECTED
-from perimeter.llm.shared import read_table
+from perimeter.llm.shared import Scratch, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -65,6 +76,27 @@ def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents under both versions, recounted without repeated lines, toxic ones deleted."""
+    documents = read_table(spark, sf_dir, "documents")
+    toxic = read_table(spark, sf_dir, "labels").where("toxic = 1").select("doc_id").distinct()
+    rollup = tokens.Rollup(spark, f"{Scratch(spark, 'tokens').root}/rollup")
+    revised = tokens.without_repeated_lines(documents)
+    for version in tokens.VERSIONS:
+        rollup.commit(f"insert-{version}", tokens.counts(documents, version))
+        rollup.commit(f"revise-{version}", tokens.counts(revised, version))
+    state = rollup.state()
+    deleted = state.join(toxic, "doc_id", "left_semi").withColumn("tokens", F.lit(None).cast("long"))
+    rollup.commit("delete-toxic", deleted)
+    rollup.commit("delete-toxic", deleted)
+    return rollup.totals()
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "lang", "units", "perplexity", "threshold", "keep")
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents")
     found = decontamination.decontaminate(documents, read_table(spark, sf_dir, "benchmark"))
@@ -87,6 +119,8 @@ def queries() -> dict[str, Query]:
         "op5_jaccard": op5_jaccard,
         "op6_pii": op6_pii,
         "op7_mix": op7_mix,
+        "op8_tokens": op8_tokens,
+        "op9_quality": op9_quality,
         "op10_decontaminate": op10_decontaminate,
     }
 
