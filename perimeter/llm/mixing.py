@@ -146,6 +146,29 @@ def thresholds(documents: DataFrame, targets: DataFrame) -> DataFrame:
     )
 
 
+def _plan(documents: DataFrame, doc_id, text, source, weights, share, max_repeats):
+    """The written (doc_id, source, size, hash) table and thresholds per source."""
+    scratch = Scratch(documents.sparkSession, "mixing")
+    narrow = scratch.store(
+        documents.select(
+            F.col(doc_id).alias("doc_id"),
+            F.col(source).alias("source"),
+            word_count(F.col(text)).alias("size"),
+            document_hash(F.col(doc_id), F.col(text)).alias("hash"),
+        ),
+        "sizes",
+    )
+    sources = narrow.groupBy("source").agg(F.sum("size").alias("source_size"))
+    targets = source_targets(sources, weights, share, max_repeats)
+    return narrow, scratch.store(thresholds(narrow, targets), "thresholds")
+
+
+def _copies(max_repeats: int) -> Column:
+    return F.least(
+        F.col("passes") + (F.col("hash") <= F.col("cut")).cast("bigint"), F.lit(max_repeats)
+    )
+
+
 def mix(
     documents: DataFrame,
     doc_id: str = "doc_id",
@@ -162,24 +185,10 @@ def mix(
     Rows with equal id and text share their hash and are taken together. Documents
     without words follow the threshold as well. An empty table gives no rows.
     """
-    scratch = Scratch(documents.sparkSession, "mixing")
-    narrow = scratch.store(
-        documents.select(
-            F.col(doc_id).alias("doc_id"),
-            F.col(source).alias("source"),
-            word_count(F.col(text)).alias("size"),
-            document_hash(F.col(doc_id), F.col(text)).alias("hash"),
-        ),
-        "sizes",
-    )
-    sources = narrow.groupBy("source").agg(F.sum("size").alias("source_size"))
-    cuts = scratch.store(
-        thresholds(narrow, source_targets(sources, weights, share, max_repeats)), "thresholds"
-    )
-    copies = F.col("passes") + (F.col("hash") <= F.col("cut")).cast("bigint")
+    narrow, cuts = _plan(documents, doc_id, text, source, weights, share, max_repeats)
     return (
         _join_source(narrow, cuts)
-        .withColumn("copies", F.least(copies, F.lit(max_repeats)))
+        .withColumn("copies", _copies(max_repeats))
         .select(
             "doc_id",
             "source",
@@ -193,17 +202,27 @@ def mix(
     )
 
 
-def mixed_documents(documents: DataFrame, **names) -> DataFrame:
-    """The documents that the mix holds, repeated ones twice, with their own columns."""
-    doc_id, text = names.get("doc_id", "doc_id"), names.get("text", "text")
-    copies = (
-        mix(documents, **names)
-        .groupBy("hash")
-        .agg(F.max("copies").alias("_copies"))
-        .where(F.col("_copies") > 0)
-        .withColumnRenamed("hash", "_hash")
-    )
+def mixed_documents(
+    documents: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    source: str = "source",
+    weights: tuple[int, ...] = WEIGHTS,
+    share: float = SHARE,
+    max_repeats: int = MAX_REPEATS,
+) -> DataFrame:
+    """The documents that the mix holds, repeated ones twice, with their own columns.
+
+    Only the thresholds, one row per source, are joined; texts are not shuffled.
+    """
+    _, cuts = _plan(documents, doc_id, text, source, weights, share, max_repeats)
+    cuts = cuts.select(F.col("source").alias("_source"), F.struct("passes", "cut").alias("_cut"))
     columns = [F.col(f"`{c}`") for c in documents.columns]
-    hashed = documents.withColumn("_hash", document_hash(F.col(doc_id), F.col(text)))
-    times = F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_time")
-    return hashed.join(copies, "_hash").select(*columns, times).drop("_time")
+    hashed = document_hash(F.col(doc_id), F.col(text))
+    more = F.coalesce(F.col("_cut.passes"), F.lit(0)) + (hashed <= F.col("_cut.cut")).cast("int")
+    times = F.array_repeat(F.lit(1), F.least(more, F.lit(max_repeats)).cast("int"))
+    return (
+        documents.join(cuts, documents[source].eqNullSafe(cuts["_source"]))
+        .select(*columns, F.explode(times).alias("_time"))
+        .drop("_time")
+    )

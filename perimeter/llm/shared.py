@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 import warnings
@@ -36,6 +37,8 @@ class Scratch:
 
     They replace long lineages: a lost executor only costs the tasks it ran.
     Tables behind a returned frame stay; ``drop`` removes those no longer read.
+    Once a table is written, the shuffle files that led to it are garbage; Spark
+    deletes them when the driver collects its own, so it is told to.
     """
 
     def __init__(self, spark: SparkSession, name: str) -> None:
@@ -47,7 +50,24 @@ class Scratch:
         self._count += 1
         path = f"{self.root}/{name}-{self._count}"
         rows.write.option("compression", "zstd").partitionBy(*partition_by).parquet(path)
-        return self.spark.read.schema(rows.schema).parquet(path)
+        stored = self.spark.read.schema(rows.schema).parquet(path)
+        del rows
+        self.release()
+        return stored
+
+    def bucketed(self, rows: DataFrame, name: str, *keys: str) -> DataFrame:
+        """A table that joins on ``keys`` read without moving it."""
+        self._count += 1
+        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        table = f"{name}_{uuid.uuid4().hex}"
+        writer = rows.repartition(buckets, *keys).write.option("path", f"{self.root}/{name}-{self._count}")
+        writer.option("compression", "zstd").bucketBy(buckets, *keys).saveAsTable(table)
+        self.release()
+        return self.spark.table(table)
+
+    def release(self) -> None:
+        gc.collect()
+        self.spark._jvm.System.gc()
 
     def drop(self, *tables: DataFrame) -> None:
         jvm = self.spark._jvm
@@ -70,3 +90,17 @@ def ascii_lower(text: Column) -> Column:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def with_key(documents: DataFrame, doc_id: str, text: str, scratch: Scratch) -> tuple[DataFrame, bool]:
+    """Adds ``key``, unique and in the order of doc_id; tells whether it is the id itself.
+
+    Where ids repeat, are missing or negative, rows are sorted by id (missing ones last) and
+    text, and numbered. The numbered rows are written, as their numbers must not change.
+    """
+    ids = documents.select(F.col(doc_id).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+    if not ids.where("n > 1 OR id IS NULL OR id < 0").limit(1).count():
+        return documents.withColumn("key", F.col(doc_id).cast("long")), True
+    order = [F.col(doc_id).asc_nulls_last(), F.col(text).asc_nulls_first()]
+    sorted_rows = documents.repartitionByRange(*order).sortWithinPartitions(*order)
+    return scratch.store(sorted_rows.withColumn("key", F.monotonically_increasing_id()), "keyed"), False

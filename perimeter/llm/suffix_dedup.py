@@ -12,7 +12,6 @@ merge-scanned against the levels of earlier batches, and equal-sized levels merg
 from __future__ import annotations
 
 import hashlib
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,7 +21,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from perimeter.llm.shared import Scratch
+from perimeter.llm.shared import Scratch, with_key
 
 LENGTH, GRAM = 100, 24
 REACH = LENGTH - GRAM + 1
@@ -298,22 +297,6 @@ def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names)
 
 
-def _with_key(documents: DataFrame, scratch: Scratch) -> tuple[DataFrame, bool]:
-    """doc_id, key, text: ``key`` orders rows by doc_id and is unique; whether it is the id.
-
-    Where ids repeat, are missing or negative, rows are sorted by id (missing ones last) and
-    text, and numbered.
-    """
-    counts = documents.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-    odd = counts.where("n > 1 OR doc_id IS NULL OR doc_id < 0").limit(1).count()
-    if not odd:
-        return documents.select("doc_id", F.col("doc_id").alias("key"), "text"), True
-    order = [F.col("doc_id").asc_nulls_last(), F.col("text").asc_nulls_first()]
-    numbered = documents.repartitionByRange(*order).sortWithinPartitions(*order)
-    named = numbered.select("doc_id", F.monotonically_increasing_id().alias("key"), "text")
-    return scratch.store(named, "keyed"), False
-
-
 def deduplicate(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the remaining bytes), per row.
 
@@ -323,19 +306,13 @@ def deduplicate(documents: DataFrame, doc_id: str = "doc_id", text: str = "text"
     ``kept`` may end inside a character. The texts are written once, bucketed, so the three
     joins with them don't move them again.
     """
-    spark = documents.sparkSession
-    scratch = Scratch(spark, "suffix-dedup")
+    scratch = Scratch(documents.sparkSession, "suffix-dedup")
     source = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    keyed, id_is_key = _with_key(source, scratch)
+    keyed, id_is_key = with_key(source, "doc_id", "text", scratch)
     pairs = keyed.select("key", "text")
 
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    table = f"suffix_dedup_{uuid.uuid4().hex}"
-    packed = pairs.mapInArrow(_packed, "key long, packed binary").repartition(buckets, "key")
-    packed.write.option("path", f"{scratch.root}/texts").option("compression", "none").bucketBy(
-        buckets, "key"
-    ).saveAsTable(table)
-    texts = spark.table(table)
+    packed = pairs.mapInArrow(_packed, "key long, packed binary")
+    texts = scratch.bucketed(packed, "texts", "key")
 
     runs = pairs.mapInArrow(_find_runs, "to long, anchor long, key long, run long, known boolean")
     repeated = scratch.store(
