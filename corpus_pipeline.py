@@ -10,12 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perimeter.llm import decontamination, language, mixing, ngram_join, sharding
-from perimeter.llm.shared import Scratch, read_table, with_key
+from perimeter.llm.shared import KEY, Scratch, read_table, with_key
 
 
 def _without(docs: DataFrame, keyed: DataFrame, dropped: DataFrame) -> DataFrame:
-    """The rows whose key isn't among the dropped ones, with the columns of ``docs``."""
-    return keyed.join(dropped.select("key"), "key", "left_anti").select(*docs.columns)
+    """The rows whose key isn't a dropped doc_id, with the columns of ``docs``."""
+    return keyed.join(dropped.select(F.col("doc_id").alias(KEY)), KEY, "left_anti").select(*docs.columns)
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,15 +30,15 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group that n-gram links connect, the document with the smallest id stays."""
     keyed, _ = with_key(docs, "doc_id", "text", Scratch(spark, "near-duplicates"))
-    found = ngram_join.jaccard_components(keyed, doc_id="key")
-    return _without(docs, keyed, found.where("doc_id <> component_id").select(F.col("doc_id").alias("key")))
+    found = ngram_join.jaccard_components(keyed, doc_id=KEY)
+    return _without(docs, keyed, found.where("doc_id <> component_id"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a window of a benchmark item."""
     keyed, _ = with_key(docs, "doc_id", "text", Scratch(spark, "contaminated"))
-    found = decontamination.decontaminate(keyed, read_table(spark, sf_dir, "benchmark"), doc_id="key")
-    return _without(docs, keyed, found.where("contaminated").select(F.col("doc_id").alias("key")))
+    found = decontamination.decontaminate(keyed, read_table(spark, sf_dir, "benchmark"), doc_id=KEY)
+    return _without(docs, keyed, found.where("contaminated"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

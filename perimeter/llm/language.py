@@ -143,5 +143,5 @@ def identify(documents: DataFrame, dictionaries: Dictionaries, text: str = "text
             yield pd.DataFrame(rows, columns=["lang_pred", "score", "rejected"])
 
     names = ("lang_pred", "score", "rejected")
-    found = documents.withColumn("_found", chosen(F.col(text)))
-    return found.withColumns({n: F.col(f"_found.{n}") for n in names}).drop("_found")
+    found = documents.withColumn("__found", chosen(F.col(text)))
+    return found.withColumns({n: F.col(f"__found.{n}") for n in names}).drop("__found")

@@ -216,13 +216,13 @@ def mixed_documents(
     Only the thresholds, one row per source, are joined; texts are not shuffled.
     """
     _, cuts = _plan(documents, doc_id, text, source, weights, share, max_repeats)
-    cuts = cuts.select(F.col("source").alias("_source"), F.struct("passes", "cut").alias("_cut"))
+    cuts = cuts.select(F.col("source").alias("__source"), F.struct("passes", "cut").alias("__cut"))
     columns = [F.col(f"`{c}`") for c in documents.columns]
     hashed = document_hash(F.col(doc_id), F.col(text))
-    more = F.coalesce(F.col("_cut.passes"), F.lit(0)) + (hashed <= F.col("_cut.cut")).cast("int")
+    more = F.coalesce(F.col("__cut.passes"), F.lit(0)) + (hashed <= F.col("__cut.cut")).cast("int")
     times = F.array_repeat(F.lit(1), F.least(more, F.lit(max_repeats)).cast("int"))
     return (
-        documents.join(cuts, documents[source].eqNullSafe(cuts["_source"]))
-        .select(*columns, F.explode(times).alias("_time"))
-        .drop("_time")
+        documents.join(cuts, documents[source].eqNullSafe(cuts["__source"]))
+        .select(*columns, F.explode(times).alias("__time"))
+        .drop("__time")
     )

@@ -87,11 +87,11 @@ def place(
     hashed = F.when(F.col(key).isNotNull(), F.xxhash64(F.col(key).cast("string"))).otherwise(
         F.xxhash64(*(F.col(f"`{c}`") for c in rest.columns))
     )
-    placed = rest.withColumn("_slot", F.pmod(hashed, F.lit(size)).cast("int"))
+    placed = rest.withColumn("__slot", F.pmod(hashed, F.lit(size)).cast("int"))
     if key in ("slot", "shard"):
         placed = placed.drop(key)
-    table_rows = F.broadcast(slots.withColumnRenamed("slot", "_slot"))
-    return placed.join(table_rows, "_slot").withColumnRenamed("_slot", "slot")
+    table_rows = F.broadcast(slots.withColumnRenamed("slot", "__slot"))
+    return placed.join(table_rows, "__slot").withColumnRenamed("__slot", "slot")
 
 
 def write_shards(placed: DataFrame, path: str) -> None:

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 # Words of a text: runs of anything but blank, tab and line ends.
 WORD = r"[^\x20\x09-\x0D]+"
+# Column that operators add to the caller's own ones.
+KEY = "__key"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 _LOCAL: dict[str, str] = {}
@@ -93,14 +95,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def with_key(documents: DataFrame, doc_id: str, text: str, scratch: Scratch) -> tuple[DataFrame, bool]:
-    """Adds ``key``, unique and in the order of doc_id; tells whether it is the id itself.
+    """Adds ``KEY``, unique and in the order of doc_id; tells whether it is the id itself.
 
     Where ids repeat, are missing or negative, rows are sorted by id (missing ones last) and
     text, and numbered. The numbered rows are written, as their numbers must not change.
     """
     ids = documents.select(F.col(doc_id).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n"))
     if not ids.where("n > 1 OR id IS NULL OR id < 0").limit(1).count():
-        return documents.withColumn("key", F.col(doc_id).cast("long")), True
+        return documents.withColumn(KEY, F.col(doc_id).cast("long")), True
     order = [F.col(doc_id).asc_nulls_last(), F.col(text).asc_nulls_first()]
     sorted_rows = documents.repartitionByRange(*order).sortWithinPartitions(*order)
-    return scratch.store(sorted_rows.withColumn("key", F.monotonically_increasing_id()), "keyed"), False
+    return scratch.store(sorted_rows.withColumn(KEY, F.monotonically_increasing_id()), "keyed"), False

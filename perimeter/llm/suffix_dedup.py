@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from perimeter.llm.shared import Scratch, with_key
+from perimeter.llm.shared import KEY, Scratch, with_key
 
 LENGTH, GRAM = 100, 24
 REACH = LENGTH - GRAM + 1
@@ -309,6 +309,7 @@ def deduplicate(documents: DataFrame, doc_id: str = "doc_id", text: str = "text"
     scratch = Scratch(documents.sparkSession, "suffix-dedup")
     source = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     keyed, id_is_key = with_key(source, "doc_id", "text", scratch)
+    keyed = keyed.withColumnRenamed(KEY, "key")
     pairs = keyed.select("key", "text")
 
     packed = pairs.mapInArrow(_packed, "key long, packed binary")

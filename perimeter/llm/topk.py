@@ -24,7 +24,7 @@ K = 5
 # Components of a block (rows x dimensions) and queries that meet a block at once.
 BLOCK_CELLS, QUERIES_AT_ONCE = 1 << 21, 512
 # Beyond it, sums of products could leave 64 bits.
-MAX_COMPONENT = 1 << 24
+MAX_COMPONENT = 1 << 28
 
 INDEX_SCHEMA = "dim int, block int, ids binary, slices binary, lows array<int>, bits array<int>"
 HIT_SCHEMA = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
@@ -33,7 +33,7 @@ HIT_SCHEMA = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("scor
 def quantised(vectors: DataFrame, vec_id: str, vector: str, scale: int = SCALE) -> DataFrame:
     """vec_id, dim, q (array<int>, floor of scale times the component), one row per id.
 
-    Vectors that are null or hold a null, non-finite or (beyond 2^24 after scaling) too large
+    Vectors that are null or hold a null, non-finite or (beyond 2^28 after scaling) too large
     component take no part, nor do rows without id. Of repeated ids the smallest vector counts.
     """
     cells = F.transform(F.col(vector), lambda x: x.cast("double") * scale)

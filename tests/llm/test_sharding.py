@@ -1,0 +1,75 @@
+"""The lookup table and the placement."""
+
+from __future__ import annotations
+
+from collections import Counter
+
+import pytest
+
+from perimeter.llm import sharding
+
+
+def _plain_fill(shards, size):
+    """The same turns, walking each permutation from its start every time."""
+    table = [-1] * size
+    while -1 in table:
+        for number, name in enumerate(shards):
+            start = sharding._number(name, b"start") % size
+            step = sharding._number(name, b"step") % (size - 1) + 1
+            order = ((start + n * step) % size for n in range(size))
+            slot = next((s for s in order if table[s] < 0), None)
+            if slot is not None:
+                table[slot] = number
+    return table
+
+
+def test_table():
+    names = sharding.shard_names(7)
+    table = sharding.fill_table(names, 101)
+    assert table == _plain_fill(names, 101)
+    counts = Counter(table)
+    assert max(counts.values()) - min(counts.values()) <= 1
+
+
+def test_leaving_shard_moves_little():
+    names = sharding.shard_names(20)
+    before, after = sharding.fill_table(names, 4_001), sharding.fill_table(names[:-1], 4_001)
+    stayed = [(a, b) for a, b in zip(before, after, strict=True) if a != 19]
+    assert sum(a != b for a, b in stayed) < 0.1 * len(stayed)
+
+
+def test_weights():
+    counts = Counter(sharding.fill_table(["a", "b"], 3_001, {"a": 3}))
+    assert abs(counts[0] - 3 * counts[1]) < 10
+
+
+@pytest.mark.parametrize(("shards", "size"), [(["a"], 100), ([], 101), (["a", "a"], 101), (["a", "b", "c"], 2)])
+def test_bad_tables(shards, size):
+    with pytest.raises(ValueError):
+        sharding.fill_table(shards, size)
+
+
+def test_placement(documents, clashing):
+    names = sharding.shard_names(4)
+    rows = [(n % 50, "t" * n) for n in range(200)] + [(None, f"no id {n}") for n in range(100)] + [(7, None), (8, "")]
+    placed = sharding.place(clashing(documents(rows)), "doc_id", names, 997).collect()
+    table = sharding.fill_table(names, 997)
+    assert len(placed) == len(rows)
+    assert all(r["shard"] == table[r["slot"]] for r in placed)
+    assert all(len({r["slot"] for r in placed if r["doc_id"] == n}) == 1 for n in range(50))
+    assert len({r["slot"] for r in placed if r["doc_id"] is None}) > 50
+    assert sharding.place(documents([]), "doc_id", names).count() == 0
+
+
+def test_text_key_and_key_named_slot(spark):
+    rows = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "slot string, n int")
+    placed = sharding.place(rows, "slot", ["x", "y"], 11)
+    assert sorted(placed.columns) == ["n", "shard", "slot"] and placed.count() == 3
+
+
+def test_written_shards(documents, spark, tmp_path):
+    names = sharding.shard_names(3)
+    placed = sharding.place(documents([(n, "t") for n in range(30)]), "doc_id", names, 101)
+    sharding.write_shards(placed, str(tmp_path / "out"))
+    again = spark.read.parquet(str(tmp_path / "out"))
+    assert {(r["doc_id"], r["shard"]) for r in again.collect()} == {(r["doc_id"], r["shard"]) for r in placed.collect()}
