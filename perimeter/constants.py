@@ -17,9 +17,6 @@ COLLECTIONS = (
     "routes",
 )
 
-# Region left out of an export unless the caller asks otherwise.
-DEFAULT_SKIP_REGION = "us-saltlake-1"
-
 # A route target whose id contains this text is an internet gateway.
 INTERNET_GATEWAY_MARKER = "internetgateway"
 
@@ -45,16 +42,3 @@ SOURCE_NSG = "NSG"
 
 # The network label is the last label before this domain suffix.
 VCN_NAME_PATTERN = r"\.([^.]+)\.oraclevcn\.com$"
-
-# Longest text kept per kind of field, in bytes; longer text reads as NULL.
-MAX_ID = 200
-MAX_NAME = 200
-MAX_ENTITY_ID = 4000
-MAX_FLAG = 5
-MAX_PROTOCOL = 16
-MAX_DIRECTION = 16
-MAX_STATE = 50
-MAX_TIME = 64
-MAX_ADDRESS = 64
-MAX_RULE_ID = 64
-MAX_DOMAIN = 500

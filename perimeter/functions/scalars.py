@@ -10,15 +10,30 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from perimeter import constants as K
+from perimeter.schemas import CORRUPT_COLUMN
 
 _TCP = f"= '{K.PROTOCOL_TCP}'"
 _UDP = f"= '{K.PROTOCOL_UDP}'"
 _ALL = f"= '{K.PROTOCOL_ALL}'"
 
 
-def text(value: str, max_bytes: int) -> str:
-    """Document text as a value: empty text and text over ``max_bytes`` are NULL."""
-    return f"CASE WHEN {value} <> '' AND octet_length({value}) <= {max_bytes} THEN {value} END"
+def text(value: str) -> str:
+    """Document text as a value, of any length; empty text is NULL."""
+    return f"nullif({value}, '')"
+
+
+def elements(value: str) -> str:
+    """JSON text of a list as an array of texts; anything else is a list of one."""
+    return (
+        f"CASE WHEN {value} LIKE '[%' THEN from_json({value}, 'array<string>')"
+        f" WHEN {value} IS NOT NULL THEN array({value}) END"
+    )
+
+
+def parsed(value: str, schema: str) -> str:
+    """The elements of a list, each parsed on its own; a bad one keeps its place."""
+    options = f"map('columnNameOfCorruptRecord', '{CORRUPT_COLUMN}')"
+    return f"transform({elements(value)}, e -> from_json(e, '{' '.join(schema.split())}', {options}))"
 
 
 def port(value: str) -> str:

@@ -1,7 +1,8 @@
 """Document schemas of the nine collections.
 
 Ports and booleans are read as text and cast later: a document may hold 22,
-"22" or 22.0 for the same port, and only a text field accepts all three.
+"22" or 22.0 for the same port, and only a text field accepts all three. Lists are
+read as the text of their JSON and taken apart later.
 """
 
 from __future__ import annotations
@@ -9,13 +10,15 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 CORRUPT_COLUMN = "_corrupt_record"
+PARTIAL_COLUMN = "_partial_document"
 
 _RANGE = "struct<min:string,max:string>"
 _CAMEL_PORTS = f"struct<destinationPortRange:{_RANGE}>"
 _SNAKE_PORTS = f"struct<destination_port_range:{_RANGE}>"
-_INGRESS_RULE = (
-    f"struct<source:string,protocol:string,tcpOptions:{_CAMEL_PORTS},udpOptions:{_CAMEL_PORTS}>"
-)
+# Elements of lists are parsed one by one, so that a bad one costs only itself.
+ROUTE_RULE = f"networkEntityId string, {CORRUPT_COLUMN} string"
+INGRESS_RULE = f"""source string, protocol string, tcpOptions {_CAMEL_PORTS}, udpOptions {_CAMEL_PORTS},
+    {CORRUPT_COLUMN} string"""
 _DESCRIBED = (
     "display_name string, compartment_id string, lifecycle_state string, time_created string"
 )
@@ -23,14 +26,14 @@ _DESCRIBED = (
 _DDL = {
     "routes": """
         identifier string,
-        additional_details struct<routeRules:array<struct<networkEntityId:string>>>""",
+        additional_details struct<routeRules:string>""",
     "subnets": """
         identifier string, display_name string,
         additional_details struct<routeTableId:string,prohibitPublicIpOnVnic:string,
-            securityListIds:array<string>,vcnId:string,subnetDomainName:string>""",
+            securityListIds:string,vcnId:string,subnetDomainName:string>""",
     "securitylists": f"""
         identifier string, {_DESCRIBED},
-        additional_details struct<vcnId:string,ingressSecurityRules:array<{_INGRESS_RULE}>>""",
+        additional_details struct<vcnId:string,ingressSecurityRules:string>""",
     "vnics": """
         identifier string, display_name string,
         additional_details struct<subnetId:string,privateIp:string,publicIp:string>""",

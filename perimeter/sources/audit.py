@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perimeter import constants as K
-from perimeter.sources.documents import REGION_COLUMN, is_unreadable
+from perimeter.sources.documents import REGION_COLUMN, is_partial, is_unreadable
 from perimeter.sources.regions import regional_lines
 
 
@@ -31,8 +31,11 @@ def _line_counts(
     spark: SparkSession, directory: str, tenancy: str, regions: list[str]
 ) -> DataFrame:
     flags = [
-        regional_lines(spark, directory, name, tenancy, regions).select(
-            REGION_COLUMN, F.lit(name).alias("collection"), is_unreadable(name).alias("unreadable")
+        regional_lines(spark, directory, name, tenancy, regions, allow_missing=True).select(
+            REGION_COLUMN,
+            F.lit(name).alias("collection"),
+            is_unreadable(name).alias("unreadable"),
+            is_partial(name).alias("partial"),
         )
         for name in K.COLLECTIONS
     ]
@@ -42,6 +45,7 @@ def _line_counts(
         .agg(
             F.count_if(~F.col("unreadable")).alias("documents"),
             F.count_if("unreadable").alias("unreadable_lines"),
+            F.count_if("partial").alias("partial_documents"),
         )
     )
 
@@ -52,7 +56,7 @@ def _counted(
     regions = list(regions)
     found = _line_counts(spark, directory, tenancy, regions)
     return _expected(spark, regions).join(found, [REGION_COLUMN, "collection"], "left").fillna(
-        0, ["documents", "unreadable_lines"]
+        0, ["documents", "unreadable_lines", "partial_documents"]
     )
 
 
@@ -94,8 +98,22 @@ def load_audit(
         F.when(failed, "FAILED_REGION")
         .when(F.col("documents") + F.col("unreadable_lines") == 0, "NO_RECORDS")
         .when(F.col("unreadable_lines") > 0, "UNREADABLE_LINES")
+        .when(F.col("partial_documents") > 0, "PARTIAL_DOCUMENTS")
         .otherwise("OK")
     )
     return _counted(spark, directory, tenancy, regions).select(
-        REGION_COLUMN, "collection", status.alias("status"), "documents", "unreadable_lines"
+        REGION_COLUMN,
+        "collection",
+        status.alias("status"),
+        "documents",
+        "unreadable_lines",
+        "partial_documents",
     )
+
+
+def require_complete(audit: DataFrame) -> None:
+    """Raises if any region or collection of ``load_audit`` isn't OK: an open rule may be missing."""
+    found = audit.where("status <> 'OK'").orderBy(REGION_COLUMN, "collection").take(20)
+    if found:
+        lines = "; ".join(f"{r[REGION_COLUMN]} {r['collection']}: {r['status']}" for r in found)
+        raise ValueError(f"incomplete input: {lines}")

@@ -3,58 +3,96 @@
 from __future__ import annotations
 
 from functools import reduce
+from operator import and_, or_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perimeter import constants as K
-from perimeter.schemas import CORRUPT_COLUMN, document_schema, reading_schema
+from perimeter.functions.scalars import parsed
+from perimeter.schemas import (
+    CORRUPT_COLUMN,
+    INGRESS_RULE,
+    PARTIAL_COLUMN,
+    ROUTE_RULE,
+    document_schema,
+    reading_schema,
+)
 
 REGION_COLUMN = "region"
+# Lists whose elements are documents themselves, and the elements' schema.
+_LISTS = {
+    "routes": ("routeRules", ROUTE_RULE),
+    "securitylists": ("ingressSecurityRules", INGRESS_RULE),
+}
 
 
 def read_lines(
-    spark: SparkSession, collection: str, path: str, file_column: str | None = None
+    spark: SparkSession,
+    collection: str,
+    paths: str | list[str],
+    file_column: str | None = None,
 ) -> DataFrame:
-    """Every non-blank line under ``path`` as a document row, readable or not.
+    """Every non-blank line of the files as a document row, readable or not.
 
-    ``path`` may be a glob. Nothing there means an empty collection, as a
-    region that was never exported is no error. ``file_column`` names a column
-    that receives the path of each line's file.
+    A path that isn't there raises; an empty list gives an empty collection. ``file_column``
+    names a column that receives the path of each line's file.
     """
-    schema = reading_schema(collection)
-    reader = spark.read.schema(schema).option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
-    try:
-        lines, file_path = reader.json(path), F.col("_metadata.file_path")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        lines, file_path = spark.createDataFrame([], schema), F.lit(None).cast("string")
-    return lines.withColumn(file_column, file_path) if file_column else lines
+    lines = spark.read.text(paths) if paths else spark.createDataFrame([], "value string")
+    file_path = F.col("_metadata.file_path") if paths else F.lit(None).cast("string")
+    options = {"columnNameOfCorruptRecord": CORRUPT_COLUMN}
+    document = F.from_json("value", reading_schema(collection), options)
+    # Within brackets a line must be a list of one; text after the document breaks that.
+    whole = F.size(F.from_json(F.concat(F.lit("["), "value", F.lit("]")), "array<string>")) == 1
+    kept = [file_path.alias(file_column)] if file_column else []
+    rows = lines.where(F.trim("value") != "").select(
+        document.alias("_document"), (~F.coalesce(whole, F.lit(False))).alias("_more"), *kept
+    )
+    broken = [F.col(f"_document.{CORRUPT_COLUMN}").isNotNull(), F.col("_more")]
+    if collection in _LISTS:
+        field, schema = _LISTS[collection]
+        bad = f"exists({parsed(f'_document.additional_details.{field}', schema)}, r -> r.{CORRUPT_COLUMN} IS NOT NULL)"
+        broken.append(F.coalesce(F.expr(bad), F.lit(False)))
+    columns = ["_document.*", PARTIAL_COLUMN, *([file_column] if file_column else [])]
+    return rows.withColumn(PARTIAL_COLUMN, reduce(or_, broken)).select(*columns)
 
 
 def is_unreadable(collection: str):
-    """True for lines that gave no field at all.
-
-    A document with one field of the wrong shape also lands in the corrupt
-    column but keeps its other fields; it stays in the collection.
-    """
+    """True for lines that gave no field at all."""
     no_field = [F.col(f"`{f.name}`").isNull() for f in document_schema(collection)]
-    return reduce(lambda a, b: a & b, no_field, F.col(CORRUPT_COLUMN).isNotNull())
+    return reduce(and_, no_field, F.col(PARTIAL_COLUMN))
+
+
+def is_partial(collection: str):
+    """True for documents that lost a part: a field or list element of the wrong shape, or text
+    after the first document of the line."""
+    return F.col(PARTIAL_COLUMN) & ~is_unreadable(collection)
 
 
 def readable(collection: str, lines: DataFrame) -> DataFrame:
     """Documents without the lines that could not be read."""
-    return lines.where(~is_unreadable(collection)).drop(CORRUPT_COLUMN)
+    return lines.where(~is_unreadable(collection)).drop(CORRUPT_COLUMN, PARTIAL_COLUMN)
+
+
+def load_collections(
+    spark: SparkSession, directory: str, allow_missing: bool = False
+) -> dict[str, DataFrame]:
+    """The nine consolidated collections ``<directory>/<name>.jsonl``.
+
+    A collection whose file isn't there raises, or is empty with ``allow_missing``: without
+    routes, for one, every subnet looks private.
+    """
 
+    def rows(name: str) -> DataFrame:
+        try:
+            return readable(name, read_lines(spark, name, f"{directory}/{name}.jsonl"))
+        except AnalysisException as error:
+            if not allow_missing or error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return readable(name, read_lines(spark, name, []))
 
-def load_collections(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
-    """The nine consolidated collections ``<directory>/<name>.jsonl``."""
-    return {
-        name: readable(name, read_lines(spark, name, f"{directory}/{name}.jsonl"))
-        for name in K.COLLECTIONS
-    }
+    return {name: rows(name) for name in K.COLLECTIONS}
 
 
 def write_jsonl(documents: DataFrame, path: str, mode: str = "append") -> None:

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 
 from perimeter import constants as K
-from perimeter.operators.skew import MIN_SHARE, ROWS_PER_TASK, HotKeys, measure_hot_keys
+from perimeter.operators.skew import ROWS_PER_TASK, HotKeys, measure_hot_keys
 from perimeter.sources.documents import REGION_COLUMN, load_collections
 from perimeter.sources.regions import consolidate_regions
 from perimeter.sources.tables import SORT_COLUMN, table_schema, typed
@@ -43,6 +43,9 @@ _JOIN_KEYS = {
 }
 
 
+_HOT_KEYS = "hot_keys"
+
+
 @dataclass(frozen=True)
 class Inventory:
     """Typed tables plus the hot keys measured on them (none until ``profiled``)."""
@@ -64,9 +67,11 @@ class Inventory:
         return cls(**{name: typed(name, documents[name]) for name in K.COLLECTIONS})
 
     @classmethod
-    def from_jsonl(cls, spark: SparkSession, directory: str) -> Inventory:
+    def from_jsonl(
+        cls, spark: SparkSession, directory: str, allow_missing: bool = False
+    ) -> Inventory:
         """Consolidated files ``<directory>/<collection>.jsonl``."""
-        return cls.from_documents(load_collections(spark, directory))
+        return cls.from_documents(load_collections(spark, directory, allow_missing))
 
     @classmethod
     def from_regional_jsonl(
@@ -75,10 +80,12 @@ class Inventory:
         directory: str,
         tenancy: str,
         include: str | Iterable[str] = (),
-        skip: str | None = K.DEFAULT_SKIP_REGION,
+        skip: str | None = None,
+        allow_missing: bool = False,
     ) -> Inventory:
         """Per-region files of one tenancy; every table keeps the region."""
-        return cls.from_documents(consolidate_regions(spark, directory, tenancy, include, skip))
+        found = consolidate_regions(spark, directory, tenancy, include, skip, allow_missing)
+        return cls.from_documents(found)
 
     @classmethod
     def open(cls, spark: SparkSession, path: str) -> Inventory:
@@ -87,7 +94,8 @@ class Inventory:
         def read(name: str) -> DataFrame:
             return spark.read.schema(table_schema(spark, name)).parquet(f"{path}/{name}")
 
-        return cls(**{name: read(name) for name in K.COLLECTIONS})
+        tables = {name: read(name) for name in K.COLLECTIONS}
+        return cls(**tables, hot=HotKeys.open(spark, f"{path}/{_HOT_KEYS}"))
 
     def tables(self) -> dict[str, DataFrame]:
         return {name: getattr(self, name) for name in K.COLLECTIONS}
@@ -101,13 +109,17 @@ class Inventory:
         for name, table in self.tables().items():
             rows = table.sortWithinPartitions(REGION_COLUMN, SORT_COLUMN[name])
             rows.write.mode(mode).partitionBy(REGION_COLUMN).parquet(f"{path}/{name}")
+        spark = self.routes.sparkSession
+        written = {name: spark.read.schema(t.schema).parquet(f"{path}/{name}") for name, t in self.tables().items()}
+        Inventory(**written).profiled().hot.store(spark, f"{path}/{_HOT_KEYS}", mode)
 
-    def profiled(
-        self, rows_per_task: int = ROWS_PER_TASK, min_share: float = MIN_SHARE
-    ) -> Inventory:
-        """The same tables with their hot join keys measured, reading each table once."""
+    def profiled(self, rows_per_task: int = ROWS_PER_TASK) -> Inventory:
+        """The same tables with their hot join keys measured, reading each table once.
+
+        ``store`` does so and keeps the result; ``open`` reads it.
+        """
         weighted = reduce(
             DataFrame.unionByName,
             (getattr(self, name).selectExpr(f"inline({w})") for name, w in _JOIN_KEYS.items()),
         )
-        return replace(self, hot=measure_hot_keys(weighted, rows_per_task, min_share))
+        return replace(self, hot=measure_hot_keys(weighted, rows_per_task))

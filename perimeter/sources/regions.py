@@ -5,7 +5,6 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,9 +20,9 @@ def include_list(csv: str) -> list[str]:
 def select_regions(
     documents: DataFrame,
     include: str | Iterable[str] = (),
-    skip: str | None = K.DEFAULT_SKIP_REGION,
+    skip: str | None = None,
 ) -> DataFrame:
-    """Rows of the included regions (all when empty), then without ``skip``.
+    """Rows of the included regions (all when empty), then without ``skip`` if given.
 
     Both are plain filters on the region column, so a layout partitioned by
     region reads only the folders it needs.
@@ -32,21 +31,57 @@ def select_regions(
     region = F.col(REGION_COLUMN)
     if names:
         documents = documents.where(region.isin(names))
-    return documents.where(region != skip) if skip else documents
+    return documents.where(region.isNull() | (region != skip)) if skip else documents
 
 
-def _export_glob(
-    directory: str, collection: str, tenancy: str, include: str | Iterable[str] = ()
-) -> str:
-    """Files of one collection; only those of the included regions are even listed."""
-    names = include_list(include) if isinstance(include, str) else list(include)
-    region = "{" + ",".join(names) + "}" if names else "*"
-    return f"{directory}/*{collection}-{tenancy}-{region}.jsonl"
+def _names(include: str | Iterable[str]) -> list[str]:
+    return include_list(include) if isinstance(include, str) else list(include)
+
 
+def _file_names(spark: SparkSession, directory: str) -> set[str]:
+    """Base names in the folder; a folder that isn't there raises."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(directory)
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return {status.getPath().getName() for status in system.listStatus(path)}
 
-def _region_of(path, collection: str, tenancy: str):
-    name = rf"[/=]{re.escape(collection)}-{re.escape(tenancy)}-([^/]+)\.jsonl"
-    return F.regexp_extract(path, name, 1)
+
+def export_regions(spark: SparkSession, directory: str, tenancy: str) -> list[str]:
+    """Regions for which the folder holds a file of the tenancy.
+
+    The whole base name must match. A tenancy may be the beginning of another one's name, so
+    a region that ends in another found region is ambiguous: the caller must name the regions.
+    """
+    found = set()
+    for name in _file_names(spark, directory):
+        for collection in K.COLLECTIONS:
+            prefix = f"{collection}-{tenancy}-"
+            if name.startswith(prefix) and name.endswith(".jsonl"):
+                found.add(name.removeprefix(prefix).removesuffix(".jsonl"))
+    doubtful = sorted(a for a in found for b in found if a.endswith(f"-{b}"))
+    if doubtful:
+        raise ValueError(f"files of {doubtful} may belong to another tenancy; name the regions")
+    return sorted(found)
+
+
+def _paths(
+    spark: SparkSession,
+    directory: str,
+    collection: str,
+    tenancy: str,
+    include: str | Iterable[str],
+) -> dict[str, str]:
+    """Path per region of the files that exist, by their exact names."""
+    there = _file_names(spark, directory)
+    regions = _names(include) or export_regions(spark, directory, tenancy)
+    names = {region: f"{collection}-{tenancy}-{region}.jsonl" for region in regions}
+    return {region: f"{directory}/{name}" for region, name in names.items() if name in there}
+
+
+def _region_of(path, collection: str, tenancy: str, regions: Iterable[str]):
+    """Region of a file path; regions are told apart by their whole names."""
+    names = "|".join(sorted(map(re.escape, regions), key=len, reverse=True))
+    name = rf"/{re.escape(collection)}-{re.escape(tenancy)}-({names})\.jsonl(?:/|$)"
+    return F.nullif(F.regexp_extract(path, name, 1), F.lit(""))
 
 
 def regional_lines(
@@ -55,11 +90,18 @@ def regional_lines(
     collection: str,
     tenancy: str,
     include: str | Iterable[str] = (),
+    allow_missing: bool = False,
 ) -> DataFrame:
-    """Lines of one collection with the region taken from the file name."""
-    glob = _export_glob(directory, collection, tenancy, include)
-    lines = read_lines(spark, collection, glob, "_file")
-    region = _region_of(F.col("_file"), collection, tenancy)
+    """Lines of one collection with the region taken from the file name.
+
+    One region without a file is allowed and shows in the audit; a collection without a
+    file in any region raises unless ``allow_missing``.
+    """
+    paths = _paths(spark, directory, collection, tenancy, include)
+    if not paths and not allow_missing:
+        raise FileNotFoundError(f"no {collection}-{tenancy}-<region>.jsonl in {directory}")
+    lines = read_lines(spark, collection, list(paths.values()), "_file")
+    region = _region_of(F.col("_file"), collection, tenancy, paths) if paths else F.lit(None).cast("string")
     return lines.withColumn(REGION_COLUMN, region).drop("_file")
 
 
@@ -68,15 +110,16 @@ def consolidate_regions(
     directory: str,
     tenancy: str,
     include: str | Iterable[str] = (),
-    skip: str | None = K.DEFAULT_SKIP_REGION,
+    skip: str | None = None,
+    allow_missing: bool = False,
 ) -> dict[str, DataFrame]:
     """The nine collections over all selected regions, each row with its region."""
-    return {
-        name: select_regions(
-            readable(name, regional_lines(spark, directory, name, tenancy, include)), include, skip
-        )
-        for name in K.COLLECTIONS
-    }
+
+    def rows(name: str) -> DataFrame:
+        lines = regional_lines(spark, directory, name, tenancy, include, allow_missing)
+        return select_regions(readable(name, lines), include, skip)
+
+    return {name: rows(name) for name in K.COLLECTIONS}
 
 
 def consolidate_lines(
@@ -85,22 +128,14 @@ def consolidate_lines(
     target: str,
     tenancy: str,
     include: str | Iterable[str] = (),
-    skip: str | None = K.DEFAULT_SKIP_REGION,
+    skip: str | None = None,
+    allow_missing: bool = False,
 ) -> None:
     """Copy the selected regions' lines verbatim into ``<target>/<collection>.jsonl``."""
     for name in K.COLLECTIONS:
-        try:
-            lines = spark.read.text(_export_glob(directory, name, tenancy, include))
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            lines = spark.createDataFrame([], "value string").withColumn(
-                REGION_COLUMN, F.lit("")
-            )
-        else:
-            lines = lines.withColumn(
-                REGION_COLUMN, _region_of(F.col("_metadata.file_path"), name, tenancy)
-            )
-        select_regions(lines, include, skip).select("value").write.mode("overwrite").text(
-            f"{target}/{name}.jsonl"
-        )
+        paths = _paths(spark, directory, name, tenancy, include)
+        paths = {region: path for region, path in paths.items() if region != skip}
+        if not paths and not allow_missing:
+            raise FileNotFoundError(f"no {name}-{tenancy}-<region>.jsonl in {directory}")
+        lines = spark.read.text(list(paths.values())) if paths else spark.createDataFrame([], "value string")
+        lines.select("value").write.mode("overwrite").text(f"{target}/{name}.jsonl")

@@ -9,29 +9,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from perimeter import constants as K
-from perimeter.functions.scalars import port, text
-from perimeter.schemas import document_schema
+from perimeter.functions.scalars import elements, parsed, port, text
+from perimeter.schemas import INGRESS_RULE, ROUTE_RULE, document_schema
 
 _DETAILS = "additional_details"
 
 
-def _first_of(max_bytes: int, *names: str) -> str:
-    return f"coalesce({', '.join(text(name, max_bytes) for name in names)})"
+def _first_of(*names: str) -> str:
+    return f"coalesce({', '.join(text(name) for name in names)})"
 
 
 _DESCRIBED = {
-    "compartment_id": text("compartment_id", K.MAX_ID),
-    "lifecycle_state": text("lifecycle_state", K.MAX_STATE),
-    "time_created": text("time_created", K.MAX_TIME),
-    "vcn_id": text(f"{_DETAILS}.vcnId", K.MAX_ID),
+    "compartment_id": text("compartment_id"),
+    "lifecycle_state": text("lifecycle_state"),
+    "time_created": text("time_created"),
+    "vcn_id": text(f"{_DETAILS}.vcnId"),
 }
 
 
 def _rule_fields(rule: str, tcp: str, udp: str, port_range: str) -> dict[str, str]:
     return {
-        "source": text(f"{rule}source", K.MAX_ADDRESS),
-        "protocol": text(f"{rule}protocol", K.MAX_PROTOCOL),
+        "source": text(f"{rule}source"),
+        "protocol": text(f"{rule}protocol"),
         "has_tcp": f"{rule}{tcp} IS NOT NULL",
         "tcp_port_min": port(f"{rule}{tcp}.{port_range}.min"),
         "tcp_port_max": port(f"{rule}{tcp}.{port_range}.max"),
@@ -44,60 +43,62 @@ def _struct(fields: dict[str, str]) -> str:
     return f"named_struct({', '.join(f"'{name}', {value}" for name, value in fields.items())})"
 
 
+_INGRESS_RULES = parsed(f"{_DETAILS}.ingressSecurityRules", INGRESS_RULE)
 _INGRESS_RULE = _struct(_rule_fields("r.", "tcpOptions", "udpOptions", "destinationPortRange"))
 
 # Column and the expression over a document that gives it, per collection.
 _PROJECTIONS: dict[str, dict[str, str]] = {
     "routes": {
-        "route_table_id": text("identifier", K.MAX_ID),
-        "entity_ids": f"transform({_DETAILS}.routeRules, "
-        f"r -> {text('r.networkEntityId', K.MAX_ENTITY_ID)})",
+        "route_table_id": text("identifier"),
+        "entity_ids": f"transform({parsed(f'{_DETAILS}.routeRules', ROUTE_RULE)}, "
+        f"r -> {text('r.networkEntityId')})",
     },
     "subnets": {
-        "subnet_id": text("identifier", K.MAX_ID),
-        "subnet_name": text("display_name", K.MAX_NAME),
-        "route_table_id": text(f"{_DETAILS}.routeTableId", K.MAX_ID),
-        "prohibit_public_ip_on_vnic": text(f"{_DETAILS}.prohibitPublicIpOnVnic", K.MAX_FLAG),
-        "securitylist_ids": f"transform({_DETAILS}.securityListIds, i -> {text('i', K.MAX_ID)})",
-        "vcn_id": text(f"{_DETAILS}.vcnId", K.MAX_ID),
-        "domain_name": text(f"{_DETAILS}.subnetDomainName", K.MAX_DOMAIN),
+        "subnet_id": text("identifier"),
+        "subnet_name": text("display_name"),
+        "route_table_id": text(f"{_DETAILS}.routeTableId"),
+        "prohibit_public_ip_on_vnic": text(f"{_DETAILS}.prohibitPublicIpOnVnic"),
+        "securitylist_ids": f"transform({elements(f'{_DETAILS}.securityListIds')}, "
+        f"i -> {text('i')})",
+        "vcn_id": text(f"{_DETAILS}.vcnId"),
+        "domain_name": text(f"{_DETAILS}.subnetDomainName"),
     },
     "securitylists": {
-        "securitylist_id": text("identifier", K.MAX_ID),
-        "securitylist_name": text("display_name", K.MAX_NAME),
+        "securitylist_id": text("identifier"),
+        "securitylist_name": text("display_name"),
         **_DESCRIBED,
-        "ingress_rules": f"transform({_DETAILS}.ingressSecurityRules, r -> {_INGRESS_RULE})",
+        "ingress_rules": f"transform({_INGRESS_RULES}, r -> {_INGRESS_RULE})",
     },
     "vnics": {
-        "vnic_id": text("identifier", K.MAX_ID),
-        "vnic_name": text("display_name", K.MAX_NAME),
-        "subnet_id": text(f"{_DETAILS}.subnetId", K.MAX_ID),
-        "private_ip": text(f"{_DETAILS}.privateIp", K.MAX_ADDRESS),
-        "public_ip": text(f"{_DETAILS}.publicIp", K.MAX_ADDRESS),
+        "vnic_id": text("identifier"),
+        "vnic_name": text("display_name"),
+        "subnet_id": text(f"{_DETAILS}.subnetId"),
+        "private_ip": text(f"{_DETAILS}.privateIp"),
+        "public_ip": text(f"{_DETAILS}.publicIp"),
     },
     "nsgdata": {
-        "nsg_id": _first_of(K.MAX_ID, "identifier", "id"),
-        "nsg_name": text("display_name", K.MAX_NAME),
+        "nsg_id": _first_of("identifier", "id"),
+        "nsg_name": text("display_name"),
         **_DESCRIBED,
     },
     "nsgrules": {
-        "nsg_id": text("`nsg-id`", K.MAX_ID),
-        "rule_id": text("id", K.MAX_RULE_ID),
-        "direction": text("direction", K.MAX_DIRECTION),
+        "nsg_id": text("`nsg-id`"),
+        "rule_id": text("id"),
+        "direction": text("direction"),
         **_rule_fields("", "tcp_options", "udp_options", "destination_port_range"),
     },
     "nsgvnic": {
-        "nsg_id": text("`nsg-id`", K.MAX_ID),
-        "vnic_id": text("vnic_id", K.MAX_ID),
+        "nsg_id": text("`nsg-id`"),
+        "vnic_id": text("vnic_id"),
     },
     "privateips": {
-        "private_ip_id": _first_of(K.MAX_ID, "id", "identifier"),
-        "vnic_id": _first_of(K.MAX_ID, "vnic_id", "`vnic-id`", "vnicId"),
-        "ip_address": _first_of(K.MAX_ADDRESS, "ip_address", "ipAddress"),
+        "private_ip_id": _first_of("id", "identifier"),
+        "vnic_id": _first_of("vnic_id", "`vnic-id`", "vnicId"),
+        "ip_address": _first_of("ip_address", "ipAddress"),
     },
     "publicips": {
-        "ip_address": _first_of(K.MAX_ADDRESS, "ip_address", "ipAddress"),
-        "private_ip_id": _first_of(K.MAX_ID, "private_ip_id", "privateIpId"),
+        "ip_address": _first_of("ip_address", "ipAddress"),
+        "private_ip_id": _first_of("private_ip_id", "privateIpId"),
     },
 }
 

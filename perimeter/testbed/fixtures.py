@@ -113,7 +113,7 @@ def _routes(t: Tables) -> DataFrame:
 def _subnets(t: Tables) -> DataFrame:
     key, segment = F.col("c_custkey"), F.col("c_mktsegment")
     lists = (
-        t.orders.where((F.col("o_orderstatus") == "F") & F.expr("o_orderkey % 3 = 0"))
+        t.orders.where(F.col("o_orderstatus") == "F")
         .groupBy(F.col("o_custkey").alias("c_custkey"))
         .agg(F.sort_array(F.collect_list(_id("sl-", F.col("o_orderkey")))).alias("lists"))
     )
@@ -165,10 +165,6 @@ def _securitylists(t: Tables) -> DataFrame:
     )
 
 
-def _even_orders(t: Tables) -> DataFrame:
-    return t.orders.where(F.expr("o_orderkey % 2 = 0"))
-
-
 def _private_ip() -> Column:
     return F.expr("concat('10.0.', (o_orderkey % 5000) div 250, '.', o_orderkey % 250 + 1)")
 
@@ -182,7 +178,7 @@ def _public_ip() -> Column:
 
 def _vnics(t: Tables) -> DataFrame:
     key = F.col("o_orderkey")
-    return _even_orders(t).select(
+    return t.orders.select(
         _region(F.col("n_regionkey")).alias("region"),
         F.struct(
             _id("vnic-", key).alias("identifier"),
@@ -190,7 +186,7 @@ def _vnics(t: Tables) -> DataFrame:
             F.struct(
                 _id("subnet-", F.col("o_custkey")).alias("subnetId"),
                 _private_ip().alias("privateIp"),
-                F.when(F.expr("o_orderkey % 10 = 0"), _public_ip()).alias("publicIp"),
+                F.when(F.col("o_orderstatus") == "O", _public_ip()).alias("publicIp"),
             ).alias("additional_details"),
         ).alias("document"),
     )
@@ -222,9 +218,7 @@ def _nsgrules(t: Tables) -> DataFrame:
     tcp, udp = _rule_options("destination_port_range")
     region = _region(F.expr("l_partkey % 5"))
     return (
-        t.rules()
-        .where(F.col("l_linenumber") == 1)
-        .select(
+        t.rules().select(
             region.alias("region"),
             F.struct(
                 _id("nsg-", F.col("l_partkey")).alias("nsg-id"),
@@ -246,8 +240,7 @@ def _nsgvnic(t: Tables) -> DataFrame:
     small = t.part.where(F.col("p_size") <= 40).select(F.col("p_partkey").alias("l_partkey"))
     region = _region(F.expr("l_partkey % 5"))
     return (
-        t.lineitem.where(F.col("l_linenumber") == 2)
-        .join(small, "l_partkey", "left_semi")
+        t.lineitem.join(small, "l_partkey", "left_semi")
         .select(
             region.alias("region"),
             F.struct(
@@ -265,14 +258,14 @@ def _privateips(t: Tables) -> DataFrame:
 
     pip, vnic = _id("pip-", F.col("o_orderkey")), _id("vnic-", F.col("o_orderkey"))
     region = _region(F.col("n_regionkey"))
-    return _even_orders(t).select(
+    return t.orders.select(
         region.alias("region"),
         F.struct(
             when("8 <> 0", pip).alias("id"),
             when("8 = 0", pip).alias("identifier"),
-            when("6 = 0", vnic).alias("vnic_id"),
-            when("6 = 2", vnic).alias("vnic-id"),
-            when("6 = 4", vnic).alias("vnicId"),
+            when("3 = 0", vnic).alias("vnic_id"),
+            when("3 = 1", vnic).alias("vnic-id"),
+            when("3 = 2", vnic).alias("vnicId"),
             when("4 = 0", _private_ip()).alias("ip_address"),
             when("4 <> 0", _private_ip()).alias("ipAddress"),
             region.alias("region"),
@@ -284,14 +277,14 @@ def _privateips(t: Tables) -> DataFrame:
 def _publicips(t: Tables) -> DataFrame:
     key, pip = F.col("o_orderkey"), _id("pip-", F.col("o_orderkey"))
     region = _region(F.col("n_regionkey"))
-    return t.orders.where(F.expr("o_orderkey % 10 = 0")).select(
+    return t.orders.where(F.col("o_orderstatus") == "O").select(
         region.alias("region"),
         F.struct(
             _id("pub-", key).alias("id"),
-            F.when(F.expr("o_orderkey % 20 = 0"), _public_ip()).alias("ip_address"),
-            F.when(F.expr("o_orderkey % 20 <> 0"), _public_ip()).alias("ipAddress"),
-            F.when(F.expr("o_orderkey % 30 <> 0"), pip).alias("private_ip_id"),
-            F.when(F.expr("o_orderkey % 30 = 0"), pip).alias("privateIpId"),
+            F.when(F.expr("o_orderkey % 2 = 0"), _public_ip()).alias("ip_address"),
+            F.when(F.expr("o_orderkey % 2 <> 0"), _public_ip()).alias("ipAddress"),
+            F.when(F.expr("o_orderkey % 3 <> 0"), pip).alias("private_ip_id"),
+            F.when(F.expr("o_orderkey % 3 = 0"), pip).alias("privateIpId"),
             region.alias("region"),
         ).alias("document"),
     )
@@ -325,3 +318,10 @@ def broken_lines(vnic_lines: DataFrame) -> DataFrame:
     return vnic_lines.where(every_100th).select(
         "region", F.expr("substring(value, 1, length(value) - 3)").alias("value")
     )
+
+
+def with_trailing_text(lines: DataFrame) -> DataFrame:
+    """Public addresses of every 100th order get a second document on their line: audit input."""
+    every_100th = F.col("value").rlike('"id":"pub-[0-9]*00",')
+    doubled = F.concat("value", F.lit(' {"id":"second"}'))
+    return lines.withColumn("value", F.when(every_100th, doubled).otherwise(F.col("value")))

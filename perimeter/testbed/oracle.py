@@ -94,7 +94,7 @@ _RELATIONS: dict[str, str] = {
         WHERE prohibit_public_ip_on_vnic = 'true' OR igw.route_table_id IS NULL""",
     "sub_sl": """
         SELECT 'subnet-' || o_custkey AS subnet_id, 'sl-' || o_orderkey AS securitylist_id
-        FROM ord WHERE o_orderstatus = 'F' AND o_orderkey % 3 = 0""",
+        FROM ord WHERE o_orderstatus = 'F'""",
     "sl": """
         SELECT 'sl-' || o_orderkey AS securitylist_id,
           'sl-name-' || o_orderkey AS securitylist_name,
@@ -121,7 +121,7 @@ _RELATIONS: dict[str, str] = {
           direction, {_FIELDS},
           {_CASE.format(ingress="direction = 'INGRESS'")} AS insecure_case,
           l_partkey % 5 AS region_no
-        FROM rule WHERE l_linenumber = 1""",
+        FROM rule""",
     "nsg_insecure": "SELECT * FROM nsg_rule WHERE insecure_case IS NOT NULL",
     "nsg_other": """
         SELECT * FROM nsg_rule
@@ -130,13 +130,13 @@ _RELATIONS: dict[str, str] = {
         SELECT 'nsg-' || l_partkey AS nsg_id, 'vnic-' || l_orderkey AS vnic_id,
           l_partkey % 5 AS region_no
         FROM lineitem JOIN part ON p_partkey = l_partkey
-        WHERE l_linenumber = 2 AND p_size <= 40""",
+        WHERE p_size <= 40""",
     "vnic": f"""
         SELECT 'vnic-' || o_orderkey AS vnic_id, 'vnic-name-' || o_orderkey AS vnic_name,
           'subnet-' || o_custkey AS subnet_id, {_PRIVATE_IP} AS private_ip,
-          CASE WHEN o_orderkey % 10 = 0 THEN {_PUBLIC_IP} END AS public_ip,
+          CASE WHEN o_orderstatus = 'O' THEN {_PUBLIC_IP} END AS public_ip,
           o_orderkey, n_regionkey
-        FROM ord WHERE o_orderkey % 2 = 0""",
+        FROM ord""",
     "in_region": """
         SELECT 'nsgdata' AS collection, 'region-' || (p_partkey % 5) AS region,
           'nsg-' || p_partkey AS document_id FROM part
@@ -144,7 +144,7 @@ _RELATIONS: dict[str, str] = {
         UNION ALL SELECT 'nsgvnic', 'region-' || region_no, nsg_id || '/' || vnic_id FROM member
         UNION ALL SELECT 'securitylists', 'region-' || n_regionkey, 'sl-' || o_orderkey FROM ord
         UNION ALL SELECT 'publicips', 'region-' || n_regionkey, 'pub-' || o_orderkey FROM ord
-          WHERE o_orderkey % 10 = 0
+          WHERE o_orderstatus = 'O'
         UNION ALL SELECT 'privateips', 'region-' || n_regionkey, 'pip-' || o_orderkey FROM vnic
         UNION ALL SELECT 'subnets', 'region-' || n_regionkey, subnet_id FROM subnet
         UNION ALL SELECT 'vnics', 'region-' || n_regionkey, vnic_id FROM vnic
@@ -164,6 +164,9 @@ _RELATIONS: dict[str, str] = {
     "broken": """
         SELECT 'region-' || n_regionkey AS region, 'vnics' AS collection, count(*) AS lines
         FROM vnic WHERE o_orderkey % 100 = 0 AND o_orderkey > 0 GROUP BY ALL""",
+    "partial": """
+        SELECT 'region-' || n_regionkey AS region, 'publicips' AS collection, count(*) AS doubled
+        FROM ord WHERE o_orderstatus = 'O' AND o_orderkey % 100 = 0 AND o_orderkey > 0 GROUP BY ALL""",
 }
 
 
@@ -222,6 +225,10 @@ def _all_services(scope: str) -> str:
     return f"{_services(scope, 'SECURITY_LIST')} UNION ALL {_services(scope, 'NSG')}"
 
 
+def _occurrences(services: str) -> str:
+    return f"SELECT *, count(*) AS occurrences FROM ({services}) GROUP BY ALL"
+
+
 _ON_SUBNET = """securitylist_name, securitylist_id, subnet_name, subnet_id,
     prohibit_public_ip_on_vnic AS "prohibitPublicIpOnVnic", route_table_id"""
 _ON_VNIC = """vnic_id, vnic_name, subnet_id, subnet_name, route_table_id, private_ip, public_ip"""
@@ -246,9 +253,9 @@ def _scoped(prefix: str) -> dict[str, str]:
         "service_summary": f"""SELECT exposure_source, {_LABEL} AS protocol,
             {_SERVICE} AS service, count(*) AS total_occurrences
             FROM ({_all_services(scope)}) GROUP BY 1, 2, 3""",
-        "services_from_sl": _services(scope, "SECURITY_LIST"),
-        "services_from_nsg": _services(scope, "NSG"),
-        "all_services": _all_services(scope),
+        "services_from_sl": _occurrences(_services(scope, "SECURITY_LIST")),
+        "services_from_nsg": _occurrences(_services(scope, "NSG")),
+        "all_services": _occurrences(_all_services(scope)),
     }
     for kind in ("insecure", "other"):
         vnics = " UNION ALL ".join(
@@ -321,7 +328,8 @@ _SELECTS: dict[str, str] = {
     "nsg_insecure_flags": """SELECT DISTINCT nsg_id,
         CASE WHEN insecure_case IS NOT NULL THEN 'INSECURE' END AS insecure_flag FROM nsg_rule""",
     "rule_labels": f"""SELECT rule_id, {_LABEL} AS protocol_label,
-        {_LABEL_UPPER} AS protocol_label_upper, {_SERVICE} AS service_label FROM nsg_rule""",
+        {_LABEL_UPPER} AS protocol_label_upper, {_SERVICE} AS service_label FROM nsg_rule
+        UNION ALL SELECT securitylist_id || '-' || rule_no, {_LABEL}, {_LABEL_UPPER}, {_SERVICE} FROM sl_rule""",
     "nsg_vnic_assoc": "SELECT nsg_id, vnic_id FROM member",
     "vnic_data": f"SELECT {_VNIC} FROM vnic",
     "used_securitylists": "SELECT DISTINCT securitylist_id FROM sub_sl",
@@ -343,7 +351,7 @@ _SELECTS: dict[str, str] = {
     "tag_parent": """SELECT 'pip-' || o_orderkey AS child_id, 'region-' || n_regionkey AS region,
         subnet_id AS parent_id FROM vnic""",
     "dedupe_public_ip_ids": """SELECT DISTINCT 'pub-' || l_orderkey AS identifier
-        FROM lineitem WHERE l_orderkey % 10 = 0""",
+        FROM lineitem WHERE l_linestatus = 'O'""",
     "dedupe_subnet_ids": """SELECT subnet_id AS identifier FROM subnet
         UNION SELECT subnet_id FROM vnic""",
     "collection_counts": f"""
@@ -355,9 +363,11 @@ _SELECTS: dict[str, str] = {
         SELECT region, collection,
           CASE WHEN region = '{FAILED_REGION}' THEN 'FAILED_REGION'
                WHEN documents + coalesce(lines, 0) = 0 THEN 'NO_RECORDS'
-               WHEN coalesce(lines, 0) > 0 THEN 'UNREADABLE_LINES' ELSE 'OK' END AS status,
-          documents, coalesce(lines, 0) AS unreadable_lines
-        FROM counted LEFT JOIN broken USING (region, collection)""",
+               WHEN coalesce(lines, 0) > 0 THEN 'UNREADABLE_LINES'
+               WHEN coalesce(doubled, 0) > 0 THEN 'PARTIAL_DOCUMENTS' ELSE 'OK' END AS status,
+          documents, coalesce(lines, 0) AS unreadable_lines, coalesce(doubled, 0) AS partial_documents
+        FROM counted LEFT JOIN broken USING (region, collection)
+          LEFT JOIN partial USING (region, collection)""",
     "write_jsonl": """SELECT rule_id, NOT has_tcp AS tcp_options_null,
         udp_port_min IS NULL AS udp_options_null FROM nsg_rule""",
 }

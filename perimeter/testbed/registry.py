@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from perimeter.functions import scalars
 from perimeter.operators import attachments, exposure, lookup, rules, scope, services
-from perimeter.operators.skew import expand_copies
 from perimeter.plans import reports
 from perimeter.sources import audit, children, documents, downloads, regions
 from perimeter.testbed.workspace import (
@@ -86,13 +85,24 @@ def _from_nsg(i, name: str) -> DataFrame:
     )
 
 
+def _occurrences(services: DataFrame) -> DataFrame:
+    """Services with how often they occur, instead of every rule at every attachment."""
+    keys = [c for c in services.columns if c != "copies"]
+    return services.groupBy(*keys).agg(F.sum("copies").alias("occurrences"))
+
+
 def _policy_case(rows: DataFrame, policy: str) -> DataFrame:
     number = "rule_no" if policy == "securitylist_id" else "rule_id"
     return rows.select(policy, number, "insecure_case")
 
 
 def _labels(i) -> DataFrame:
-    both = rules.nsg_rules(i.nsgrules).select("rule_id", *rules.RULE_FIELDS)
+    group = rules.nsg_rules(i.nsgrules).select("rule_id", *rules.RULE_FIELDS)
+    listed = rules.sl_rules(i.securitylists).select(
+        F.concat_ws("-", "securitylist_id", F.col("rule_no").cast("string")).alias("rule_id"),
+        *rules.RULE_FIELDS,
+    )
+    both = group.unionByName(listed)
     return both.select(
         "rule_id",
         scalars.protocol_label().alias("protocol_label"),
@@ -163,16 +173,10 @@ def _blocks() -> dict[str, Query]:
                 "subnets_exposed_by_nsg",
             ):
                 found[f"{prefix}_{kind}_{block}"] = _exposed(block, name, kind)
-        found[f"{prefix}_services_from_sl"] = _on(
-            lambda i, s=name: expand_copies(_from_sl(i, s), "copies")
-        )
-        found[f"{prefix}_services_from_nsg"] = _on(
-            lambda i, s=name: expand_copies(_from_nsg(i, s), "copies")
-        )
+        found[f"{prefix}_services_from_sl"] = _on(lambda i, s=name: _occurrences(_from_sl(i, s)))
+        found[f"{prefix}_services_from_nsg"] = _on(lambda i, s=name: _occurrences(_from_nsg(i, s)))
         found[f"{prefix}_all_services"] = _on(
-            lambda i, s=name: expand_copies(
-                _from_sl(i, s).unionByName(_from_nsg(i, s)), "copies"
-            )
+            lambda i, s=name: _occurrences(_from_sl(i, s).unionByName(_from_nsg(i, s)))
         )
     return found
 
@@ -224,11 +228,10 @@ def _tagged(w: Workspace) -> DataFrame:
 
 
 def _public_ip_ids(w: Workspace) -> DataFrame:
-    """Search hits, one per line item: repeated, and empty for orders without address."""
+    """Search hits, one per line item: repeated, and empty or missing where nothing was found."""
     line_items = w.spark.read.parquet(f"{w.sf_dir}/lineitem.parquet")
-    hit = F.when(
-        F.expr("l_orderkey % 10 = 0"), F.concat(F.lit("pub-"), F.col("l_orderkey").cast("string"))
-    ).when(F.expr("l_orderkey % 10 = 1"), F.lit(""))
+    found = F.concat(F.lit("pub-"), F.col("l_orderkey").cast("string"))
+    hit = F.when(F.col("l_linestatus") == "O", found).when(F.col("l_returnflag") == "A", "")
     return children.dedupe_public_ip_ids(line_items.select(hit.alias("identifier")))
 
 

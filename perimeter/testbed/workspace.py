@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import warnings
 from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,15 +24,21 @@ MISSING_REGION = "region-9"
 FAILED_REGION = "region-4"
 
 # An interface and addresses that occur at every scale factor.
-LOOKUP_VNIC = "vnic-760"
-LOOKUP_PRIVATE_IP = "10.0.3.11"
-LOOKUP_PUBLIC_IP = "198.18.3.11"
+LOOKUP_VNIC = "vnic-50"
+LOOKUP_PRIVATE_IP = "10.0.0.51"
+LOOKUP_PUBLIC_IP = "198.18.0.51"
 
 
 def _root(spark: SparkSession) -> str:
-    """Shared folder of the cluster; a local one only where none is named."""
+    """Shared folder of the cluster; a local one only for a local master."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    return shared or tempfile.mkdtemp(prefix="perimeter-")
+    if shared:
+        return shared
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    warnings.warn("spark.checkpoint.dir is not set; using a local folder", stacklevel=2)
+    return tempfile.mkdtemp(prefix="perimeter-")
 
 
 class Workspace:
@@ -50,14 +57,26 @@ class Workspace:
             lines = fixtures.json_lines(name, rows)
             if name == "vnics":
                 lines = lines.unionByName(fixtures.broken_lines(lines))
+            if name == "publicips":
+                lines = fixtures.with_trailing_text(lines)
             file_name = F.concat_ws(
                 "-", F.lit(name), F.lit(TENANCY), F.concat("region", F.lit(".jsonl"))
             )
             files.append(lines.select(file_name.alias("export"), "value"))
         path = f"{self.root}/exports"
         reduce(DataFrame.unionByName, files).write.partitionBy("export").text(path)
+        self._name_exports(path)
         return path
 
+    def _name_exports(self, path: str) -> None:
+        """Folders ``export=<name>`` become ``<name>``, as an export names its files."""
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path
+        system = folder(path).getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        for status in system.listStatus(folder(path)):
+            name = status.getPath().getName()
+            if name.startswith("export="):
+                system.rename(status.getPath(), folder(f"{path}/{name.removeprefix('export=')}"))
+
     @cached_property
     def consolidated_dir(self) -> str:
         """Folder with ``<collection>.jsonl`` over all regions."""
@@ -70,7 +89,7 @@ class Workspace:
         """Stored typed tables with their hot keys measured."""
         path = f"{self.root}/tables"
         Inventory.from_regional_jsonl(self.spark, self.export_dir, TENANCY).store(path)
-        return Inventory.open(self.spark, path).profiled()
+        return Inventory.open(self.spark, path)
 
     def new_path(self) -> str:
         return f"{self.root}/out-{uuid.uuid4().hex}"

@@ -68,7 +68,7 @@ def test_scans_read_only_what_a_report_needs(inventory):
 
 
 def test_lookup_filters_reach_the_scans(inventory):
-    text = plan(reports.lookup_vnic(inventory, "vnic-760"))
+    text = plan(reports.lookup_vnic(inventory, "vnic-50"))
     scans = re.findall(r"PushedFilters: \[([^\]]*)", text)
     assert scans and all(re.search(r"In\(|EqualTo\(", s) for s in scans)
 

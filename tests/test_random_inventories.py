@@ -188,7 +188,7 @@ def test_random_inventory(spark, interpreted, tmp_path, seed, hot):
         (tmp_path / f"{name}.jsonl").write_text(lines + "\n\n", encoding="utf-8")
     inventory = Inventory.from_jsonl(spark, str(tmp_path))
     if hot:
-        inventory = inventory.profiled(rows_per_task=2, min_share=0.0)
+        inventory = inventory.profiled(rows_per_task=2)
         assert inventory.hot.on("subnet_sl.securitylist_id")
         assert inventory.hot.on("nsgvnic.nsg_id") and inventory.hot.on("nsgrules.nsg_id")
     brute = Brute(docs)

@@ -89,15 +89,14 @@ def test_measured_keys(spark, sides):
         return df.selectExpr(f"'{name}' AS column", "key", "CAST(1 AS BIGINT) AS weight")
 
     both = weighted("l", left).unionByName(weighted("r", right))
-    hot = measure_hot_keys(both, 100, 0.2)
+    hot = measure_hot_keys(both, 100)
     assert hot.on("l") == {"hot": 10}
     assert hot.on("r") == {}
     assert hot.on("unknown") == {}
     nulls = left.selectExpr("'n' AS column", "CAST(NULL AS STRING) AS key", "1L AS weight")
-    assert measure_hot_keys(nulls, 1000, 0.2).on("n") == {None: 3}
-    # the share bounds how many keys there can be
-    many = measure_hot_keys(both, rows_per_task=1, min_share=0.02)
-    assert len(many.on("l")) <= 50
+    assert measure_hot_keys(nulls, 1000).on("n") == {None: 3}
+    most = measure_hot_keys(both, rows_per_task=1, most=3)
+    assert len(most.on("l")) + len(most.on("r")) == 3
 
 
 def test_copies_survive_counting_and_chunks(spark):
