@@ -10,7 +10,8 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 
 @pytest.fixture(scope="session")
-def spark() -> SparkSession:
+def spark(tmp_path_factory) -> SparkSession:
+    shared = tmp_path_factory.mktemp("shared")
     session = (
         SparkSession.builder.master("local[8]")
         .appName("perimeter-tests")
@@ -18,6 +19,8 @@ def spark() -> SparkSession:
         .config("spark.driver.memory", "6g")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", str(shared))
+        .config("spark.sql.warehouse.dir", str(shared / "warehouse"))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

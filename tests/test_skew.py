@@ -73,10 +73,20 @@ def test_hot_rows_are_spread(spark, sides):
         ids = right.select("key").distinct()
         assert largest(keyed_join(left, ids, "key", "left_semi")) == 1000
         assert largest(keyed_join(left, ids, "key", "left_semi", {"hot": 64})) < 400
-        nulls = left.withColumn("key", F.lit(None).cast("string"))
-        matched = keyed_join(nulls, ids.withColumn("m", F.lit(1)), "key", "left")
-        per_task = matched.groupBy(F.spark_partition_id()).count()
-        assert max(r["count"] for r in per_task.collect()) < 1000
+        # A third of the rows without key, with and without hot keys beside them.
+        mixed = left.withColumn("key", F.when(F.expr("l % 3 = 0"), F.lit(None)).otherwise(F.col("key")))
+        for hot in ({}, {"hot": 64}):
+            matched = keyed_join(mixed, ids.withColumn("m", F.lit(1)), "key", "left", hot)
+            missing = matched.where("key IS NULL")
+            per_task = missing.groupBy(F.spark_partition_id()).count().collect()
+            assert missing.where("m IS NOT NULL").count() == 0
+            assert max(r["count"] for r in per_task) < 0.4 * sum(r["count"] for r in per_task)
+        # Copies that nothing sorts are dealt out by chunk.
+        copies = spark.createDataFrame([("a", 3_000)], "name string, copies long")
+        spread = expand_copies(copies, "copies", chunk=10)
+        per_task = spread.groupBy(F.spark_partition_id()).count().collect()
+        assert sum(r["count"] for r in per_task) == 3_000
+        assert max(r["count"] for r in per_task) < 1_500
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

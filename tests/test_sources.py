@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 
 import pytest
+from pyspark.errors import AnalysisException
 
 from perimeter import Inventory
 from perimeter.constants import COLLECTIONS
@@ -36,7 +37,7 @@ def consolidated(tmp_path):
                 ]
             },
         },
-        # one object instead of a list: no rules, but the document stays
+        # one object instead of a list: a list of one
         {"identifier": "sl-2", "additional_details": {"ingressSecurityRules": {"source": "x"}}},
         {"identifier": "sl-3", "additional_details": {"ingressSecurityRules": []}},
         {"identifier": "sl-4"},
@@ -80,16 +81,17 @@ def consolidated(tmp_path):
 
 @pytest.fixture
 def inventory(spark, consolidated):
-    return Inventory.from_jsonl(spark, consolidated)
+    return Inventory.from_jsonl(spark, consolidated, allow_missing=True)
 
 
 def test_rules_keep_their_place_and_options(inventory):
-    found = rules.sl_rule_cases(inventory.securitylists).orderBy("rule_no").collect()
+    found = rules.sl_rule_cases(inventory.securitylists).orderBy("securitylist_id", "rule_no").collect()
     assert [(r.rule_no, r.has_tcp, r.insecure_case) for r in found] == [
         (1, False, "ALL"),
         (2, False, "ALL"),
         (3, True, None),
         (4, True, "22"),
+        (1, False, None),
     ]
 
 
@@ -98,7 +100,13 @@ def test_unreadable_and_blank_lines_are_left_out(inventory):
     assert ids == {"sl-1", "sl-2", "sl-3", "sl-4"}
 
 
-def test_missing_file_is_an_empty_collection(inventory):
+def test_missing_file_raises_or_is_an_empty_collection(spark, inventory, consolidated, tmp_path):
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        Inventory.from_jsonl(spark, consolidated)
+    with pytest.raises(Exception, match="FileNotFound"):
+        Inventory.from_regional_jsonl(spark, str(tmp_path / "absent"), "ten")
+    with pytest.raises(FileNotFoundError, match="nsgdata"):
+        Inventory.from_regional_jsonl(spark, consolidated, "ten", "r-1")
     assert inventory.vnics.count() == 0
     assert inventory.vnics.columns[:3] == ["vnic_id", "vnic_name", "subnet_id"]
 
@@ -117,7 +125,7 @@ def test_scopes(inventory):
 
 def test_long_text_and_empty_ids(inventory):
     first = inventory.subnets.where("subnet_id = 'subnet-1'").first()
-    assert first.subnet_name is None
+    assert first.subnet_name == "x" * 201
     pairs = attachments.subnet_sl(inventory.subnets).collect()
     assert [tuple(p) for p in pairs] == [
         ("subnet-1", "sl-1"),
@@ -130,10 +138,13 @@ def test_alternate_keys_skip_empty_text(inventory):
     assert tuple(inventory.privateips.first())[:3] == ("pip-1", "v-1", "10.0.0.1")
 
 
-def test_store_and_open_give_the_same_tables(spark, inventory, tmp_path):
+def test_store_and_open_give_the_same_tables(spark, inventory, tmp_path, monkeypatch):
     path = str(tmp_path / "tables")
+    monkeypatch.setattr(Inventory.profiled, "__defaults__", (2,))
     inventory.store(path)
     opened = Inventory.open(spark, path)
+    assert opened.hot == inventory.profiled().hot
+    assert opened.hot.splits
     for name, table in inventory.tables().items():
         again = getattr(opened, name)
         assert again.columns == table.columns
@@ -161,14 +172,48 @@ def test_consolidation_tags_regions(spark, exports):
 
 
 def test_region_selection(spark, exports):
-    def chosen(include=(), skip="r-2"):
+    def chosen(include=(), skip=None):
         found = regions.consolidate_regions(spark, exports, "ten", include, skip)["subnets"]
         return {r.identifier for r in found.collect()}
 
-    assert chosen() == {"s-1", "s-2"}
-    assert chosen(skip=None) == {"s-1", "s-2", "s-3"}
-    assert chosen(" r-2 , ,r-3", skip=None) == {"s-3"}
-    assert chosen(["r-2"]) == set()
+    assert chosen(skip="r-2") == {"s-1", "s-2"}
+    assert chosen() == {"s-1", "s-2", "s-3"}
+    assert chosen(" r-2 , ,r-3") == {"s-3"}
+    assert chosen(["r-2"], skip="r-2") == set()
+    rows = spark.createDataFrame([("r-1",), ("r-2",), (None,)], "region string")
+    assert {r.region for r in regions.select_regions(rows, skip="r-2").collect()} == {"r-1", None}
+
+
+def test_only_exact_file_names_are_read(spark, exports, tmp_path):
+    put(tmp_path / "old-subnets-ten-r-1.jsonl", {"identifier": "old"})
+    put(tmp_path / "subnets-ten-r-1.jsonl.bak", {"identifier": "backup"})
+    assert regions.export_regions(spark, exports, "ten") == ["r-1", "r-2", "r-3"]
+    put(tmp_path / "subnets-ten-x-r-1.jsonl", {"identifier": "other tenancy"})
+    with pytest.raises(ValueError, match="x-r-1"):
+        regions.consolidate_regions(spark, exports, "ten")
+    found = regions.consolidate_regions(spark, exports, "ten", ["r-1", "r-2"])["subnets"]
+    assert {(r.region, r.identifier) for r in found.collect()} == {("r-1", "s-1"), ("r-1", "s-2"), ("r-2", "s-3")}
+
+
+def test_parts_of_documents_that_are_lost_show(spark, exports, tmp_path):
+    open_rule = {"source": "0.0.0.0/0", "protocol": "6"}
+    bad = [
+        {"identifier": "sl-1", "additional_details": {"ingressSecurityRules": [open_rule, 5, {"source": ["x"]}, "{"]}},
+        {"identifier": "sl-2", "display_name": {"a": 1}, "additional_details": "text"},
+        {"identifier": "sl-3", "additional_details": {"ingressSecurityRules": [open_rule]}},
+    ]
+    second = '{"identifier": "sl-4"} {"identifier": "sl-5"}'
+    put(tmp_path / "securitylists-ten-r-1.jsonl", *bad, raw=[second, '{"identifier": "sl-6"}, {}'])
+    lists = Inventory.from_regional_jsonl(spark, exports, "ten").securitylists
+    cases = rules.sl_rule_cases(lists).where("securitylist_id = 'sl-1'").orderBy("rule_no").collect()
+    assert [r.insecure_case for r in cases] == ["ALL", None, None, None]
+    assert lists.count() == 5
+    found = audit.load_audit(spark, exports, "ten", ["r-1"])
+    row = found.where("collection = 'securitylists'").first()
+    assert (row.status, row.documents, row.unreadable_lines) == ("PARTIAL_DOCUMENTS", 5, 0)
+    assert row.partial_documents == 4
+    with pytest.raises(ValueError, match="r-1 securitylists: PARTIAL_DOCUMENTS"):
+        audit.require_complete(found.where("collection IN ('subnets', 'securitylists')"))
 
 
 def test_lines_are_copied_verbatim(spark, exports, tmp_path):
