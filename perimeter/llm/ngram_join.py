@@ -19,6 +19,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +31,11 @@ WORDS, PERCENT = 5, 80
 FRAGMENTS = 8
 # Counters of the frequency sketch, bits of the candidate filter: both of fixed size.
 SKETCH_BITS, FILTER_BITS, CHUNKS = 22, 27, 64
+# Rare n-grams that two sets must share to be counted (or all they need, if that is less).
+# One would do; by chance two texts share one far more often than several.
+EVIDENCE = 3
+# Bytes of text that are cut into words at once.
+PIECE = 1 << 20
 LONG, INT, BINARY = pa.int64(), pa.int32(), pa.binary()
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -100,11 +106,23 @@ class Order:
         return np.minimum((place * fragments).astype(np.int64), fragments - 1)
 
 
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of about a megabyte of text: words as objects need many times its memory."""
+    for batch in batches:
+        sizes = np.cumsum(pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy(zero_copy_only=False))
+        at = 0
+        while at < batch.num_rows:
+            before = sizes[at - 1] if at else 0
+            to = max(at + 1, int(np.searchsorted(sizes, before + PIECE, side="right")))
+            yield batch.slice(at, to - at)
+            at = to
+
+
 def _batches(columns: tuple[str, ...], make: Callable) -> Callable:
     """A mapInArrow function from one that turns column lists into rows of arrays."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _pieces(batches):
             yield from make(*(batch[c].to_pylist() for c in columns))
 
     return run
@@ -117,7 +135,7 @@ def _described(words: int) -> Callable:
         counts = np.zeros(1 << SKETCH_BITS, np.int32)
         names = ["doc_id", "n", "class", "chunk", "counts"]
         types = [LONG, LONG, LONG, INT, BINARY]
-        for batch in batches:
+        for batch in _pieces(batches):
             sets = shingle_sets(batch["text"].to_pylist(), words)
             classes = [set_class(s) if len(s) else None for s in sets]
             first = {c: s for c, s in zip(classes, sets, strict=True) if c is not None}
@@ -164,36 +182,100 @@ def global_order(described: DataFrame) -> Order:
     return Order(classes, weights / max(weights.sum(), 1))
 
 
+PREFIX = ["gram", "class", "n", "place", "common"]
+PREFIX_SCHEMA = "gram long, class long, n int, place int, common int"
+
+
 def _prefixes(words: int, percent: int, order) -> Callable:
+    """The rarest n-grams of each set: a row has the set's size, the place of the n-gram in the
+    order, and how common the set's n-grams are on the whole."""
+
     def make(texts):
-        sets = {set_class(s): s for s in shingle_sets(texts, words) if len(s)}
-        firsts = [order.value.rarest(s, len(s) + percent * len(s) // -100 + 1) for s in sets.values()]
-        if firsts:
-            grams = np.concatenate(firsts).view(np.int64)
-            names = np.repeat(np.array(list(sets), np.int64), [len(f) for f in firsts])
-            yield pa.RecordBatch.from_arrays([pa.array(grams), pa.array(names)], ["gram", "class"])
+        columns = [[] for _ in PREFIX]
+        for name, grams in {set_class(s): s for s in shingle_sets(texts, words) if len(s)}.items():
+            first = order.value.rarest(grams, len(grams) + percent * len(grams) // -100 + EVIDENCE)
+            common = int(1000 * order.value.frequency_class(grams).mean())
+            columns[0].append(first.view(np.int64))
+            for column, value in zip(columns[1:3], (name, len(grams)), strict=True):
+                column.append(np.full(len(first), value))
+            columns[3].append(np.arange(len(first)))
+            columns[4].append(np.full(len(first), common))
+        if columns[0]:
+            types = (LONG, LONG, INT, INT, INT)
+            arrays = [pa.array(np.concatenate(c), t) for c, t in zip(columns, types, strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, PREFIX)
 
     return _batches(("text",), make)
 
 
-def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by gram and class: those whose gram has several classes, without repeats."""
-    last, shown = None, False  # the last row, and whether it has been passed on
-    for batch in batches:
-        grams, names = batch["gram"].to_numpy(), batch["class"].to_numpy()
-        if not len(grams):
-            continue
-        if last is not None:
-            grams, names = np.append(last[0], grams), np.append(last[1], names)
-        new = np.append(True, (grams[1:] != grams[:-1]) | (names[1:] != names[:-1]))
-        grams, names = grams[new], names[new]
-        same = grams[1:] == grams[:-1]
-        several = np.append(False, same) | np.append(same, False)
-        fresh = several.copy()
-        fresh[0] &= not shown
-        shown = bool(several[-1]) if len(grams) > 1 else shown
-        last = (grams[-1], names[-1])
-        yield pa.RecordBatch.from_arrays([pa.array(grams[fresh]), pa.array(names[fresh])], ["gram", "class"])
+def _can_link(n, place, m, other, percent: int):
+    """Whether an n-gram at these places of two sets of sizes n and m can be one of the first
+    ``EVIDENCE`` that they share if they link.
+
+    The overlap they need leaves each set so many n-grams outside it, and the first common
+    ones lie no further in than that. Works on numbers, arrays and columns.
+    """
+    # The smallest overlap is percent / (100 + percent) of n + m, rounded up.
+    outside_n = (100 + percent) * (n - place + EVIDENCE - 1) >= percent * (n + m)
+    outside_m = (100 + percent) * (m - other + EVIDENCE - 1) >= percent * (n + m)
+    return outside_n & outside_m & (100 * n >= percent * m) & (100 * m >= percent * n)
+
+
+# Rows of one n-gram that are compared with each other here; of more, all go on.
+NEAR, HELD = 32, 1 << 17
+
+
+def _shared(percent: int) -> Callable:
+    """Of rows sorted by gram and class: those that can link with another class of the gram,
+    without repeats."""
+
+    def chosen(rows: np.ndarray) -> np.ndarray:
+        rows = rows[:, np.append(True, (rows[:2, 1:] != rows[:2, :-1]).any(axis=0))]
+        grams, n, place = rows[0], rows[2], rows[3]
+        keep = np.zeros(rows.shape[1], bool)
+        many = grams[:-NEAR] == grams[NEAR:]
+        for d in range(1, min(NEAR, rows.shape[1] - 1) + 1):
+            same = grams[:-d] == grams[d:]
+            if not same.any():
+                break
+            pairs = same & _can_link(n[:-d], place[:-d], n[d:], place[d:], percent)
+            keep[:-d] |= pairs
+            keep[d:] |= pairs
+        if many.any():
+            keep |= np.isin(grams, grams[:-NEAR][many])
+        return rows[:, keep]
+
+    def batch_of(rows: np.ndarray) -> pa.RecordBatch:
+        types = (LONG, LONG, INT, INT, INT)
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, types, strict=True)], PREFIX)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros((len(PREFIX), 0), np.int64)
+        hot = None  # an n-gram of more rows than are held: all of them go on
+        for batch in batches:
+            rows = np.stack([batch[c].to_numpy().astype(np.int64) for c in PREFIX])
+            held = np.concatenate([held, rows], axis=1)
+            if not held.shape[1]:
+                continue
+            if hot is not None:
+                known = held[0] == hot
+                yield batch_of(held[:, known])
+                held = held[:, ~known]
+                if not held.shape[1]:
+                    continue
+                hot = None
+            whole = int(np.searchsorted(held[0], held[0, -1]))
+            if whole:
+                yield batch_of(chosen(held[:, :whole]))
+                held = held[:, whole:]
+            if held.shape[1] > HELD:
+                hot = held[0, 0]
+                yield batch_of(held)
+                held = held[:, :0]
+        if held.shape[1]:
+            yield batch_of(chosen(held))
+
+    return run
 
 
 def _segments(words: int, fragments: int, order, wanted) -> Callable:
@@ -246,61 +328,76 @@ def _filter_of(ids: DataFrame) -> np.ndarray:
     return bits.ravel()
 
 
-def _counted(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
-    """Pairs x, y (with sizes nx, ny) and ``linked``: partial overlaps per fragment, summed."""
+def _counted(pairs: DataFrame, segments: DataFrame, fragments: int, percent: int) -> DataFrame:
+    """Pairs x, y (with sizes n, m) and ``linked``: partial overlaps per fragment, summed.
+
+    Segments are bucketed by class and fragment and stay where they are; of each pair one
+    segment at a time moves to the other. A set that was cut twice counts once.
+    """
     left = segments.select(F.col("class").alias("x"), "fragment", F.col("grams").alias("left"))
     right = segments.select(F.col("class").alias("y"), "fragment", F.col("grams").alias("right"))
     partial = F.size(F.array_intersect("left", "right")).cast("long")
-    both = pairs.join(left, "x").join(right, ["y", "fragment"], "left")
+    parts = pairs.withColumn("fragment", F.explode(F.sequence(F.lit(0), F.lit(fragments - 1))))
+    both = parts.join(left, ["x", "fragment"]).join(right, ["y", "fragment"])
     overlap = (
-        both.select("x", "y", "nx", "ny", F.coalesce(partial, F.lit(0)).alias("part"))
-        .groupBy("x", "y", "nx", "ny")
+        both.select("x", "y", "fragment", partial.alias("part"))
+        .groupBy("x", "y", "fragment")
+        .agg(F.max("part").alias("part"))
+        .groupBy("x", "y")
         .agg(F.sum("part").alias("shared"))
     )
-    union = F.col("nx") + F.col("ny") - F.col("shared")
-    return overlap.withColumn("linked", 100 * F.col("shared") >= percent * union)
+    shared = F.coalesce("shared", F.lit(0))
+    union = F.col("n") + F.col("m") - shared
+    return pairs.join(overlap, ["x", "y"], "left").select(
+        "x", "y", (100 * shared >= percent * union).alias("linked")
+    )
 
 
-def _similar_size(percent: int):
-    return 100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny")
+def _can_link_columns(percent: int):
+    return _can_link(*(F.col(c).cast("long") for c in ("n", "place", "m", "other")), percent)
+
+
+def _enough(percent: int):
+    """Whether ``times`` shared n-grams are as many as linked sets of sizes n and m share there."""
+    overlap = F.ceil(percent * (F.col("n") + F.col("m")).cast("long") / (100 + percent))
+    return F.col("times") >= F.least(overlap, F.lit(EVIDENCE))
 
 
 def _tied(rows: DataFrame, percent: int) -> DataFrame:
-    """Per class the one pair with a first member of its n-grams that has most of them in common."""
-    turns = rows.withColumn("turn", F.struct(F.xxhash64("label"), "class", "n", "label"))
-    pivots = turns.groupBy("gram").agg(F.min("turn").alias("pivot"))
-    ahead = (
-        rows.join(pivots, "gram")
-        .where(F.col("pivot.label") != F.col("label"))
-        .select("class", "n", F.col("pivot.class").alias("y"), F.col("pivot.n").alias("ny"))
-    )
+    """Per class one pair: with the most common set of one of its n-grams that can link.
+
+    In a group of near copies that is the one with the fewest edits, so most members are tied
+    to it at once. Only a start: pairs between components are all counted in the end.
+    """
+    turn = F.struct(-F.col("common"), "class", F.col("n").alias("m"), F.col("place").alias("other"), "label")
+    centres = rows.groupBy("gram").agg(F.min(turn).alias("centre"))
     pairs = (
-        ahead.select(F.col("class").alias("x"), "y", F.col("n").alias("nx"), "ny")
-        .where(_similar_size(percent))
-        .groupBy("x", "y", "nx", "ny")
-        .agg(F.count(F.lit(1)).alias("common"))
+        rows.join(centres, "gram")
+        .where(F.col("centre.label") != F.col("label"))
+        .select(F.col("class").alias("x"), "n", "place", "centre.m", "centre.other", F.col("centre.class").alias("y"))
+        .where(_can_link_columns(percent))
+        .groupBy("x", "n", "y", "m")
+        .agg(F.count(F.lit(1)).alias("times"))
+        .where(_enough(percent))
     )
-    best = pairs.groupBy("x", "nx").agg(F.max_by(F.struct("y", "ny"), F.struct("common", "y")).alias("b"))
-    return best.select("x", "nx", "b.y", "b.ny")
+    best = pairs.groupBy("x", "n").agg(F.max_by(F.struct("y", "m"), F.struct("times", "y")).alias("b"))
+    return best.select("x", "n", "b.y", "b.m")
 
 
 def _remaining(rows: DataFrame, percent: int) -> DataFrame:
-    """All pairs of classes of different components that share one of their rarest n-grams."""
-    names = ("class", "n", "label")
-    left = rows.select("gram", *(F.col(c).alias(f"{c}_x") for c in names))
-    right = rows.select("gram", *(F.col(c).alias(f"{c}_y") for c in names))
-    sizes = (100 * F.col("n_x") >= percent * F.col("n_y")) & (100 * F.col("n_y") >= percent * F.col("n_x"))
-    return (
-        left.join(right, "gram")
-        .where((F.col("class_x") < F.col("class_y")) & (F.col("label_x") != F.col("label_y")) & sizes)
-        .select(
-            F.col("class_x").alias("x"),
-            F.col("class_y").alias("y"),
-            F.col("n_x").alias("nx"),
-            F.col("n_y").alias("ny"),
-        )
-        .distinct()
+    """All pairs of classes of different components that share enough rare n-grams to link."""
+    left = rows.select("gram", F.col("class").alias("x"), "n", "place", F.col("label").alias("label_x"))
+    right = rows.select(
+        "gram",
+        F.col("class").alias("y"),
+        F.col("n").alias("m"),
+        F.col("place").alias("other"),
+        F.col("label").alias("label_y"),
     )
+    apart = (F.col("x") < F.col("y")) & (F.col("label_x") != F.col("label_y"))
+    pairs = left.join(right, "gram").where(apart & _can_link_columns(percent))
+    shared = pairs.groupBy("x", "y", "n", "m").agg(F.count(F.lit(1)).alias("times"))
+    return shared.where(_enough(percent)).drop("times")
 
 
 def _open(rows: DataFrame) -> DataFrame:
@@ -316,7 +413,7 @@ def jaccard_components(
     words: int = WORDS,
     percent: int = PERCENT,
     fragments: int = FRAGMENTS,
-    tying_rounds: int = 2,
+    tying_rounds: int = 1,
 ) -> DataFrame:
     """doc_id, n_shingles, class (smallest id with an equal set), component_id, per row.
 
@@ -339,21 +436,24 @@ def jaccard_components(
     classes = scratch.store(
         rows.where("n > 0").groupBy("class", "n").agg(F.min("doc_id").alias("first")), "classes"
     )
-    prefixes = source.select("text").mapInArrow(_prefixes(words, percent, order), "gram long, class long")
-    shared = (
-        prefixes.repartition("gram").sortWithinPartitions("gram", "class").mapInArrow(_shared, "gram long, class long")
-    )
+    prefixes = source.select("text").mapInArrow(_prefixes(words, percent, order), PREFIX_SCHEMA)
     shared = scratch.store(
-        scratch.store(shared, "shared").join(classes.select("class", "n"), "class"), "sized"
+        prefixes.repartition("gram")
+        .sortWithinPartitions("gram", "class")
+        .mapInArrow(_shared(percent), PREFIX_SCHEMA),
+        "shared",
     )
-    candidates = shared.select("class").distinct()
-    # Rows without id can't be found again by it: all of them pass the filter.
-    ids = classes.join(candidates, "class", "left_semi").select(F.col("first").alias("doc_id"))
-    wanted = spark.sparkContext.broadcast(_filter_of(ids.where(F.col("doc_id").isNotNull())))
-    cut = source.mapInArrow(
-        _segments(words, fragments, order, wanted), "class long, fragment int, grams array<long>"
-    )
-    segments = scratch.store(cut.dropDuplicates(["class", "fragment"]), "segments")
+
+    def segments_of(pairs: DataFrame) -> DataFrame:
+        """Segments of the sets that occur in pairs, cut anew from the texts."""
+        named = pairs.select(F.explode(F.array("x", "y")).alias("class")).distinct()
+        ids = classes.join(named, "class", "left_semi").select(F.col("first").alias("doc_id"))
+        # Rows without id can't be found again by it: all of them pass the filter.
+        wanted = spark.sparkContext.broadcast(_filter_of(ids.where(F.col("doc_id").isNotNull())))
+        cut = source.mapInArrow(
+            _segments(words, fragments, order, wanted), "class long, fragment int, grams array<long>"
+        )
+        return scratch.bucketed(cut, "segments", "class", "fragment")
 
     labels = None
     counted = None
@@ -362,18 +462,20 @@ def jaccard_components(
         if labels is not None:
             labelled = shared.join(
                 labels.select(F.col("node").alias("class"), F.col("label").alias("_label")), "class", "left"
-            ).select("gram", "class", "n", F.coalesce("_label", "class").alias("label"))
+            ).select(*PREFIX, F.coalesce("_label", "class").alias("label"))
         remaining = scratch.store(_open(labelled), "open")
         pairs = _remaining(remaining, percent) if turn == tying_rounds else _tied(remaining, percent)
         pairs = pairs.select(
             F.least("x", "y").alias("x"),
             F.greatest("x", "y").alias("y"),
-            F.when(F.col("x") < F.col("y"), F.col("nx")).otherwise(F.col("ny")).alias("nx"),
-            F.when(F.col("x") < F.col("y"), F.col("ny")).otherwise(F.col("nx")).alias("ny"),
+            F.when(F.col("x") < F.col("y"), F.col("n")).otherwise(F.col("m")).cast("long").alias("n"),
+            F.when(F.col("x") < F.col("y"), F.col("m")).otherwise(F.col("n")).cast("long").alias("m"),
         ).distinct()
         if counted is not None:
             pairs = pairs.join(counted.select("x", "y"), ["x", "y"], "left_anti")
-        found = scratch.store(_counted(pairs, segments, percent), "counted")
+        # Written, so that Spark knows how small they are and need not move the segments.
+        pairs = scratch.store(pairs, "pairs")
+        found = scratch.store(_counted(pairs, segments_of(pairs), fragments, percent), "counted")
         counted = found if counted is None else counted.unionByName(found)
         edges = found.where("linked").select(F.col("x").alias("u"), F.col("y").alias("v"))
         if labels is not None:
