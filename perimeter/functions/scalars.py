@@ -59,32 +59,35 @@ def is_open(source: str = "source", direction: str | None = None) -> Column:
     return F.expr(_open(source, direction))
 
 
-def insecure_case(
+def insecure_case_sql(
     source: str = "source",
     protocol: str = "protocol",
     has_tcp: str = "has_tcp",
     low: str = "tcp_port_min",
     high: str = "tcp_port_max",
     direction: str | None = None,
-) -> Column:
+) -> str:
     """``ALL``, ``22`` or ``3389`` for an over-permissive open rule, else NULL."""
-    return F.expr(
-        f"""CASE WHEN {_open(source, direction)} THEN
+    return f"""CASE WHEN {_open(source, direction)} THEN
               CASE WHEN {_every_port(protocol, has_tcp)} THEN '{K.CASE_ALL}'
                    WHEN {protocol} {_TCP} AND {_covers(K.SSH_PORT, low, high)} THEN '{K.CASE_SSH}'
                    WHEN {protocol} {_TCP} AND {_covers(K.RDP_PORT, low, high)} THEN '{K.CASE_RDP}'
               END END"""
-    )
 
 
-def is_other(
+def insecure_case(**names: str | None) -> Column:
+    """``insecure_case_sql`` as a column."""
+    return F.expr(insecure_case_sql(**names))
+
+
+def is_other_sql(
     source: str = "source",
     protocol: str = "protocol",
     has_tcp: str = "has_tcp",
     low: str = "tcp_port_min",
     high: str = "tcp_port_max",
     direction: str | None = None,
-) -> Column:
+) -> str:
     """True for open rules that are not insecure.
 
     Three-valued on purpose: a missing protocol makes the condition NULL, so
@@ -92,7 +95,12 @@ def is_other(
     """
     admin = f"({_covers(K.SSH_PORT, low, high)} OR {_covers(K.RDP_PORT, low, high)})"
     insecure = f"({_every_port(protocol, has_tcp)} OR ({protocol} {_TCP} AND {admin}))"
-    return F.expr(f"{_open(source, direction)} AND NOT {insecure}")
+    return f"{_open(source, direction)} AND NOT {insecure}"
+
+
+def is_other(**names: str | None) -> Column:
+    """``is_other_sql`` as a column."""
+    return F.expr(is_other_sql(**names))
 
 
 def protocol_label(protocol: str = "protocol", upper_all: bool = False) -> Column:

@@ -47,12 +47,22 @@ def sl_rule_cases(securitylists: DataFrame) -> DataFrame:
 
 def sl_insecure_rules(securitylists: DataFrame) -> DataFrame:
     """Over-permissive open rules with their case."""
-    return sl_rule_cases(securitylists).where("insecure_case IS NOT NULL")
+    return sl_rule_cases(securitylists.where("has_insecure")).where("insecure_case IS NOT NULL")
 
 
 def sl_other_rules(securitylists: DataFrame) -> DataFrame:
     """Open rules that are not insecure."""
-    return sl_rules(securitylists).where(scalars.is_other())
+    return sl_rules(securitylists.where("has_other")).where(scalars.is_other())
+
+
+def sl_insecure_ids(securitylists: DataFrame) -> DataFrame:
+    """Lists with an insecure rule, without taking the rules apart."""
+    return securitylists.where("has_insecure").select("securitylist_id")
+
+
+def sl_other_ids(securitylists: DataFrame) -> DataFrame:
+    """Lists with an open rule that is not insecure."""
+    return securitylists.where("has_other").select("securitylist_id")
 
 
 def nsg_rules(nsgrules: DataFrame) -> DataFrame:
@@ -67,8 +77,7 @@ def nsg_open_rules(nsgrules: DataFrame) -> DataFrame:
 
 def nsg_rule_cases(nsgrules: DataFrame) -> DataFrame:
     """Every group rule with its ``insecure_case``, NULL when it has none."""
-    case = scalars.insecure_case(direction="direction")
-    return nsg_rules(nsgrules).withColumn("insecure_case", case)
+    return nsgrules.select("nsg_id", "rule_id", "direction", *RULE_FIELDS, "insecure_case")
 
 
 def nsg_insecure_rules(nsgrules: DataFrame) -> DataFrame:
@@ -84,7 +93,7 @@ def nsg_insecure_flags(nsgrules: DataFrame) -> DataFrame:
 
 def nsg_other_rules(nsgrules: DataFrame) -> DataFrame:
     """Open group ingress rules that are not insecure."""
-    return nsg_rules(nsgrules).where(scalars.is_other(direction="direction"))
+    return nsg_rules(nsgrules.where("is_other"))
 
 
 _CASES = (K.CASE_ALL, K.CASE_SSH, K.CASE_RDP)

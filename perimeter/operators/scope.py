@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from perimeter import constants as K
 from perimeter.operators.skew import HotKeys, keyed_join
 
 PUBLIC = "public"
@@ -17,8 +16,7 @@ SUBNET_WITH_FLAG = (*SUBNET, "prohibit_public_ip_on_vnic")
 
 def igw_route_tables(routes: DataFrame) -> DataFrame:
     """Route tables with a route to an internet gateway, each once."""
-    to_gateway = F.exists("entity_ids", lambda e: e.contains(K.INTERNET_GATEWAY_MARKER))
-    return routes.where(to_gateway).select("route_table_id").distinct()
+    return routes.where("has_igw").select("route_table_id").distinct()
 
 
 def scope_subnets(
@@ -38,7 +36,9 @@ def scope_subnets(
         raise ValueError(f"scope must be {PUBLIC!r} or {PRIVATE!r}, not {scope!r}")
     flag = F.coalesce("prohibit_public_ip_on_vnic", F.lit(""))
     wanted = F.lit("false" if scope == PUBLIC else "true")
-    rows = subnets if scope == PRIVATE else subnets.where(flag == wanted)
+    # A plain equality, which the scan of stored files can use.
+    allowed = F.col("prohibit_public_ip_on_vnic") == wanted
+    rows = subnets if scope == PRIVATE else subnets.where(allowed)
     rows = rows.groupBy(*columns).agg(F.bool_or(flag == wanted).alias("_flagged"))
     gateways = igw_route_tables(routes)
     hot_left = hot.on("subnets.route_table_id")

@@ -37,7 +37,9 @@ from perimeter.operators.rules import (
     labelled,
     nsg_insecure_rules,
     nsg_other_rules,
+    sl_insecure_ids,
     sl_insecure_rules,
+    sl_other_ids,
     sl_other_rules,
 )
 from perimeter.operators.scope import SUBNET, SUBNET_WITH_FLAG, scope_subnets
@@ -198,7 +200,7 @@ def insecure_vnics(inventory: Inventory, scope: str, ordered: bool = True) -> Da
     return _exposed_vnics(
         inventory,
         scope,
-        sl_insecure_rules(inventory.securitylists),
+        sl_insecure_ids(inventory.securitylists),
         nsg_insecure_rules(inventory.nsgrules),
         ordered,
     )
@@ -209,7 +211,7 @@ def insecure_subnets(inventory: Inventory, scope: str, ordered: bool = True) ->
     return _exposed_subnets(
         inventory,
         scope,
-        sl_insecure_rules(inventory.securitylists),
+        sl_insecure_ids(inventory.securitylists),
         nsg_insecure_rules(inventory.nsgrules),
         ordered,
     )
@@ -220,7 +222,7 @@ def other_vnics(inventory: Inventory, scope: str, ordered: bool = True) -> DataF
     return _exposed_vnics(
         inventory,
         scope,
-        sl_other_rules(inventory.securitylists),
+        sl_other_ids(inventory.securitylists),
         nsg_other_rules(inventory.nsgrules),
         ordered,
     )
@@ -231,7 +233,7 @@ def other_subnets(inventory: Inventory, scope: str, ordered: bool = True) -> Dat
     return _exposed_subnets(
         inventory,
         scope,
-        sl_other_rules(inventory.securitylists),
+        sl_other_ids(inventory.securitylists),
         nsg_other_rules(inventory.nsgrules),
         ordered,
     )

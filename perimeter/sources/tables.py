@@ -9,7 +9,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from perimeter.functions.scalars import elements, parsed, port, text
+from perimeter.constants import INTERNET_GATEWAY_MARKER
+from perimeter.functions.scalars import (
+    elements,
+    insecure_case_sql,
+    is_other_sql,
+    parsed,
+    port,
+    text,
+)
 from perimeter.schemas import INGRESS_RULE, ROUTE_RULE, document_schema
 
 _DETAILS = "additional_details"
@@ -102,6 +110,31 @@ _PROJECTIONS: dict[str, dict[str, str]] = {
     },
 }
 
+_OF_RULE = {
+    name: f"r.{column}"
+    for name, column in {
+        "source": "source",
+        "protocol": "protocol",
+        "has_tcp": "has_tcp",
+        "low": "tcp_port_min",
+        "high": "tcp_port_max",
+    }.items()
+}
+
+# Marks that reports filter by. They are columns, so the filters reach the stored files
+# and no list of rules is taken apart to learn whether it has one.
+_MARKS: dict[str, dict[str, str]] = {
+    "routes": {"has_igw": f"exists(entity_ids, e -> contains(e, '{INTERNET_GATEWAY_MARKER}'))"},
+    "securitylists": {
+        "has_insecure": f"exists(ingress_rules, r -> {insecure_case_sql(**_OF_RULE)} IS NOT NULL)",
+        "has_other": f"exists(ingress_rules, r -> {is_other_sql(**_OF_RULE)})",
+    },
+    "nsgrules": {
+        "insecure_case": insecure_case_sql(direction="direction"),
+        "is_other": is_other_sql(direction="direction"),
+    },
+}
+
 # The column that names a row of each typed table; stored tables are sorted by it.
 SORT_COLUMN = {
     "routes": "route_table_id",
@@ -120,7 +153,8 @@ def typed(collection: str, documents: DataFrame) -> DataFrame:
     """Typed table of ``collection``; keeps one row per document."""
     columns = [f"{value} AS {name}" for name, value in _PROJECTIONS[collection].items()]
     region = "region" if "region" in documents.columns else "CAST(NULL AS STRING) AS region"
-    return documents.selectExpr(*columns, region)
+    marks = [f"{value} AS {name}" for name, value in _MARKS.get(collection, {}).items()]
+    return documents.selectExpr(*columns, region).selectExpr("*", *marks)
 
 
 def table_schema(spark: SparkSession, collection: str) -> T.StructType:

@@ -124,7 +124,7 @@ def _blocks() -> dict[str, Query]:
             lambda i: _policy_case(rules.sl_rule_cases(i.securitylists), "securitylist_id")
         ),
         "sl_insecure_ids": _on(
-            lambda i: rules.sl_insecure_rules(i.securitylists).select("securitylist_id").distinct()
+            lambda i: rules.sl_insecure_ids(i.securitylists).distinct()
         ),
         "sl_other_rules": _on(lambda i: rules.sl_other_rules(i.securitylists)),
         "nsg_rules": _on(lambda i: rules.nsg_rules(i.nsgrules)),
@@ -138,7 +138,7 @@ def _blocks() -> dict[str, Query]:
         ),
         "nsg_other_rules": _on(lambda i: rules.nsg_other_rules(i.nsgrules)),
         "sl_other_ids": _on(
-            lambda i: rules.sl_other_rules(i.securitylists).select("securitylist_id").distinct()
+            lambda i: rules.sl_other_ids(i.securitylists).distinct()
         ),
         "nsg_other_ids": _on(
             lambda i: rules.nsg_other_rules(i.nsgrules).select("nsg_id").distinct()

@@ -88,3 +88,18 @@ def test_no_query_runs_python_or_crosses(spark, key):
     text = plan(queries()[key](spark, SF_DIR))
     for unwanted in ("Python", "CartesianProduct", "NestedLoop"):
         assert unwanted not in text
+
+
+@pytest.mark.parametrize("name", ["insecure_vnics", "insecure_subnets", "other_vnics", "other_subnets"])
+def test_existence_takes_no_rules_apart(large, inventory, name):
+    mark = "has_insecure" if name.startswith("insecure") else "has_other"
+    text = reports.SCOPED_REPORTS[name](inventory, "public")._jdf.queryExecution().toString()
+    assert "ingress_rules" not in text.split("== Physical Plan ==")[1]
+    assert f"EqualTo({mark},true)" in text or f"IsNotNull({mark})" in text
+
+
+def test_filters_reach_the_scans(large, inventory):
+    text = reports.insecure_nsg(inventory, "public")._jdf.queryExecution().toString()
+    assert "IsNotNull(insecure_case)" in text
+    assert "EqualTo(prohibit_public_ip_on_vnic,false)" in text
+    assert "EqualTo(has_igw,true)" in text or "IsNotNull(has_igw)" in text
