@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
@@ -22,7 +23,7 @@ from perimeter.llm.shared import Scratch
 ORDER = 4
 START = 2  # pads the beginning of a text
 # Text bytes of a block, and most ids of trusted documents that are broadcast.
-BLOCK_BYTES, MAX_BROADCAST_IDS = 64 << 20, 4_000_000
+BLOCK_BYTES, MAX_BROADCAST_IDS = 24 << 20, 4_000_000
 QUANTILE = 0.995
 _MASK = (1 << 48) - 1
 
@@ -41,8 +42,9 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Gram counts, added up batch by batch of about 2 MB of text."""
 
     def emit(parts: list[np.ndarray]) -> pa.RecordBatch:
-        values, often = np.unique(np.concatenate(parts), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(values), pa.array(often)], ["gram", "times"])
+        counts = pd.Series(np.concatenate(parts)).value_counts(sort=False)
+        columns = [pa.array(counts.index.to_numpy()), pa.array(counts.to_numpy(np.int64))]
+        return pa.RecordBatch.from_arrays(columns, ["gram", "times"])
 
     parts, size = [], 0
     for batch in batches:
@@ -137,38 +139,38 @@ def _text(blob: bytes) -> str:
 
 
 def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(block, gram) without repeats within about 4 MB of text; a task may hold several blocks."""
+    """(block, gram) without repeats in a task; it holds the distinct grams of its blocks."""
     held: dict[int, list[np.ndarray]] = {}
-    size = 0
+    sizes: dict[int, int] = {}
 
-    def emit() -> Iterator[pa.RecordBatch]:
-        for block, parts in held.items():
-            values = np.unique(np.concatenate(parts))
-            columns = [pa.array(np.full(len(values), block, np.int32)), pa.array(values)]
-            yield pa.RecordBatch.from_arrays(columns, ["block", "gram"])
+    def shrink(block: int) -> None:
+        held[block] = [pd.unique(np.concatenate(held[block]))]
+        sizes[block] = 0
 
     for batch in batches:
         for block, blob in zip(batch["block"].to_pylist(), batch["packed"].to_pylist(), strict=True):
-            grams = np.unique(grams_of(_text(blob)))
+            grams = grams_of(_text(blob))
             held.setdefault(block, []).append(grams)
-            size += len(grams)
-            if size > 1 << 21:
-                held = {b: [np.unique(np.concatenate(p))] for b, p in held.items()}
-                size = 0
-    yield from emit()
+            sizes[block] = sizes.get(block, 0) + len(grams)
+            if sizes[block] > 1 << 20:
+                shrink(block)
+    for block in held:
+        shrink(block)
+        columns = [pa.array(np.full(len(held[block][0]), block, np.int32)), pa.array(held[block][0])]
+        yield pa.RecordBatch.from_arrays(columns, ["block", "gram"])
 
 
 def _score(documents: pa.Table, known: pa.Table) -> pa.Table:
-    grams, logs = known["gram"].to_numpy(), known["log_p"].to_numpy().astype(np.float64)
-    order = np.argsort(grams)
-    grams, logs = grams[order], logs[order]
+    grams, logs = pd.Index(known["gram"].to_numpy()), known["log_p"].to_numpy().astype(np.float64)
     means = []
     for blob in documents["packed"].to_pylist():
         own = grams_of(_text(blob))
         if not len(own):
             means.append((0, None))
             continue
-        place = np.searchsorted(grams, own)
+        place = grams.get_indexer(own)
+        if (place < 0).any():
+            raise ValueError("a gram of the block was not looked up")
         means.append((len(own), float(np.exp(-logs[place].mean()))))
     return pa.table(
         {
