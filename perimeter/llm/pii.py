@@ -93,8 +93,8 @@ def luhn_ok(number: Column) -> Column:
     each = F.split(F.reverse(number), "")
     values = F.transform(
         each,
-        lambda d, i: F.when(i % 2 == 0, d.cast("int")).otherwise(
-            d.cast("int") * 2 - F.when(d.cast("int") > 4, 9).otherwise(0)
+        lambda d, i: F.when(i % 2 == 0, d.try_cast("int")).otherwise(
+            d.try_cast("int") * 2 - F.when(d.try_cast("int") > 4, 9).otherwise(0)
         ),
     )
     return F.aggregate(values, F.lit(0), lambda a, x: a + F.coalesce(x, F.lit(0))) % 10 == 0
