@@ -3,8 +3,13 @@
 Generators propose spans. The strict ones give the base spans, which always stay. The
 loose ones, of high recall, also accept masked forms (``a (at) b.example``, ``10[.]1[.]2[.]3``,
 numbers grouped by other signs) and overlap. Gradient-boosted trees score every loose
-candidate by its format and context, and a threshold per kind, calibrated on candidates
-that training has not seen, selects what is added.
+candidate by its format and context, and a threshold per kind, calibrated on all labelled
+candidates that training has not seen, selects what is added.
+
+Candidates that pass the test of their kind (checksum, octets, number of digits, form of an
+address) and lie in no strict span of another kind are what the model decides. The others are
+known to be wrong. Features describe the unmasked value and leave out what only tells strict
+forms from loose ones, as labels would make the trees learn just that.
 """
 
 from __future__ import annotations
@@ -16,7 +21,6 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from perimeter.llm.shared import Scratch
 
@@ -38,6 +42,13 @@ LOOSE = {
     "card": r"(?<![0-9])[0-9]{4}(?:[\x20./_-]{0,2}[0-9]{4}){2}[\x20./_-]{0,2}[0-9]{1,7}(?![0-9])",
     "phone": r"(?<![0-9A-Za-z])(?:00|\+\x20?)?[(]?[0-9]{2,4}[)]?[\x20./-][0-9]{3,4}[\x20./-]?[0-9]{3,5}(?![0-9A-Za-z])",
 }
+# What looks like an address at first, but has no domain: only a negative example.
+NEAR = {"email": rf"(?i)(?<![a-z0-9._%+-])[a-z0-9._%+-]++{_AT}[a-z0-9-]++(?!{_DOT}[a-z0-9-])"}
+# The form of an address: at most 64 characters before the sign, labels, a top-level domain.
+_ADDRESS = (
+    r"(?i)^(?=[^@]{1,64}@)[a-z0-9_%+-]++(?:\.[a-z0-9_%+-]++)*+"
+    r"@(?:(?!-)[a-z0-9-]{1,63}+(?<!-)\.)+(?:[a-z]{2,63}|xn--[a-z0-9-]+)$"
+)
 # A text without this can't hold the kind: a cheap test before the patterns.
 _NEEDS = {"email": r"@|(?i:\Wat\W)", "ip": "[0-9]", "card": "[0-9]", "phone": "[0-9]"}
 _CONTEXT = {
@@ -49,13 +60,14 @@ _CONTEXT = {
 REACH = 24
 FEATURES = (
     "length", "digits", "letters", "groups", "longest_group", "shortest_group", "signs",
-    "distinct_digits", "luhn", "octets", "tld", "masked", "leading_plus", "context",
-    "word_before", "word_after", "strict_other",
+    "distinct_digits", "sound", "context", "word_before", "word_after",
 )
-# Bounds of the classifier: candidates it is fitted and calibrated on, drawn by hash.
-MAX_SAMPLE = 20_000
+# The trees are fitted on about so many candidates per kind and label, drawn by hash, and on at
+# most half of them; all others calibrate, by a histogram of scores with so many bins.
+MAX_SAMPLE = 2_500
 MIN_SAMPLE = 200
 PRECISION = 0.995
+BINS = 1_000
 ROUNDS, DEPTH, SEED = 12, 3, 7
 
 
@@ -118,6 +130,25 @@ def _passes(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
+def _plain(kind: str, value: Column) -> Column:
+    """The value without masks."""
+    if kind not in ("email", "ip"):
+        return value
+    dots = r"(?i)[\x20]?(?:[\[({]dot[\])}]|\[\.\]|\(\.\))[\x20]?"
+    return F.regexp_replace(
+        F.regexp_replace(value, r"(?i)[\x20]?[\[({]at[\])}][\x20]?", "@"), dots, "."
+    )
+
+
+def _address_ok(value: Column) -> Column:
+    return F.when(F.length(value) <= 320, value.rlike(_ADDRESS)).otherwise(False)
+
+
+def _sound(kind: str, value: Column) -> Column:
+    """Whether the content of an unmasked value can be of the kind."""
+    return _address_ok(value) if kind == "email" else _passes(kind, value)
+
+
 def _if_possible(kind: str, text: Column, spans: Column) -> Column:
     none = F.array().cast("array<struct<start:int,value:string>>")
     return F.when(text.rlike(_NEEDS[kind]), spans).otherwise(none)
@@ -134,12 +165,18 @@ def _number(condition: Column) -> Column:
     return condition.cast("double")
 
 
-def _described(kind: str, text: Column, spans: Column) -> Column:
-    """Spans with kind, end and features."""
+def _described(kind: str, text: Column, spans: Column, others: list[Column]) -> Column:
+    """Spans with kind, end, features and whether they pass; within one of ``others`` none does."""
 
     def describe(span: Column) -> Column:
-        value, start = span["value"], span["start"]
-        end = start + F.length(value)
+        start = span["start"]
+        end = start + F.length(span["value"])
+        value = _plain(kind, span["value"])
+        passes = sound = _sound(kind, value)
+        for other in others:
+            passes = passes & ~F.exists(
+                other, lambda o: (o["start"] <= start) & (end <= o["start"] + F.length(o["value"]))
+            )
         before = F.substring(text, F.greatest(start - REACH, F.lit(0)) + 1, F.least(start, F.lit(REACH)))
         after = F.substring(text, end + 1, F.lit(1))
         number = digits(value)
@@ -155,22 +192,17 @@ def _described(kind: str, text: Column, spans: Column) -> Column:
             "shortest_group": F.coalesce(F.array_min(groups), F.lit(0)),
             "signs": F.length(F.regexp_replace(value, r"[A-Za-z0-9\x20]", "")),
             "distinct_digits": F.size(F.array_distinct(F.split(number, ""))),
-            "luhn": luhn_ok(number),
-            "octets": octets_ok(value),
-            "tld": value.rlike(r"(?i)[\.\]\)\}\x20][a-z]{2,12}$"),
-            "masked": value.rlike(r"(?i)[\[\(\{](?:at|dot|\.)[\]\)\}]"),
-            "leading_plus": value.rlike(r"^(?:\+|00)"),
+            "sound": sound,
             "context": before.rlike(_CONTEXT[kind]),
             "word_before": before.rlike(r"[\p{L}0-9_=/\"'-]$"),
             "word_after": after.rlike(r"[\p{L}0-9_=/\"'-]"),
-            "strict_other": (F.length(number) >= 13) & (F.size(groups) == 1),
         }
         numbers = [features[name].cast("int").cast("double") for name in FEATURES]
         return F.struct(
             F.lit(kind).alias("kind"),
             start.alias("start"),
             end.alias("end"),
-            _passes(kind, value).alias("passes"),
+            passes.alias("passes"),
             F.array(*numbers).alias("features"),
         )
 
@@ -187,10 +219,15 @@ def candidates(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
         F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc_id"), whole.alias("text")
     )
     body = F.col("text")
+
+    def loose(kind: str) -> Column:
+        found = located(body, LOOSE[kind])
+        return F.concat(found, located(body, NEAR[kind])) if kind in NEAR else found
+
     rows = rows.select(
         "*",
         *(base_spans(body, kind).alias(f"base_{kind}") for kind in KINDS),
-        *(_if_possible(kind, body, located(body, LOOSE[kind])).alias(f"loose_{kind}") for kind in KINDS),
+        *(_if_possible(kind, body, loose(kind)).alias(f"loose_{kind}") for kind in KINDS),
     )
 
     def apart(kind: str) -> Column:
@@ -206,7 +243,9 @@ def candidates(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
 
     def joined(prefix: str) -> Column:
         parts = [
-            _described(kind, body, F.col(f"base_{kind}") if prefix == "base" else apart(kind))
+            _described(kind, body, F.col("base_" + kind), [])
+            if prefix == "base"
+            else _described(kind, body, apart(kind), [F.col(f"base_{k}") for k in KINDS if k != kind])
             for kind in KINDS
         ]
         return F.concat(*parts).alias(prefix)
@@ -214,17 +253,17 @@ def candidates(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
     return rows.select("row", "doc_id", joined("base"), joined("loose"))
 
 
-def _sample(found: DataFrame) -> DataFrame:
-    """Labelled candidates: strict spans against loose ones whose content fails the kind's test.
+def _labelled(found: DataFrame) -> DataFrame:
+    """Strict spans that pass against strict and loose ones that don't, with a hash in [0, 1).
 
     Loose candidates that pass are what the model decides; they have no label.
     """
     columns = ("row", "c.kind", "c.start", "c.features")
-    strict = found.select("row", F.explode("base").alias("c")).select(*columns, F.lit(1.0).alias("label"))
+    strict = found.select("row", F.explode("base").alias("c")).select(*columns, _number(F.col("c.passes")).alias("label"))
     loose = found.select("row", F.explode("loose").alias("c")).where(~F.col("c.passes"))
     labelled = strict.unionByName(loose.select(*columns, F.lit(0.0).alias("label")))
-    order = F.xxhash64("row", "start", "kind")
-    return labelled.withColumn("order", order).orderBy("order").limit(MAX_SAMPLE)
+    order = F.pmod(F.xxhash64("row", "start", "kind"), F.lit(1 << 30)) / (1 << 30)
+    return labelled.withColumn("order", order)
 
 
 def _vectors(rows: DataFrame) -> DataFrame:
@@ -241,32 +280,53 @@ def _scored(model, rows: DataFrame) -> DataFrame:
     return model.transform(_vectors(rows)).withColumn("score", vector_to_array("probability")[1])
 
 
+def _threshold(bins: dict[int, tuple[int, int]]) -> float | None:
+    """The lowest bin edge from which ``PRECISION`` of the labelled scores are strict; None if none is.
+
+    ``bins`` has strict and all candidates per filled bin. Empty ones belong to what lies above.
+    """
+    best, strict, total = None, 0, 0
+    for bin_ in range(BINS, -1, -1):
+        more = bins.get(bin_, (0, 0))
+        strict, total = strict + more[0], total + more[1]
+        if strict and strict >= PRECISION * total:
+            best = bin_ / BINS
+    return best
+
+
 def fit(found: DataFrame, scratch: Scratch):
     """The model and the threshold per kind; no model where there is too little to learn from.
 
-    Three quarters of the sample fit the trees. On the rest the threshold is the lowest score
-    from which at least ``PRECISION`` of the candidates of the kind are strict.
+    Kinds and labels are drawn separately, so a rare kind is fitted and calibrated whatever
+    there is of others. The counts that give thresholds are at most ``BINS`` + 1 per kind.
     """
-    sample = scratch.store(_sample(found), "sample")
-    counts = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
-    if min(counts.get(0.0, 0), counts.get(1.0, 0)) * 2 < MIN_SAMPLE:
+    labelled = _labelled(found)
+    cells = {
+        (r["kind"], r["label"]): r["count"] for r in labelled.groupBy("kind", "label").count().collect()
+    }
+    amounts = {label: sum(n for (_, x), n in cells.items() if x == label) for label in (0.0, 1.0)}
+    if min(amounts.values()) * 2 < MIN_SAMPLE:
         return None, {}
-    held_out = F.pmod("order", F.lit(4)) == 0
+    share = F.lit(0.0)
+    for (kind, label), count in cells.items():
+        here = (F.col("kind") == kind) & (F.col("label") == label)
+        share = F.when(here, F.lit(min(0.5, MAX_SAMPLE / count))).otherwise(share)
+    fitted = F.col("order") < share
+    sample = scratch.store(labelled.where(fitted), "sample")
     trees = GBTClassifier(
         featuresCol="vector", labelCol="label", maxIter=ROUNDS, maxDepth=DEPTH, seed=SEED
     )
-    model = trees.fit(_vectors(sample.where(~held_out)))
-    better = W.partitionBy("kind").orderBy(F.desc("score")).rangeBetween(
-        W.unboundedPreceding, W.currentRow
-    )
-    sure = (
-        _scored(model, sample.where(held_out))
-        .withColumn("precision", F.avg("label").over(better))
-        .where(F.col("precision") >= PRECISION)
-        .groupBy("kind")
-        .agg(F.min("score").alias("threshold"))
+    model = trees.fit(_vectors(sample))
+    histogram = (
+        _scored(model, labelled.where(~fitted))
+        .groupBy("kind", F.floor(F.col("score") * BINS).cast("int").alias("bin"))
+        .agg(F.sum("label").alias("strict"), F.count(F.lit(1)).alias("total"))
     )
-    return model, {r["kind"]: r["threshold"] for r in sure.collect()}
+    bins: dict[str, dict[int, tuple[int, int]]] = {}
+    for r in histogram.collect():
+        bins.setdefault(r["kind"], {})[r["bin"]] = (int(r["strict"]), r["total"])
+    limits = {kind: _threshold(filled) for kind, filled in bins.items()}
+    return model, {kind: limit for kind, limit in limits.items() if limit is not None}
 
 
 def find(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -92,6 +92,22 @@ def test_masked_forms_are_added_and_clean_text_is_left(documents):
     assert sum(bool(added) for i, (_, added) in found.items() if 5_000 <= i < 6_000) in (0, 20)
 
 
+def test_a_rare_kind_is_calibrated_beside_a_frequent_one(documents, monkeypatch):
+    """6,000 cards beside 12 addresses: their masked forms are still added."""
+    monkeypatch.setattr(pii, "MAX_SAMPLE", 300)
+    rng = random.Random(3)
+    rows = []
+    for n in range(300):
+        cards = [_card(rng) for _ in range(20)]
+        rows.append((n, " und ".join(c if k % 2 else c[:-1] + str((int(c[-1]) + 1) % 10) for k, c in enumerate(cards))))
+    rows += [(2_000 + n, f"see u{n}@mail{n}.example.com or u{n} (at) home, u{n}@host{n}") for n in range(12)]
+    rows += [(3_000 + n, f"see me{n} (at) mail{n}.example.com now") for n in range(20)]
+    found = _found(documents(rows))
+    kinds = {i: [kind for kind, _, _ in added] for i, (_, added) in found.items()}
+    assert all(kinds[3_000 + n] == ["email"] for n in range(20))
+    assert not any(kinds[2_000 + n] for n in range(12))
+
+
 def test_odd_rows(documents, clashing):
     rows = [(1, None), (2, ""), (3, "9" * 60_000), (4, "a" * 60_000 + "@"), (5, "a@b.c"), (5, "a@b.c"), (None, "x 10.0.0.1")]
     found = pii.find(clashing(documents(rows))).collect()
