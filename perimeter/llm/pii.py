@@ -65,7 +65,6 @@ FEATURES = (
 # The trees are fitted on about so many candidates per kind and label, drawn by hash, and on at
 # most half of them; all others calibrate, by a histogram of scores with so many bins.
 MAX_SAMPLE = 2_500
-MIN_SAMPLE = 200
 PRECISION = 0.995
 BINS = 1_000
 ROUNDS, DEPTH, SEED = 12, 3, 7
@@ -295,7 +294,7 @@ def _threshold(bins: dict[int, tuple[int, int]]) -> float | None:
 
 
 def fit(found: DataFrame, scratch: Scratch):
-    """The model and the threshold per kind; no model where there is too little to learn from.
+    """The model, if both labels are drawn, and the threshold per kind that can be calibrated.
 
     Kinds and labels are drawn separately, so a rare kind is fitted and calibrated whatever
     there is of others. The counts that give thresholds are at most ``BINS`` + 1 per kind.
@@ -304,15 +303,14 @@ def fit(found: DataFrame, scratch: Scratch):
     cells = {
         (r["kind"], r["label"]): r["count"] for r in labelled.groupBy("kind", "label").count().collect()
     }
-    amounts = {label: sum(n for (_, x), n in cells.items() if x == label) for label in (0.0, 1.0)}
-    if min(amounts.values()) * 2 < MIN_SAMPLE:
-        return None, {}
     share = F.lit(0.0)
     for (kind, label), count in cells.items():
         here = (F.col("kind") == kind) & (F.col("label") == label)
         share = F.when(here, F.lit(min(0.5, MAX_SAMPLE / count))).otherwise(share)
     fitted = F.col("order") < share
     sample = scratch.store(labelled.where(fitted), "sample")
+    if sample.select("label").distinct().count() < 2:
+        return None, {}
     trees = GBTClassifier(
         featuresCol="vector", labelCol="label", maxIter=ROUNDS, maxDepth=DEPTH, seed=SEED
     )
@@ -333,8 +331,9 @@ def find(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     """doc_id, base and added: arrays of struct<kind,start,end> by kind as listed, then start.
 
     One row per row of ``documents``, also for repeated or null ids. Null and empty texts
-    have no spans. Offsets count code points, the end is exclusive. Without enough labelled
-    candidates (an empty or clean table) nothing is added to the base.
+    have no spans. Offsets count code points, the end is exclusive. Added are the loose
+    candidates that pass the test of their kind and reach its threshold. A kind without threshold
+    (no strict span held out, or no score is sure enough) adds all that pass, at every size.
     """
     scratch = Scratch(documents.sparkSession, "pii")
     found = scratch.store(candidates(documents, doc_id, text), "candidates")
@@ -342,19 +341,17 @@ def find(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     plain = "transform(base, c -> struct(c.kind AS kind, c.start AS start, c.end AS end))"
     rows = found.select("row", "doc_id", F.expr(plain).alias("base"))
     none = F.array().cast("array<struct<kind:string,start:int,end:int>>")
-    if not limits:
-        return rows.select("doc_id", "base", none.alias("added"))
     loose = found.select("row", F.explode("loose").alias("c")).select("row", "c.*")
+    passing = loose.where("passes")
     limit = reduce(
         lambda rest, kind: F.when(F.col("kind") == kind, F.lit(limits[kind])).otherwise(rest),
         limits,
-        F.lit(None).cast("double"),
+        F.lit(0.0),
     )
+    chosen = _scored(model, passing).where(F.col("score") >= limit) if limits else passing
     place = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind"))
     added = (
-        _scored(model, loose.where("passes"))
-        .where(F.col("score") >= limit)
-        .groupBy("row")
+        chosen.groupBy("row")
         .agg(F.sort_array(F.collect_list(F.struct(place.alias("place"), "start", "end", "kind"))).alias("added"))
         .select("row", F.expr("transform(added, c -> struct(c.kind AS kind, c.start AS start, c.end AS end))").alias("added"))
     )

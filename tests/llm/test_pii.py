@@ -92,6 +92,15 @@ def test_masked_forms_are_added_and_clean_text_is_left(documents):
     assert sum(bool(added) for i, (_, added) in found.items() if 5_000 <= i < 6_000) in (0, 20)
 
 
+def test_masked_forms_are_added_at_every_size(documents):
+    masked = [(5_000 + n, f"write to me{n} (at) mail.example.com now") for n in range(20)]
+    plain = [(6_000 + n, f"call 555-123-4567, not 12 345 67{n}, {n} (at) home") for n in range(3)]
+    for size in (0, 2, 800):
+        found = {i: [kind for kind, _, _ in added] for i, (_, added) in _found(documents(_texts(size) + masked + plain)).items()}
+        assert all(found[i] == ["email"] for i, _ in masked), size
+        assert all(found[i] == ["phone"] for i, _ in plain), size
+
+
 def test_a_rare_kind_is_calibrated_beside_a_frequent_one(documents, monkeypatch):
     """6,000 cards beside 12 addresses: their masked forms are still added."""
     monkeypatch.setattr(pii, "MAX_SAMPLE", 300)
