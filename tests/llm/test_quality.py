@@ -117,3 +117,11 @@ def test_odd_rows(spark, documents):
     assert by_id[3]["threshold"] is None and by_id[3]["keep"] and by_id[5]["keep"] and not by_id[None]["keep"]
     assert quality.classify(documents([]), _labels(spark, [1])).count() == 0
     assert quality.classify(documents(rows[2:4]), _labels(spark, [])).where("keep").count() == 2
+
+
+def test_toxic_rows_are_not_trusted(spark, documents):
+    rows = [(1, "abab acab", "a"), (2, "baca", "a"), (3, "zzzz qqqq", "a")]
+    labels = spark.createDataFrame([(1, 1, 0), (2, 1, None), (3, 1, 0), (3, 0, 1)], "doc_id long, quality int, toxic int")
+    found = {r["doc_id"]: r for r in quality.classify(documents(rows), labels).collect()}
+    assert found[1]["trusted"] and found[2]["trusted"] and not found[3]["trusted"]
+    assert not found[3]["keep"]
