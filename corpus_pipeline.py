@@ -19,8 +19,14 @@ def _without(docs: DataFrame, keyed: DataFrame, dropped: DataFrame) -> DataFrame
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents whose language is rejected; a missing language is filled in."""
-    found = language.identify(docs, language.learn(docs))
+    """Drops documents whose language is rejected; a missing language is filled in.
+
+    Where no document has a language to learn from, all are kept as they are.
+    """
+    dictionaries = language.learn(docs)
+    if not dictionaries.content:
+        return docs
+    found = language.identify(docs, dictionaries)
     filled = F.coalesce("lang", "lang_pred").alias("lang")
     return found.where(~F.col("rejected")).select(
         *(filled if c == "lang" else F.col(c) for c in docs.columns)
