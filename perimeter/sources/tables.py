@@ -154,7 +154,8 @@ def typed(collection: str, documents: DataFrame) -> DataFrame:
     columns = [f"{value} AS {name}" for name, value in _PROJECTIONS[collection].items()]
     region = "region" if "region" in documents.columns else "CAST(NULL AS STRING) AS region"
     marks = [f"{value} AS {name}" for name, value in _MARKS.get(collection, {}).items()]
-    return documents.selectExpr(*columns, region).selectExpr("*", *marks)
+    # The region comes last, where reading folders partitioned by it puts it.
+    return documents.selectExpr(*columns, region).selectExpr(*_PROJECTIONS[collection], *marks, "region")
 
 
 def table_schema(spark: SparkSession, collection: str) -> T.StructType:
