@@ -98,4 +98,28 @@ SELECT r.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(c) AS co
 FROM r LEFT JOIN n ON r.doc_id = n.doc_id GROUP BY r.doc_id
 """
 
-EXPECTED = {"op3_topk": OP3, "op4_suffix": OP4, "op5_jaccard": OP5, "op7_mix": OP7, "op10_decontaminate": OP10}
+OP11 = r"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS r,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents WHERE text IS NOT NULL),
+n AS (SELECT doc_id, r, len(w)::BIGINT AS n FROM d WHERE len(w) > 0),
+s AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM n),
+i AS (
+  SELECT item_id, term, count(*)::BIGINT AS times FROM (
+    SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark WHERE text IS NOT NULL) GROUP BY ALL),
+t AS (
+  SELECT r, term, count(*)::BIGINT AS tf FROM (SELECT r, unnest(w) AS term FROM d)
+  WHERE term IN (SELECT term FROM i) GROUP BY ALL),
+f AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS weight
+      FROM t, s GROUP BY term, docs),
+m AS (SELECT doc_id, r, 25 + (75 * n * docs) // terms AS m FROM n, s),
+p AS (
+  SELECT item_id, doc_id, r, sum(times * weight * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM i JOIN f USING (term) JOIN t USING (term) JOIN m USING (r) GROUP BY ALL)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+FROM p WHERE score > 0 QUALIFY rank <= 10
+"""
+
+EXPECTED = {"op3_topk": OP3, "op4_suffix": OP4, "op5_jaccard": OP5, "op7_mix": OP7, "op10_decontaminate": OP10, "op11_search": OP11}

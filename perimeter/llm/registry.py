@@ -10,14 +10,17 @@ from pyspark.sql import functions as F
 from perimeter.llm import (
     decontamination,
     language,
+    lexical,
     mixing,
     ngram_join,
     pii,
     quality,
+    secret_scan,
     sharding,
     suffix_dedup,
     tokens,
     topk,
+    whitening,
 )
 from perimeter.llm.expected import EXPECTED
 from perimeter.llm.shared import Scratch, read_table
@@ -110,6 +113,31 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.find(read_table(spark, sf_dir, "documents"))
+    kinds = F.transform("base", lambda s: s["kind"])
+    counts = [
+        (F.size("base") - F.size(F.array_remove(kinds, kind))).cast("long").alias(f"n_{kind}")
+        for kind in secret_scan.BASE_KINDS
+    ]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(secret_scan.span_list(F.col("base")), 256).alias("base_sha256"),
+        secret_scan.span_list(F.concat("base", "added")).alias("spans"),
+        F.size("added").alias("n_added"),
+    )
+
+
+def op13_whiten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+    return found.withColumn("deviation", F.col("deviation").cast("long"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_shard": op1_shard,
@@ -122,6 +150,9 @@ def queries() -> dict[str, Query]:
         "op8_tokens": op8_tokens,
         "op9_quality": op9_quality,
         "op10_decontaminate": op10_decontaminate,
+        "op11_search": op11_search,
+        "op12_secrets": op12_secrets,
+        "op13_whiten": op13_whiten,
     }
 
 

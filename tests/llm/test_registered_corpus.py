@@ -20,7 +20,7 @@ def tables():
 
 
 def test_all_are_registered():
-    assert {k.split("_")[0] for k in registry.queries()} == {f"op{n}" for n in range(1, 11)}
+    assert {k.split("_")[0] for k in registry.queries()} == {f"op{n}" for n in range(1, 14)}
     assert set(registry.oracle_sql()) <= set(registry.queries()) <= set(registered.queries())
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "language", "near_duplicates", "decontamination", "mixing", "sharding",
