@@ -1,13 +1,17 @@
 """Rules effective on a few interfaces.
 
-A lookup starts from one id or address and usually touches a handful of rows
-in huge tables. ``narrow`` therefore first fetches the ids that matter, up to
-a fixed number, and turns them into a filter the scan can use; beyond that
-number it joins.
+A lookup starts from one id or address and usually touches a handful of rows in huge tables.
+Nothing is fetched while a lookup is built: the ids that matter are subqueries. ``in_range`` takes
+their smallest and largest value as a range that reaches the scan at run time, so only the row
+groups of sorted files that can hold them are read. A semi join then keeps exactly the rows with
+one of the ids; Spark can add a bloom filter to it. Both are bounded in size, however many ids
+there are.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,49 +28,40 @@ from perimeter.operators.rules import nsg_rules, sl_rules
 from perimeter.operators.skew import HotKeys, Salts, count_copies, expand_copies, keyed_join
 from perimeter.sources.inventory import Inventory
 
-# Most ids that are fetched to the driver to become a scan filter.
-MAX_FILTER_IDS = 1_000
+def in_range(table: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """Rows whose key lies between the smallest and the largest wanted one; two scalar subqueries.
+
+    Ranges inside ``wanted`` are planned twice each, so they should not nest deeply.
+    """
+    low, high = (wanted.agg(least(key)).scalar() for least in (F.min, F.max))
+    return table.where((F.col(key) >= low) & (F.col(key) <= high))
 
 
-def fetch_ids(rows: DataFrame, key: str, limit: int = MAX_FILTER_IDS) -> list[str] | None:
-    """The distinct non-null ids in ``rows``, or None when there are over ``limit``."""
-    ids = rows.where(F.col(key).isNotNull()).select(key).distinct().take(limit + 1)
-    return [row[0] for row in ids] if len(ids) <= limit else None
+@dataclass(frozen=True)
+class Target:
+    """Interfaces (copies kept) as the result reads them, and as subqueries do, without ranges."""
 
+    rows: DataFrame
+    plain: DataFrame
 
-def narrow(
-    table: DataFrame,
-    key: str,
-    wanted: DataFrame,
-    ids: list[str] | None,
-    hot_left: Salts | None = None,
-) -> DataFrame:
-    """Rows of ``table`` whose key is in ``wanted``, by filter when the ids are known."""
-    if ids is not None:
-        return table.where(F.col(key).isin(ids))
-    return keyed_join(table, wanted.select(key).distinct(), key, "left_semi", hot_left)
+
+def _behind(public: DataFrame, privateips: DataFrame, hot: HotKeys, ranged: bool) -> DataFrame:
+    """Interfaces of the private addresses that these public ones belong to."""
+    pairs = privateips.select("private_ip_id", "vnic_id")
+    if ranged:
+        pairs = in_range(pairs, "private_ip_id", public)
+    splits = hot.on("privateips.private_ip_id")
+    return keyed_join(pairs.distinct(), public, "private_ip_id", "left_semi", splits).select("vnic_id")
 
 
 def ip_to_vnic(
-    privateips: DataFrame,
-    publicips: DataFrame,
-    ip_address: str,
-    hot: HotKeys = HotKeys(),
-    limit: int = MAX_FILTER_IDS,
+    privateips: DataFrame, publicips: DataFrame, ip_address: str, hot: HotKeys = HotKeys()
 ) -> DataFrame:
     """Interfaces that own the address, privately or through a public address."""
-    wanted = F.lit(ip_address)
-    private = privateips.where(F.col("ip_address") == wanted).select("vnic_id")
-    public = publicips.where(F.col("ip_address") == wanted).select("private_ip_id")
-    owners = privateips.select("private_ip_id", "vnic_id").distinct()
-    behind = narrow(
-        owners,
-        "private_ip_id",
-        public,
-        fetch_ids(public, "private_ip_id", limit),
-        hot.on("privateips.private_ip_id"),
-    ).select("vnic_id")
-    return private.unionByName(behind).distinct()
+    wanted = F.col("ip_address") == F.lit(ip_address)
+    private = privateips.where(wanted).select("vnic_id")
+    public = publicips.where(wanted).select("private_ip_id")
+    return private.unionByName(_behind(public, privateips, hot, True)).distinct()
 
 
 def vnic_target(vnics: DataFrame, vnic_id: str) -> DataFrame:
@@ -74,19 +69,33 @@ def vnic_target(vnics: DataFrame, vnic_id: str) -> DataFrame:
     return vnic_data(vnics).where(F.col("vnic_id") == F.lit(vnic_id))
 
 
-def vnic_target_by_ip(
-    inventory: Inventory, ip_address: str, limit: int = MAX_FILTER_IDS
-) -> DataFrame:
+def target_by_id(inventory: Inventory, vnic_id: str) -> Target:
+    """The interface with this id, from the files that can hold it."""
+    rows = vnic_data(inventory.rows_with("vnics", vnic_id))
+    return Target(rows, rows)
+
+
+def target_by_ip(inventory: Inventory, ip_address: str) -> Target:
+    """The interfaces that own the address, from the files that can hold it."""
+    hot = inventory.hot
+    private = inventory.rows_with("privateips", ip_address).select("vnic_id")
+    public = inventory.rows_with("publicips", ip_address).select("private_ip_id")
+
+    def owners(ranged: bool) -> DataFrame:
+        behind = _behind(public, inventory.privateips, hot, ranged)
+        return private.unionByName(behind).distinct()
+
+    def owned(rows: DataFrame, ids: DataFrame) -> DataFrame:
+        return keyed_join(rows, ids, "vnic_id", "left_semi", hot.on("vnics.vnic_id"))
+
+    vnics = vnic_data(inventory.vnics)
+    near = count_copies(in_range(vnics, "vnic_id", owners(False)))
+    return Target(expand_copies(owned(near, owners(True)), "copies"), owned(vnics, owners(False)))
+
+
+def vnic_target_by_ip(inventory: Inventory, ip_address: str) -> DataFrame:
     """The interfaces that own the address; copies kept."""
-    owners = ip_to_vnic(
-        inventory.privateips, inventory.publicips, ip_address, inventory.hot, limit
-    )
-    ids = fetch_ids(owners, "vnic_id", limit)
-    if ids is not None:
-        return vnic_data(inventory.vnics).where(F.col("vnic_id").isin(ids))
-    vnics = count_copies(vnic_data(inventory.vnics))
-    hot_left = inventory.hot.on("vnics.vnic_id")
-    return expand_copies(keyed_join(vnics, owners, "vnic_id", "left_semi", hot_left), "copies")
+    return target_by_ip(inventory, ip_address).rows
 
 
 def _effective(rows: DataFrame, source: str, policy_name: str, policy: str, rule) -> DataFrame:
@@ -117,57 +126,47 @@ def _times(rows: DataFrame, *factors: str) -> DataFrame:
     return rows.withColumn("copies", product).drop(*(f for f in factors if f != "copies"))
 
 
-def _fetch_policies(
-    lists: DataFrame, members: DataFrame, limit: int
-) -> tuple[list[str] | None, list[str] | None]:
-    """Ids of the lists and groups that apply, or None for both when over ``limit``."""
-    both = lists.select(F.lit(K.SOURCE_SL).alias("source"), F.col("securitylist_id").alias("id"))
-    both = both.unionByName(
-        members.select(F.lit(K.SOURCE_NSG).alias("source"), F.col("nsg_id").alias("id"))
-    )
-    found = both.where("id IS NOT NULL").distinct().take(limit + 1)
-    if len(found) > limit:
-        return None, None
-    return (
-        [row.id for row in found if row.source == K.SOURCE_SL],
-        [row.id for row in found if row.source == K.SOURCE_NSG],
-    )
-
-
-def effective_rules(
-    inventory: Inventory, target: DataFrame, limit: int = MAX_FILTER_IDS
-) -> DataFrame:
+def effective_rules(inventory: Inventory, target: Target) -> DataFrame:
     """Every ingress rule, from any source, that applies to the target interfaces.
 
     A row is repeated for every copy of the documents behind it. All tables
     carry copies as counts and the rows are only repeated at the very end.
     """
     hot = inventory.hot
-    keys = target.select("vnic_id", "subnet_id").distinct().take(limit + 1)
-    target = count_copies(target, "n_target")
-    known = len(keys) <= limit
-    vnic_ids = sorted({k.vnic_id for k in keys if k.vnic_id}) if known else None
-    subnet_ids = sorted({k.subnet_id for k in keys if k.subnet_id}) if known else None
-
-    subnets = inventory.subnets.select(
-        "subnet_id", "subnet_name", "vcn_id", "domain_name", "securitylist_ids"
+    interfaces = count_copies(target.rows, "n_target")
+    of_subnets = hot.on("subnet_sl.subnet_id")
+
+    def lists_of(subnets: DataFrame) -> DataFrame:
+        lists = subnet_sl(subnets)
+        return keyed_join(lists, target.plain.select("subnet_id"), "subnet_id", "left_semi", of_subnets)
+
+    def members_of(nsgvnic: DataFrame) -> DataFrame:
+        members = nsg_vnic_assoc(nsgvnic)
+        splits = hot.on("nsgvnic.vnic_id")
+        return keyed_join(members, target.plain.select("vnic_id"), "vnic_id", "left_semi", splits)
+
+    def of_policies(table: DataFrame, key: str, policies: DataFrame, column: str) -> DataFrame:
+        return keyed_join(table, policies.select(key), key, "left_semi", hot.on(column))
+
+    subnets = in_range(
+        inventory.subnets.select(
+            "subnet_id", "subnet_name", "vcn_id", "domain_name", "securitylist_ids"
+        ),
+        "subnet_id",
+        target.plain,
     )
     details = count_copies(subnet_details(subnets), "n_subnet")
-    details = narrow(details, "subnet_id", target, subnet_ids, hot.on("subnets.subnet_id"))
     placed = keyed_join(
-        target, details, "subnet_id", "inner",
+        interfaces, details, "subnet_id", "inner",
         hot.on("vnics.subnet_id"), hot.on("subnets.subnet_id"),
     )
     placed = _times(placed, "n_target", "n_subnet")
 
-    lists = count_copies(subnet_sl(subnets), "n_list")
-    lists = narrow(lists, "subnet_id", target, subnet_ids, hot.on("subnet_sl.subnet_id"))
-    members = count_copies(nsg_vnic_assoc(inventory.nsgvnic), "n_member")
-    members = narrow(members, "vnic_id", target, vnic_ids, hot.on("nsgvnic.vnic_id"))
-    list_ids, nsg_ids = _fetch_policies(lists, members, limit) if known else (None, None)
-    rules = count_copies(sl_rules(inventory.securitylists), "n_rule")
-    rules = narrow(
-        rules, "securitylist_id", lists, list_ids, hot.on("sl_rules.securitylist_id")
+    attached = lists_of(subnets)
+    lists = count_copies(attached, "n_list")
+    listed = in_range(inventory.securitylists, "securitylist_id", attached)
+    rules = of_policies(
+        count_copies(sl_rules(listed), "n_rule"), "securitylist_id", attached, "sl_rules.securitylist_id"
     )
     from_sl = keyed_join(
         placed, lists, "subnet_id", "inner",
@@ -182,11 +181,13 @@ def effective_rules(
         K.SOURCE_SL, "securitylist_name", "securitylist_id", F.col("rule_no").cast("string"),
     )
 
-    group_rules = nsg_rules(inventory.nsgrules).where(F.col("direction") == K.INGRESS)
-    group_rules = count_copies(group_rules, "n_rule")
-    group_rules = narrow(group_rules, "nsg_id", members, nsg_ids, hot.on("nsgrules.nsg_id"))
-    names = count_copies(nsg_data(inventory.nsgdata), "n_name")
-    names = narrow(names, "nsg_id", members, nsg_ids, hot.on("nsgdata.nsg_id"))
+    memberships = members_of(in_range(inventory.nsgvnic, "vnic_id", target.plain))
+    members = count_copies(memberships, "n_member")
+    group_rules = nsg_rules(in_range(inventory.nsgrules, "nsg_id", memberships))
+    group_rules = count_copies(group_rules.where(F.col("direction") == K.INGRESS), "n_rule")
+    group_rules = of_policies(group_rules, "nsg_id", memberships, "nsgrules.nsg_id")
+    names = count_copies(nsg_data(in_range(inventory.nsgdata, "nsg_id", memberships)), "n_name")
+    names = of_policies(names, "nsg_id", memberships, "nsgdata.nsg_id")
     named = keyed_join(members, names, "nsg_id", "left", hot.on("nsgvnic.nsg_id"))
     named = _times(named.fillna(1, ["n_name"]), "n_member", "n_name")
     from_nsg = keyed_join(

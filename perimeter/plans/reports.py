@@ -25,12 +25,7 @@ from perimeter.operators.exposure import (
     vnic_flags,
     vnics_in_scope,
 )
-from perimeter.operators.lookup import (
-    MAX_FILTER_IDS,
-    effective_rules,
-    vnic_target,
-    vnic_target_by_ip,
-)
+from perimeter.operators.lookup import Target, effective_rules, target_by_id, target_by_ip
 from perimeter.operators.rules import (
     case_flags,
     case_text,
@@ -316,24 +311,20 @@ def unused_nsg(inventory: Inventory, ordered: bool = True) -> DataFrame:
 # Lookups
 
 
-def _lookup(inventory: Inventory, target: DataFrame, ordered: bool, limit: int) -> DataFrame:
-    rules = effective_rules(inventory, target, limit)
+def _lookup(inventory: Inventory, target: Target, ordered: bool) -> DataFrame:
+    rules = effective_rules(inventory, target)
     order = _order(rules, "rule_source", "policy_name", "rule_id")
     return expand_copies(rules, "copies", order if ordered else None)
 
 
-def lookup_vnic(
-    inventory: Inventory, vnic_id: str, ordered: bool = True, limit: int = MAX_FILTER_IDS
-) -> DataFrame:
+def lookup_vnic(inventory: Inventory, vnic_id: str, ordered: bool = True) -> DataFrame:
     """Every ingress rule effective on one interface."""
-    return _lookup(inventory, vnic_target(inventory.vnics, vnic_id), ordered, limit)
+    return _lookup(inventory, target_by_id(inventory, vnic_id), ordered)
 
 
-def lookup_ip(
-    inventory: Inventory, ip_address: str, ordered: bool = True, limit: int = MAX_FILTER_IDS
-) -> DataFrame:
+def lookup_ip(inventory: Inventory, ip_address: str, ordered: bool = True) -> DataFrame:
     """Every ingress rule effective on the interfaces that own an address."""
-    return _lookup(inventory, vnic_target_by_ip(inventory, ip_address, limit), ordered, limit)
+    return _lookup(inventory, target_by_ip(inventory, ip_address), ordered)
 
 
 SCOPED_REPORTS = {

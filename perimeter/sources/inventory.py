@@ -7,12 +7,14 @@ from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from perimeter import constants as K
 from perimeter.operators.skew import ROWS_PER_TASK, HotKeys, measure_hot_keys
-from perimeter.sources.documents import REGION_COLUMN, load_collections
+from perimeter.sources.clustered import FILE_BYTES, FileRanges, store_ranges, write_clustered
+from perimeter.sources.documents import load_collections
 from perimeter.sources.regions import consolidate_regions
-from perimeter.sources.tables import SORT_COLUMN, table_schema, typed
+from perimeter.sources.tables import SEARCHED_COLUMNS, SORT_COLUMN, table_schema, typed
 
 
 def _weight(column: str, key: str, rows: str = "1") -> str:
@@ -43,7 +45,7 @@ _JOIN_KEYS = {
 }
 
 
-_HOT_KEYS = "hot_keys"
+_HOT_KEYS, _FILE_RANGES = "hot_keys", "file_ranges"
 
 
 @dataclass(frozen=True)
@@ -60,6 +62,7 @@ class Inventory:
     privateips: DataFrame
     publicips: DataFrame
     hot: HotKeys = field(default_factory=HotKeys)
+    ranges: FileRanges = field(default_factory=FileRanges)
 
     @classmethod
     def from_documents(cls, documents: Mapping[str, DataFrame]) -> Inventory:
@@ -95,22 +98,39 @@ class Inventory:
             return spark.read.schema(table_schema(spark, name)).parquet(f"{path}/{name}")
 
         tables = {name: read(name) for name in K.COLLECTIONS}
-        return cls(**tables, hot=HotKeys.open(spark, f"{path}/{_HOT_KEYS}"))
+        ranges = FileRanges.open(spark, path, f"{path}/{_FILE_RANGES}")
+        return cls(**tables, hot=HotKeys.open(spark, f"{path}/{_HOT_KEYS}"), ranges=ranges)
 
     def tables(self) -> dict[str, DataFrame]:
         return {name: getattr(self, name) for name in K.COLLECTIONS}
 
-    def store(self, path: str, mode: str = "errorifexists") -> None:
-        """Write typed parquet, partitioned by region.
+    def rows_with(self, name: str, value: str) -> DataFrame:
+        """Rows of a table whose sort column has this value.
 
-        No shuffle: each task writes what it read, sorted by the column that
-        lookups filter on, so row groups can be skipped by their statistics.
+        Of stored tables only the files whose key range holds the value are opened, one per
+        region at most.
+        """
+        table, wanted = getattr(self, name), F.col(SORT_COLUMN[name]) == F.lit(value)
+        if name not in self.ranges.files or value is None:
+            return table.where(wanted)
+        paths = self.ranges.paths(name, value)
+        if not paths:
+            return table.sparkSession.createDataFrame([], table.schema)
+        reader = table.sparkSession.read.schema(table.schema)
+        return reader.option("basePath", f"{self.ranges.root}/{name}").parquet(*paths).where(wanted)
+
+    def store(self, path: str, mode: str = "errorifexists", file_bytes: int = FILE_BYTES) -> None:
+        """Write typed parquet, partitioned by region and clustered by the column lookups start from.
+
+        ``file_bytes`` bounds the number of files; see ``write_clustered``.
         """
         for name, table in self.tables().items():
-            rows = table.sortWithinPartitions(REGION_COLUMN, SORT_COLUMN[name])
-            rows.write.mode(mode).partitionBy(REGION_COLUMN).parquet(f"{path}/{name}")
+            searched = SEARCHED_COLUMNS.get(name, ())
+            write_clustered(table, f"{path}/{name}", SORT_COLUMN[name], searched, file_bytes, mode)
         spark = self.routes.sparkSession
-        written = {name: spark.read.schema(t.schema).parquet(f"{path}/{name}") for name, t in self.tables().items()}
+        schemas = {name: t.schema for name, t in self.tables().items()}
+        store_ranges(spark, path, SORT_COLUMN, schemas, f"{path}/{_FILE_RANGES}", mode)
+        written = {name: spark.read.schema(s).parquet(f"{path}/{name}") for name, s in schemas.items()}
         Inventory(**written).profiled().hot.store(spark, f"{path}/{_HOT_KEYS}", mode)
 
     def profiled(self, rows_per_task: int = ROWS_PER_TASK) -> Inventory:

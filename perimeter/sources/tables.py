@@ -148,6 +148,15 @@ SORT_COLUMN = {
     "publicips": "ip_address",
 }
 
+# Columns that are searched by equality though the files aren't sorted by them.
+SEARCHED_COLUMNS = {
+    "subnets": ("route_table_id",),
+    "vnics": ("subnet_id",),
+    "nsgvnic": ("nsg_id",),
+    "privateips": ("private_ip_id", "vnic_id"),
+    "publicips": ("private_ip_id",),
+}
+
 
 def typed(collection: str, documents: DataFrame) -> DataFrame:
     """Typed table of ``collection``; keeps one row per document."""

@@ -1,0 +1,117 @@
+"""Clustered storage: files by key range, bounded in number, pruned by lookups."""
+
+from __future__ import annotations
+
+import os
+from collections import Counter
+
+import pyarrow.parquet as pq
+import pytest
+
+from perimeter import constants as K
+from perimeter.operators.lookup import target_by_id, target_by_ip
+from perimeter.schemas import document_schema
+from perimeter.sources.clustered import write_clustered
+from perimeter.sources.inventory import Inventory
+from perimeter.sources.tables import SORT_COLUMN
+
+ROWS = 4_000
+FILE_BYTES = 4_000
+
+
+def local(path: str) -> str:
+    return path.removeprefix("file://")
+
+
+@pytest.fixture(scope="module")
+def stored(spark, tmp_path_factory):
+    """Two regions with the same interfaces and addresses; one interface with a hot key."""
+    documents = {name: spark.createDataFrame([], document_schema(name)) for name in K.COLLECTIONS}
+    documents = {name: d if "region" in d.columns else d.selectExpr("*", "'r-1' AS region") for name, d in documents.items()}
+    numbers = spark.range(2 * ROWS).selectExpr("id % 4000 AS n", "IF(id < 4000, 'r-1', 'r 2') AS region")
+    documents["vnics"] = numbers.selectExpr(
+        "IF(n < 900, 'v-hot', concat('v-', n)) AS identifier", "concat('vnic ', n) AS display_name",
+        "named_struct('subnetId', concat('s-', n % 7), 'privateIp', '10.0.0.1', 'publicIp', '') AS additional_details", "region",
+    )
+    documents["privateips"] = numbers.selectExpr("concat('p-', n) AS id", "concat('v-', n) AS vnic_id", "concat('10.0.', n) AS ip_address", "region")
+    documents["publicips"] = numbers.selectExpr("concat('p-', n) AS private_ip_id", "concat('198.0.', n) AS ip_address", "region")
+    for name, rows in documents.items():
+        missing = [f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in document_schema(name) if f.name not in rows.columns]
+        documents[name] = rows.selectExpr("*", *missing)
+    path = str(tmp_path_factory.mktemp("clustered") / "tables")
+    inventory = Inventory.from_documents(documents)
+    inventory.store(path, file_bytes=FILE_BYTES)
+    return inventory, Inventory.open(spark, path), path
+
+
+def footer_ranges(table, column):
+    """Region folder, smallest and largest key of every file, from its footer."""
+    found = []
+    for path in table.inputFiles():
+        meta = pq.ParquetFile(local(path).replace("%20", " ")).metadata
+        at = [meta.schema.column(n).path for n in range(meta.num_columns)].index(column)
+        stats = [meta.row_group(g).column(at).statistics for g in range(meta.num_row_groups)]
+        found.append((path.split("/")[-2], min(s.min for s in stats), max(s.max for s in stats)))
+    return found
+
+
+def test_a_key_lies_in_one_file_per_region(stored):
+    _, opened, _ = stored
+    ranges = footer_ranges(opened.vnics, "vnic_id")
+    assert len(ranges) > 6
+    for key in ("v-hot", "v-901", "v-2500", "v-3999"):
+        holding = Counter(region for region, low, high in ranges if low <= key <= high)
+        assert holding == {"region=r-1": 1, "region=r 2": 1} or holding == {"region=r-1": 1, "region=r%202": 1}
+        files = opened.rows_with("vnics", key).inputFiles()
+        assert len(files) == 2 and len({f.split("/")[-2] for f in files}) == 2
+
+
+def test_file_count_is_bounded_by_bytes(spark, stored, tmp_path):
+    inventory, opened, _ = stored
+    sizes = []
+    for most in (1_000, 4_000, 16_000, 1 << 30):
+        path = str(tmp_path / str(most))
+        write_clustered(inventory.vnics, path, "vnic_id", file_bytes=most)
+        files = spark.read.parquet(path).inputFiles()
+        sizes.append(len(files))
+        staged = str(tmp_path / f"plain{most}")
+        inventory.vnics.write.parquet(staged)
+        written = sum(os.path.getsize(local(f)) for f in spark.read.parquet(staged).inputFiles())
+        assert len(files) <= -(-written // most) + 2
+        assert [p.name for p in tmp_path.iterdir() if "staged" in p.name] == []
+    assert sizes == sorted(sizes, reverse=True) and sizes[-1] == 2
+    assert len(opened.nsgdata.inputFiles()) <= 1
+
+
+def test_rows_are_all_there_and_found(stored):
+    inventory, opened, _ = stored
+    for name in K.COLLECTIONS:
+        assert Counter(map(str, getattr(opened, name).collect())) == Counter(map(str, getattr(inventory, name).collect()))
+    for name, keys in {"vnics": ("v-hot", "v-1000", "absent", "", "v"), "publicips": ("198.0.7",), "nsgdata": ("x",)}.items():
+        for key in keys:
+            column = SORT_COLUMN[name]
+            expected = getattr(inventory, name).where(f"{column} = '{key}'")
+            assert Counter(map(str, opened.rows_with(name, key).collect())) == Counter(map(str, expected.collect()))
+    assert inventory.rows_with("vnics", "v-1000").count() == 2  # without ranges: a plain filter
+    assert opened.rows_with("vnics", None).count() == 0
+
+
+def test_lookup_targets_open_few_files(stored):
+    _, opened, _ = stored
+    by_id = target_by_id(opened, "v-1000").rows
+    assert by_id.count() == 2 and len(by_id.inputFiles()) == 2
+    plain = len(opened.vnics.inputFiles()) + len(opened.privateips.inputFiles())
+    by_ip = target_by_ip(opened, "198.0.1000").rows
+    assert {r["vnic_id"] for r in by_ip.collect()} == {"v-1000"}
+    assert len(set(by_ip.inputFiles())) <= plain + 4
+
+
+def test_bloom_filters_are_written(spark, tmp_path):
+    """A value inside the range of a column that no row holds: the filter makes the file larger."""
+    rows = spark.range(5_000).selectExpr("'r' AS region", "concat('k', id) AS key", "concat('v', uuid()) AS other")
+    sizes = {}
+    for searched in ((), ("other",)):
+        path = str(tmp_path / f"t{len(searched)}")
+        write_clustered(rows, path, "key", searched)
+        sizes[searched] = sum(os.path.getsize(local(f)) for f in spark.read.parquet(path).inputFiles())
+    assert sizes["other",] > sizes[()] + 1_000

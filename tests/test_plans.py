@@ -67,14 +67,39 @@ def test_scans_read_only_what_a_report_needs(inventory):
     assert re.sub(r"#\d+L?", "", vnics) == "vnic_id,subnet_id,region"
 
 
-def test_lookup_filters_reach_the_scans(inventory):
-    text = plan(reports.lookup_vnic(inventory, "vnic-50"))
-    scans = re.findall(r"PushedFilters: \[([^\]]*)", text)
-    assert scans and all(re.search(r"In\(|EqualTo\(", s) for s in scans)
+LOOKUPS = [(reports.lookup_vnic, "vnic-50"), (reports.lookup_ip, "10.0.0.51"), (reports.lookup_ip, "198.18.0.51")]
 
 
-def test_lookup_of_many_targets_joins(large, inventory):
-    text = plan(reports.lookup_ip(inventory, "10.0.3.11", limit=0))
+@pytest.mark.parametrize(("report", "key"), LOOKUPS)
+def test_lookups_start_no_job_until_they_run(spark, inventory, report, key):
+    group = f"lookup-{report.__name__}-{key}"
+    spark.sparkContext.setJobGroup(group, group)
+    found = report(inventory, key)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    assert found.count() > 0
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+@pytest.mark.parametrize(("report", "key"), LOOKUPS[:1])
+def test_lookup_filters_reach_the_scans(inventory, report, key):
+    """Each scan has a value or a range that is known when it starts."""
+    scans = re.findall(r"FileScan parquet \[[^\]]*\].*?DataFilters: \[(.*?)\], Format", plan(report(inventory, key)))
+    assert scans and all(re.search(rf"= {key}|>= Subquery", s) for s in scans)
+
+
+def test_spark_adds_bloom_filters_to_lookups(spark, large, inventory):
+    name = "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "0")
+    try:
+        assert "might_contain" in plan(reports.lookup_vnic(inventory, "vnic-50"))
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_lookups_join_by_shuffle_when_nothing_is_small(large, inventory):
+    text = plan(reports.lookup_ip(inventory, "10.0.3.11"))
     assert "SortMergeJoin" in text and "Broadcast" not in text
 
 
