@@ -8,8 +8,9 @@ candidates that training has not seen, selects what is added.
 
 Candidates that pass the test of their kind (checksum, octets, number of digits, form of an
 address) and lie in no strict span of another kind are what the model decides. The others are
-known to be wrong. Features describe the unmasked value and leave out what only tells strict
-forms from loose ones, as labels would make the trees learn just that.
+known to be wrong. Features describe the unmasked value and what stands around it. They leave out
+what only tells strict forms from loose ones and the test itself, as labels would make the trees
+learn just that.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from perimeter.llm.shared import Scratch
 
@@ -60,7 +62,7 @@ _CONTEXT = {
 REACH = 24
 FEATURES = (
     "length", "digits", "letters", "groups", "longest_group", "shortest_group", "signs",
-    "distinct_digits", "sound", "context", "word_before", "word_after",
+    "distinct_digits", "context", "word_before", "word_after",
 )
 # The trees are fitted on about so many candidates per kind and label, drawn by hash, and on at
 # most half of them; all others calibrate, by a histogram of scores with so many bins.
@@ -70,29 +72,76 @@ BINS = 1_000
 ROUNDS, DEPTH, SEED = 12, 3, 7
 
 
+# Matches whose places are summed up together.
+BLOCK = 64
+_SPAN = "array<struct<start:int,value:string,before:string,after:string>>"
+
+
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, also where it is used in lambdas."""
+    return F.transform(F.array(value), use)[0]
+
+
 def located(text: Column, pattern: str) -> Column:
-    """array<struct<start,value>> of the leftmost matches, 0-based code points.
+    """array<struct<start,value,before,after>> of the leftmost matches, 0-based code points.
 
-    What lies between matches is what a split leaves, so lengths give the places.
+    What lies between matches is what a split leaves, so lengths give the places, and the ends
+    of those pieces what stands around a match: up to ``REACH`` characters before it and one after
+    it, as far as the next match. Places are summed in blocks, so the work grows with the text.
     """
-    gaps = F.transform(F.split(text, pattern, -1), F.length)
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    steps = F.transform(
-        found, lambda m, i: F.struct(F.get(gaps, i).alias("gap"), m.alias("value"))
-    )
-    none = F.array().cast("array<struct<start:int,value:string>>")
+
+    def steps(gaps: Column, found: Column) -> Column:
+        next_gaps = F.slice(gaps, 2, F.size(found))
+        pairs = F.zip_with(F.slice(gaps, 1, F.size(found)), found, lambda g, m: F.struct(g.alias("gap"), m.alias("value")))
+        return F.zip_with(
+            pairs,
+            next_gaps,
+            lambda p, g: F.struct(
+                F.length(p["gap"]).alias("gap"),
+                p["value"].alias("value"),
+                F.right(p["gap"], F.lit(REACH)).alias("before"),
+                F.left(g, F.lit(1)).alias("after"),
+            ),
+        )
+
+    def width(block: Column) -> Column:
+        return F.aggregate(block, F.lit(0), lambda n, x: n + x["gap"] + F.length(x["value"]))
 
     def step(done: Column, x: Column) -> Column:
         start = done["at"] + x["gap"]
-        span = F.struct(start.alias("start"), x["value"].alias("value"))
+        span = F.struct(start.alias("start"), x["value"].alias("value"), x["before"].alias("before"), x["after"].alias("after"))
         return F.struct(
-            (start + F.length(x["value"])).alias("at"),
-            F.concat(done["spans"], F.array(span)).alias("spans"),
+            (start + F.length(x["value"])).alias("at"), F.concat(done["spans"], F.array(span)).alias("spans")
         )
 
-    return F.aggregate(
-        steps, F.struct(F.lit(0).alias("at"), none.alias("spans")), step, lambda done: done["spans"]
-    )
+    def placed(block: Column, start: Column) -> Column:
+        first = F.struct(start.alias("at"), F.array().cast(_SPAN).alias("spans"))
+        return F.aggregate(block, first, step, lambda done: done["spans"])
+
+    def starts(blocks: Column) -> Column:
+        first = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
+        return F.aggregate(
+            F.transform(blocks, width),
+            first,
+            lambda done, n: F.struct(
+                (done["at"] + n).alias("at"), F.concat(done["starts"], F.array(done["at"])).alias("starts")
+            ),
+            lambda done: done["starts"],
+        )
+
+    def cut(steps: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.floor((F.size(steps) - 1) / BLOCK).cast("int"))
+        return F.transform(numbers, lambda n: F.slice(steps, n * BLOCK + 1, BLOCK))
+
+    def all_placed(blocks: Column) -> Column:
+        return F.flatten(F.zip_with(blocks, starts(blocks), placed))
+
+    def from_matches(found: Column) -> Column:
+        spans = _let(steps(F.split(text, pattern, -1), found), lambda s: _let(cut(s), all_placed))
+        return F.when(F.size(found) > 0, spans).otherwise(F.array().cast(_SPAN))
+
+    return _let(found, from_matches)
 
 
 def digits(value: Column) -> Column:
@@ -149,12 +198,12 @@ def _sound(kind: str, value: Column) -> Column:
 
 
 def _if_possible(kind: str, text: Column, spans: Column) -> Column:
-    none = F.array().cast("array<struct<start:int,value:string>>")
+    none = F.array().cast(_SPAN)
     return F.when(text.rlike(_NEEDS[kind]), spans).otherwise(none)
 
 
 def base_spans(text: Column, kind: str) -> Column:
-    """The strict spans of a kind: array<struct<start,value>>."""
+    """The strict spans of a kind, as ``located`` gives them."""
     return _if_possible(
         kind, text, F.filter(located(text, STRICT[kind]), lambda s: _passes(kind, s["value"]))
     )
@@ -164,20 +213,12 @@ def _number(condition: Column) -> Column:
     return condition.cast("double")
 
 
-def _described(kind: str, text: Column, spans: Column, others: list[Column]) -> Column:
-    """Spans with kind, end, features and whether they pass; within one of ``others`` none does."""
+def _described(kind: str, spans: Column) -> Column:
+    """Spans with kind, end, features and whether their content can be of the kind."""
 
     def describe(span: Column) -> Column:
-        start = span["start"]
-        end = start + F.length(span["value"])
         value = _plain(kind, span["value"])
-        passes = sound = _sound(kind, value)
-        for other in others:
-            passes = passes & ~F.exists(
-                other, lambda o: (o["start"] <= start) & (end <= o["start"] + F.length(o["value"]))
-            )
-        before = F.substring(text, F.greatest(start - REACH, F.lit(0)) + 1, F.least(start, F.lit(REACH)))
-        after = F.substring(text, end + 1, F.lit(1))
+        before, after = span["before"], span["after"]
         number = digits(value)
         groups = F.transform(
             F.filter(F.split(value, r"[^0-9]+"), lambda g: g != ""), lambda g: F.length(g)
@@ -191,7 +232,6 @@ def _described(kind: str, text: Column, spans: Column, others: list[Column]) ->
             "shortest_group": F.coalesce(F.array_min(groups), F.lit(0)),
             "signs": F.length(F.regexp_replace(value, r"[A-Za-z0-9\x20]", "")),
             "distinct_digits": F.size(F.array_distinct(F.split(number, ""))),
-            "sound": sound,
             "context": before.rlike(_CONTEXT[kind]),
             "word_before": before.rlike(r"[\p{L}0-9_=/\"'-]$"),
             "word_after": after.rlike(r"[\p{L}0-9_=/\"'-]"),
@@ -199,9 +239,9 @@ def _described(kind: str, text: Column, spans: Column, others: list[Column]) ->
         numbers = [features[name].cast("int").cast("double") for name in FEATURES]
         return F.struct(
             F.lit(kind).alias("kind"),
-            start.alias("start"),
-            end.alias("end"),
-            passes.alias("passes"),
+            span["start"].alias("start"),
+            (span["start"] + F.length(span["value"])).alias("end"),
+            _sound(kind, value).alias("passes"),
             F.array(*numbers).alias("features"),
         )
 
@@ -209,10 +249,7 @@ def _described(kind: str, text: Column, spans: Column, others: list[Column]) ->
 
 
 def candidates(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """row, doc_id, base and loose (arrays of described spans) per document.
-
-    A loose candidate that overlaps a strict span of its kind is part of it and left out.
-    """
+    """row, doc_id, base and loose (arrays of described spans) per document."""
     whole = F.coalesce(F.col(text), F.lit(""))
     rows = documents.select(
         F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc_id"), whole.alias("text")
@@ -223,44 +260,53 @@ def candidates(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
         found = located(body, LOOSE[kind])
         return F.concat(found, located(body, NEAR[kind])) if kind in NEAR else found
 
-    rows = rows.select(
-        "*",
-        *(base_spans(body, kind).alias(f"base_{kind}") for kind in KINDS),
-        *(_if_possible(kind, body, loose(kind)).alias(f"loose_{kind}") for kind in KINDS),
-    )
-
-    def apart(kind: str) -> Column:
-        def overlaps(span: Column, other: Column) -> Column:
-            return (span["start"] < other["start"] + F.length(other["value"])) & (
-                other["start"] < span["start"] + F.length(span["value"])
-            )
-
-        return F.filter(
-            F.col(f"loose_{kind}"),
-            lambda s: ~F.exists(F.col(f"base_{kind}"), lambda b: overlaps(s, b)),
-        )
-
-    def joined(prefix: str) -> Column:
-        parts = [
-            _described(kind, body, F.col("base_" + kind), [])
-            if prefix == "base"
-            else _described(kind, body, apart(kind), [F.col(f"base_{k}") for k in KINDS if k != kind])
-            for kind in KINDS
-        ]
-        return F.concat(*parts).alias(prefix)
+    base = [_described(kind, base_spans(body, kind)) for kind in KINDS]
+    more = [_described(kind, _if_possible(kind, body, loose(kind))) for kind in KINDS]
+    return rows.select("row", "doc_id", F.concat(*base).alias("base"), F.concat(*more).alias("loose"))
 
-    return rows.select("row", "doc_id", joined("base"), joined("loose"))
 
+def apart(found: DataFrame) -> DataFrame:
+    """row, kind, start, end, passes, features of the loose candidates outside strict spans of their kind.
 
-def _labelled(found: DataFrame) -> DataFrame:
+    One that lies in a strict span of another kind doesn't pass. Strict spans of a kind don't
+    overlap, so of those that begin no later the last one decides, and of the others the first.
+    """
+    spans = found.select("row", F.explode(F.concat(
+        F.transform("base", lambda c: F.struct(F.lit(True).alias("strict"), c.alias("c"))),
+        F.transform("loose", lambda c: F.struct(F.lit(False).alias("strict"), c.alias("c"))),
+    )).alias("s")).select("row", "s.strict", "s.c.*")
+    upward = W.partitionBy("row").orderBy("start").rangeBetween(W.unboundedPreceding, W.currentRow)
+    downward = W.partitionBy("row").orderBy(F.desc("start")).rangeBetween(W.unboundedPreceding, W.currentRow)
+
+    def strict(kind: str) -> Column:
+        return F.col("strict") & (F.col("kind") == kind)
+
+    ends = {kind: F.max(F.when(strict(kind), F.col("end"))).over(upward) for kind in KINDS}
+    begins = {kind: F.min(F.when(strict(kind), F.col("start"))).over(downward) for kind in KINDS}
+    placed = spans.select(
+        "*",
+        *(F.coalesce(c, F.lit(-1)).alias(f"last_{kind}") for kind, c in ends.items()),
+        *(F.coalesce(c, F.lit((1 << 31) - 1)).alias(f"next_{kind}") for kind, c in begins.items()),
+    ).where("NOT strict")
+    own = F.lit(False)
+    inside = F.lit(False)
+    for kind in KINDS:
+        here = F.col("kind") == kind
+        own = own | (here & ((F.col(f"last_{kind}") > F.col("start")) | (F.col(f"next_{kind}") < F.col("end"))))
+        inside = inside | (~here & (F.col(f"last_{kind}") >= F.col("end")))
+    return placed.where(~own).select("row", "kind", "start", "end", (F.col("passes") & ~inside).alias("passes"), "features")
+
+
+def _labelled(found: DataFrame, loose: DataFrame) -> DataFrame:
     """Strict spans that pass against strict and loose ones that don't, with a hash in [0, 1).
 
     Loose candidates that pass are what the model decides; they have no label.
     """
-    columns = ("row", "c.kind", "c.start", "c.features")
-    strict = found.select("row", F.explode("base").alias("c")).select(*columns, _number(F.col("c.passes")).alias("label"))
-    loose = found.select("row", F.explode("loose").alias("c")).where(~F.col("c.passes"))
-    labelled = strict.unionByName(loose.select(*columns, F.lit(0.0).alias("label")))
+    columns = ("row", "kind", "start", "features")
+    strict = found.select("row", F.explode("base").alias("c")).select("row", "c.*")
+    strict = strict.select(*columns, _number(F.col("passes")).alias("label"))
+    wrong = loose.where("NOT passes").select(*columns, F.lit(0.0).alias("label"))
+    labelled = strict.unionByName(wrong)
     order = F.pmod(F.xxhash64("row", "start", "kind"), F.lit(1 << 30)) / (1 << 30)
     return labelled.withColumn("order", order)
 
@@ -293,13 +339,13 @@ def _threshold(bins: dict[int, tuple[int, int]]) -> float | None:
     return best
 
 
-def fit(found: DataFrame, scratch: Scratch):
+def fit(found: DataFrame, loose: DataFrame, scratch: Scratch):
     """The model, if both labels are drawn, and the threshold per kind that can be calibrated.
 
     Kinds and labels are drawn separately, so a rare kind is fitted and calibrated whatever
     there is of others. The counts that give thresholds are at most ``BINS`` + 1 per kind.
     """
-    labelled = _labelled(found)
+    labelled = _labelled(found, loose)
     cells = {
         (r["kind"], r["label"]): r["count"] for r in labelled.groupBy("kind", "label").count().collect()
     }
@@ -337,12 +383,12 @@ def find(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     """
     scratch = Scratch(documents.sparkSession, "pii")
     found = scratch.store(candidates(documents, doc_id, text), "candidates")
-    model, limits = fit(found, scratch)
+    outside = scratch.store(apart(found), "loose")
+    model, limits = fit(found, outside, scratch)
     plain = "transform(base, c -> struct(c.kind AS kind, c.start AS start, c.end AS end))"
     rows = found.select("row", "doc_id", F.expr(plain).alias("base"))
     none = F.array().cast("array<struct<kind:string,start:int,end:int>>")
-    loose = found.select("row", F.explode("loose").alias("c")).select("row", "c.*")
-    passing = loose.where("passes")
+    passing = outside.where("passes")
     limit = reduce(
         lambda rest, kind: F.when(F.col("kind") == kind, F.lit(limits[kind])).otherwise(rest),
         limits,

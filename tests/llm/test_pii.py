@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
 from perimeter.llm import pii
+from perimeter.llm.shared import Scratch
 
 BASE = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
@@ -132,3 +134,39 @@ def test_span_list_and_redaction(documents):
     assert row.first()["s"] == "email:18:23,ip:26:34,phone:0:17"
     joined = row.crossJoin(documents([(1, text)]).select("text"))
     assert pii.redact(joined, F.col("base")).first()["text"] == "*" * 17 + " ***** é ********"
+
+
+def test_many_matches_in_one_text(documents):
+    """100,000 matches of three kinds, in time that grows with the text."""
+    text = "a@b.c 10.0.0.1 x " * 33_400 + "+1 (555) 555-0400 " * 33_400
+    began = time.perf_counter()
+    rows = documents([(1, text)]).select(*(pii.base_spans(F.col("text"), k).alias(k) for k in ("email", "ip", "phone"))).collect()
+    took = time.perf_counter() - began
+    spans = {k: [(k, s["start"], s["start"] + len(s["value"])) for s in rows[0][k]] for k in ("email", "ip", "phone")}
+    assert sum(spans.values(), []) == [s for s in _brute(text) if s[0] != "card"]
+    assert took < 30
+
+
+def test_what_stands_around_a_match(documents):
+    text = "call a@b.c, then é 1.2.3.4x1.2.3.4"
+    row = documents([(1, text)]).select(pii.located(F.col("text"), pii.STRICT["ip"]).alias("s")).first()
+    assert [tuple(s) for s in row["s"]] == [(19, "1.2.3.4", "call a@b.c, then é ", "x"), (27, "1.2.3.4", "x", "")]
+
+
+def test_candidates_and_strict_spans_by_place(documents):
+    """Against all pairs: which loose candidates stay, and which lie in a strict span of another kind."""
+    rng = random.Random(9)
+    pieces = ["4111 1111 1111 1111", "+44 20 7946 0958", "10.0.0.1", "a@b.com", "555-123-4567", "x (at) y.org", "1.2.3.4.5", " ", "-", "+"]
+    rows = [(n, "".join(rng.choices(pieces, k=rng.randint(1, 9)))) for n in range(200)]
+    frame = documents(rows, 1)
+    scratch = Scratch(frame.sparkSession, "test")
+    found = scratch.store(pii.candidates(frame, "doc_id", "text"), "candidates")
+    placed = {(r["row"], r["kind"], r["start"], r["end"]): r["passes"] for r in pii.apart(found).collect()}
+    expected = {}
+    for r in found.collect():
+        for s in r["loose"]:
+            same = [b for b in r["base"] if b["kind"] == s["kind"] and b["start"] < s["end"] and s["start"] < b["end"]]
+            inside = [b for b in r["base"] if b["kind"] != s["kind"] and b["start"] <= s["start"] and s["end"] <= b["end"]]
+            if not same:
+                expected[r["row"], s["kind"], s["start"], s["end"]] = s["passes"] and not inside
+    assert placed == expected and any(placed.values()) and not all(placed.values())
