@@ -374,6 +374,11 @@ _SELECTS: dict[str, str] = {
 
 
 _SELECTS["write_report"] = _SELECTS["priv_other_subnets"]
+for _table in ("vnics", "subnets"):
+    _names = [f"{scope}_{kind}_{_table}" for scope in ("pub", "priv") for kind in ("insecure", "other")]
+    _SELECTS[f"lattice_{_table}"] = " UNION ALL ".join(
+        f"SELECT '{name}' AS report, * FROM ({_SELECTS[name]})" for name in _names
+    )
 
 
 def _with_relations(select: str) -> str:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from perimeter.functions import scalars
 from perimeter.operators import attachments, exposure, lookup, rules, scope, services
 from perimeter.plans import reports
+from perimeter.plans.lattice import KINDS
 from perimeter.sources import audit, children, documents, downloads, regions
 from perimeter.testbed.workspace import (
     FAILED_REGION,
@@ -265,6 +266,25 @@ def _downloaded(w: Workspace) -> DataFrame:
     return w.spark.read.schema(report.schema).csv(path, header=True, escape='"')
 
 
+def _from_lattice(table: str) -> Query:
+    """The four reports on interfaces or on subnets, told apart by their names."""
+
+    def build(w: Workspace) -> DataFrame:
+        report = {"vnics": w.lattice.exposed_vnics, "subnets": w.lattice.exposed_subnets}[table]
+        rows = [
+            report(name, kind, ordered=False).select(F.lit(f"{prefix}_{kind}_{table}").alias("report"), "*")
+            for prefix, name in SCOPES.items()
+            for kind in KINDS
+        ]
+        return reduce(DataFrame.unionByName, rows)
+
+    return _query(build)
+
+
+def _lattice() -> dict[str, Query]:
+    return {f"lattice_{table}": _from_lattice(table) for table in ("vnics", "subnets")}
+
+
 def _sources() -> dict[str, Query]:
     expected = (*REGIONS, MISSING_REGION)
     return {
@@ -295,7 +315,7 @@ def _sources() -> dict[str, Query]:
 
 def queries() -> dict[str, Query]:
     """Every registered query by name."""
-    return {**_reports(), **_blocks(), **_sources()}
+    return {**_reports(), **_blocks(), **_lattice(), **_sources()}
 
 
 def report_keys() -> list[str]:

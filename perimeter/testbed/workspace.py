@@ -14,6 +14,7 @@ from functools import cached_property, reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from perimeter.plans.lattice import Lattice
 from perimeter.sources.inventory import Inventory
 from perimeter.sources.regions import consolidate_lines
 from perimeter.testbed import fixtures
@@ -91,6 +92,11 @@ class Workspace:
         Inventory.from_regional_jsonl(self.spark, self.export_dir, TENANCY).store(path)
         return Inventory.open(self.spark, path)
 
+    @cached_property
+    def lattice(self) -> Lattice:
+        """Exposure of both scopes and kinds, from one pass over the stored interfaces."""
+        return Lattice.store(self.inventory, f"{self.root}/lattice")
+
     def new_path(self) -> str:
         return f"{self.root}/out-{uuid.uuid4().hex}"
 
