@@ -23,7 +23,7 @@ from perimeter.llm import (
     whitening,
 )
 from perimeter.llm.expected import EXPECTED
-from perimeter.llm.shared import Scratch, read_table
+from perimeter.llm.shared import KEY, Scratch, read_table, with_key
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -80,14 +80,19 @@ def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents under both versions, recounted without repeated lines, toxic ones deleted."""
-    documents = read_table(spark, sf_dir, "documents")
-    toxic = read_table(spark, sf_dir, "labels").where("toxic = 1").select("doc_id").distinct()
-    rollup = tokens.Rollup(spark, f"{Scratch(spark, 'tokens').root}/rollup")
+    """All documents under both versions, recounted without repeated lines, toxic ones deleted.
+
+    Rows are told apart by a key, so repeated and missing ids count and are revised as others.
+    """
+    scratch = Scratch(spark, "tokens")
+    documents, _ = with_key(read_table(spark, sf_dir, "documents"), "doc_id", "text", scratch)
+    labelled = read_table(spark, sf_dir, "labels").where("toxic = 1").select("doc_id").distinct()
+    toxic = documents.join(labelled, "doc_id", "left_semi").select(F.col(KEY).alias("doc_id"))
+    rollup = tokens.Rollup(spark, f"{scratch.root}/rollup")
     revised = tokens.without_repeated_lines(documents)
     for version in tokens.VERSIONS:
-        rollup.commit(f"insert-{version}", tokens.counts(documents, version))
-        rollup.commit(f"revise-{version}", tokens.counts(revised, version))
+        rollup.commit(f"insert-{version}", tokens.counts(documents, version, KEY))
+        rollup.commit(f"revise-{version}", tokens.counts(revised, version, KEY))
     state = rollup.state()
     deleted = state.join(toxic, "doc_id", "left_semi").withColumn("tokens", F.lit(None).cast("long"))
     rollup.commit("delete-toxic", deleted)

@@ -4,7 +4,7 @@ A batch of changes (inserts, revised counts, deletes) is turned into signed rows
 current state of its documents: minus what was counted, plus what counts now. The rows go to
 a ledger, their sums to a delta table; totals are the sum of all deltas. A batch is committed
 once its delta table is complete. Committing it again changes nothing, and a commit that was
-broken off is finished from the ledger or done anew.
+broken off goes on from the changes or the ledger if they were complete.
 """
 
 from __future__ import annotations
@@ -89,11 +89,13 @@ class Rollup:
         paths = [f"{self.path}/{kind}/batch={b}" for b in batches]
         return self.spark.read.parquet(*paths) if paths else None
 
-    def state(self, batches: list[str] | None = None) -> DataFrame | None:
-        """What counts now: doc_id, version, source, lang, tokens."""
+    def state(self, batches: list[str] | None = None, wanted: DataFrame | None = None) -> DataFrame | None:
+        """What counts now: doc_id, version, source, lang, tokens; of the ``wanted`` (doc_id, version) only."""
         ledger = self._read("ledger", self.batches() if batches is None else batches)
         if ledger is None:
             return None
+        if wanted is not None:
+            ledger = ledger.join(wanted, ["doc_id", "version"], "left_semi")
         return ledger.groupBy(*_CHANGES).agg(F.sum("sign").alias("times")).where("times > 0").drop("times")
 
     def commit(self, batch: str, changes: DataFrame) -> bool:
@@ -111,7 +113,10 @@ class Rollup:
         if self._complete("deltas", batch):
             return False
         if not self._complete("ledger", batch):
-            rows = changes.select(*_CHANGES)
+            # Written once, as counting the tokens of a text costs more than all that follows.
+            if not self._complete("changes", batch):
+                changes.select(*_CHANGES).write.mode("overwrite").parquet(f"{self.path}/changes/batch={batch}")
+            rows = self._read("changes", [batch])
             keyed = rows.where("doc_id IS NOT NULL").groupBy("doc_id", "version").agg(
                 F.max(F.struct("tokens", "source", "lang")).alias("c")
             )
@@ -121,9 +126,8 @@ class Rollup:
                 .where("tokens IS NOT NULL")
                 .withColumn("sign", F.lit(1))
             )
-            state = self.state()
-            if state is not None:
-                before = state.join(keyed.select("doc_id", "version"), ["doc_id", "version"], "left_semi")
+            before = self.state(wanted=keyed.select("doc_id", "version"))
+            if before is not None:
                 after = after.unionByName(before.withColumn("sign", F.lit(-1)))
             after.write.mode("overwrite").parquet(f"{self.path}/ledger/batch={batch}")
         signed = self._read("ledger", [batch])

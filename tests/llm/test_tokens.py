@@ -7,7 +7,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from perimeter.llm import tokens
+from perimeter.llm import registry, tokens
 
 CHANGES = "doc_id long, version string, source string, lang string, tokens long"
 
@@ -105,3 +105,24 @@ def test_repeated_lines(documents):
     rows = [(1, "a\nb\na\nc"), (2, "a\nb"), (3, None), (4, "")]
     found = tokens.without_repeated_lines(documents(rows)).select("doc_id", F.col("text")).collect()
     assert [tuple(r) for r in found] == [(1, "a\nb\nc")]
+
+
+def test_registered_query_counts_every_row(spark, documents, monkeypatch):
+    """Repeated and missing ids: each row counts, is revised, and goes if its id is toxic."""
+    import tiktoken
+
+    rows = [(1, "a b\na b\nc", "en", "s"), (1, "a b\na b\nc", "en", "s"), (1, "other text", None, "s"), (None, "x\nx", "en", None)]
+    rows += [(None, "x\nx", "en", None), (2, "toxic words", "en", "s"), (2, "more of it", "de", "s"), (3, None, "en", "s")]
+    labels = spark.createDataFrame([(2, 0, 1), (1, 1, 0)], "doc_id long, quality int, toxic int")
+    tables = {"documents": documents(rows), "labels": labels}
+    monkeypatch.setattr(registry, "read_table", lambda spark, sf_dir, name: tables[name])
+    expected = {}
+    for version, file in tokens.VERSIONS.items():
+        coder = tiktoken.Encoding("plain", pat_str=tokens.PATTERN, mergeable_ranks=tokens.load_ranks(file), special_tokens={})
+        for doc_id, text, lang, source in rows:
+            if doc_id != 2:
+                text = "\n".join(dict.fromkeys((text or "").split("\n")))
+                n, total = expected.get((source, lang, version), (0, 0))
+                expected[source, lang, version] = (n + 1, total + len(coder.encode_ordinary(text)))
+    found = registry.op8_tokens(spark, "").collect()
+    assert {(r["source"], r["lang"], r["version"]): (r["documents"], r["tokens"]) for r in found} == expected
