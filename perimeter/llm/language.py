@@ -8,12 +8,12 @@ chosen, and the margin to the next one is the score.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import regex
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -57,7 +57,8 @@ def remainder(doc_id: Column, of: int = 3) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % of
 
 
-_NO_LETTERS = re.compile(r"[\W\d_]+")
+# Marks belong to their letters: vowel signs of Indic scripts are marks.
+_NO_LETTERS = regex.compile(r"[^\p{L}\p{M}]+")
 
 
 def letters(text: str) -> bytes:
@@ -65,35 +66,38 @@ def letters(text: str) -> bytes:
     return f" {_NO_LETTERS.sub(' ', text).strip()} ".lower().encode("utf-8", "ignore")
 
 
-def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", order: str = "doc_id") -> Dictionaries:
-    """Dictionaries from at most ``PIECES`` texts per language, drawn by hash.
+def learn(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Dictionaries:
+    """Dictionaries from at most ``PIECES`` different texts per language, drawn by their hash.
 
-    Of a text at most ``PIECE`` characters go in, from a place given by its hash. Rows
-    without language or letters teach nothing.
+    Of a text at most ``PIECE`` characters go in, from a place given by its hash. Copies of a
+    text count once; no other column has a say. Rows without language or letters teach nothing.
     """
-    drawn = F.xxhash64(F.col(order), F.col(text))
+    drawn = F.xxhash64(F.col(text))
     first = F.pmod(drawn, F.greatest(F.length(F.col(text)) - PIECE, F.lit(0)) + 1)
-    usable = labelled.where(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}"))
-    languages = usable.groupBy(F.col(lang).alias("lang")).agg(F.count(F.lit(1)).alias("texts"))
-    pieces = (
-        usable.select(
-            F.col(lang).alias("lang"),
-            drawn.alias("drawn"),
-            F.substring(F.col(text), first.cast("int") + 1, F.lit(PIECE)).alias("piece"),
-        )
-        .withColumn("n", F.row_number().over(W.partitionBy("lang").orderBy("drawn", "piece")))
+    usable = labelled.where(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}")).select(
+        F.col(lang).alias("lang"), drawn.alias("drawn"), F.col(text).alias("text"), first.alias("first")
+    )
+    different = usable.groupBy("lang", "drawn").agg(F.count(F.lit(1)).alias("rows"))
+    languages = different.groupBy("lang").agg(F.sum("rows").alias("texts")).orderBy(F.desc("texts"), "lang")
+    names = [r["lang"] for r in languages.take(MAX_LANGUAGES + 1)]
+    if len(names) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    chosen = (
+        different.withColumn("n", F.row_number().over(W.partitionBy("lang").orderBy("drawn")))
         .where(F.col("n") <= PIECES)
+        .select("lang", "drawn", "n")
+    )
+    # At most MAX_LANGUAGES times PIECES rows, so texts stay where they are; copies fold before they move.
+    pieces = (
+        usable.join(F.broadcast(chosen), ["lang", "drawn"])
+        .select("lang", "n", F.substring("text", F.col("first").cast("int") + 1, F.lit(PIECE)).alias("piece"))
+        .groupBy("lang", "n")
+        .agg(F.min("piece").alias("piece"))
         .groupBy("lang")
         .agg(F.sort_array(F.collect_list(F.struct("n", "piece"))).alias("pieces"))
-        .join(languages, "lang")
-        .orderBy(F.desc("texts"), "lang")
-    )
-    rows = pieces.take(MAX_LANGUAGES + 1)
-    if len(rows) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    return Dictionaries(
-        tuple((r["lang"], b"".join(letters(p["piece"]) for p in r["pieces"])) for r in rows)
     )
+    found = {r["lang"]: b"".join(letters(p["piece"]) for p in r["pieces"]) for r in pieces.collect()}
+    return Dictionaries(tuple((name, found[name]) for name in names))
 
 
 class Classifier:
