@@ -188,11 +188,13 @@ PREFIX_SCHEMA = "gram long, class long, n int, place int, common int"
 
 def _prefixes(words: int, percent: int, order) -> Callable:
     """The rarest n-grams of each set: a row has the set's size, the place of the n-gram in the
-    order, and how common the set's n-grams are on the whole."""
+    order, and how common the set's n-grams are on the whole. Sets too small to link with any
+    other one (below four n-grams at 80 percent) have none: equal ones are one class already."""
 
     def make(texts):
         columns = [[] for _ in PREFIX]
-        for name, grams in {set_class(s): s for s in shingle_sets(texts, words) if len(s)}.items():
+        sets = [s for s in shingle_sets(texts, words) if 100 * len(s) >= percent * (len(s) + 1)]
+        for name, grams in {set_class(s): s for s in sets}.items():
             first = order.value.rarest(grams, len(grams) + percent * len(grams) // -100 + EVIDENCE)
             common = int(1000 * order.value.frequency_class(grams).mean())
             columns[0].append(first.view(np.int64))

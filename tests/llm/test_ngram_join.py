@@ -121,6 +121,29 @@ def test_rows_that_can_link_go_on(monkeypatch, near, held, size):
         assert sorted(found) == sorted(needed)
 
 
+class _Plain:
+    """An order in which every n-gram is equally common, as a broadcast value."""
+
+    value = J.Order(np.zeros(1 << J.SKETCH_BITS, np.uint8), np.array([1.0]))
+
+
+def _prefix_count(texts, percent=80):
+    batch = pa.RecordBatch.from_pydict({"text": texts})
+    return sum(b.num_rows for b in J._prefixes(5, percent, _Plain)(iter([batch])))
+
+
+def test_sets_too_small_to_link_are_not_compared(documents):
+    """Texts that share one n-gram and are too short to link give no candidates at all."""
+    blank = [f"this page was left blank w{n}" for n in range(4_000)]
+    assert _prefix_count(blank) == 0
+    assert _prefix_count(["a b c d e f g"]) == 0 and _prefix_count(["a b c d e f g h"]) > 0
+    assert _prefix_count(["a b c d e f"], percent=60) > 0
+    near = [(5_000, "a b c d e f g h"), (5_001, "a b c d e f g h i"), (5_002, "this page was left blank w7")]
+    rows = [*enumerate(blank), *near]
+    expected = {i: i for i, _ in rows} | {5_001: 5_000, 5_002: 7}
+    assert {i: c for i, _, c in _found(documents(rows))} == expected
+
+
 def test_odd_rows(documents, clashing):
     long = " ".join(_words(random.Random(1), 30_000))
     rows = [(5, None), (6, ""), (7, " \n\t"), (8, "One two"), (9, "one TWO"), (10, "two one"), (11, long)]
