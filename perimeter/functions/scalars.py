@@ -36,9 +36,13 @@ def parsed(value: str, schema: str) -> str:
     return f"transform({elements(value)}, e -> from_json(e, '{' '.join(schema.split())}', {options}))"
 
 
-def port(value: str) -> str:
-    """Port number from text; ``22``, ``22.0`` and ``"22"`` agree, anything else is NULL."""
-    return f"try_cast(try_cast({value} AS DECIMAL(38, 10)) AS BIGINT)"
+def port(value: str, bound: str = "floor") -> str:
+    """Port number from text; ``22``, ``22.0`` and ``"22"`` agree, anything else is NULL.
+
+    A fraction is rounded into the range: up (``ceil``) where it is a lower bound, down (``floor``)
+    where it is an upper one, so the range covers the same ports.
+    """
+    return f"try_cast({bound}(try_cast({value} AS DECIMAL(38, 10))) AS BIGINT)"
 
 
 def _open(source: str, direction: str | None) -> str:

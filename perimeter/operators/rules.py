@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -114,16 +116,31 @@ def case_text() -> Column:
     return F.nullif(F.concat_ws(K.CASE_SEPARATOR, *named), F.lit(""))
 
 
-def _case_list(rules: DataFrame, policy: str) -> DataFrame:
-    flags = rules.groupBy(policy).agg(*case_flags())
-    return flags.select(policy, case_text().alias("cis_insecure_case"))
+def case_list(
+    rules: DataFrame, policy: str, order: Sequence[str] = _CASES, case: str = "insecure_case"
+) -> DataFrame:
+    """(policy, cis_insecure_case): the distinct cases of each policy as ordered text.
+
+    Cases come in the given order, others after them by their text; there may be any number.
+    Rules without case add nothing, and a policy with none has no row. Equal cases are combined
+    before anything moves, so a policy of many rules brings no more rows than cases.
+    """
+    place = F.array_position(F.array(*map(F.lit, order)), F.col("_case"))
+    held = (
+        rules.select(F.col(policy), F.col(case).alias("_case"))
+        .where(F.col("_case").isNotNull())
+        .distinct()
+        .withColumn("_place", F.when(place > 0, place))
+    )
+    listed = f"listagg(_case, '{K.CASE_SEPARATOR}') WITHIN GROUP (ORDER BY _place ASC NULLS LAST, _case)"
+    return held.groupBy(policy).agg(F.expr(listed).alias("cis_insecure_case"))
 
 
 def sl_insecure_agg(securitylists: DataFrame) -> DataFrame:
     """Insecure cases of each security list as text, in the order ALL, 22, 3389."""
-    return _case_list(sl_insecure_rules(securitylists), "securitylist_id")
+    return case_list(sl_insecure_rules(securitylists), "securitylist_id")
 
 
 def nsg_insecure_agg(nsgrules: DataFrame) -> DataFrame:
     """Insecure cases of each group as text, in the order ALL, 22, 3389."""
-    return _case_list(nsg_insecure_rules(nsgrules), "nsg_id")
+    return case_list(nsg_insecure_rules(nsgrules), "nsg_id")

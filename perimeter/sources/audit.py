@@ -93,6 +93,11 @@ def load_audit(
     consolidated. ``NO_RECORDS`` matters most for routes: without route
     tables every subnet looks private.
     """
+    return with_status(_counted(spark, directory, tenancy, regions), failed_regions)
+
+
+def with_status(counted: DataFrame, failed_regions: Iterable[str] = ()) -> DataFrame:
+    """The counters of each region and collection with what they say about the load."""
     failed = F.col(REGION_COLUMN).isin(list(failed_regions))
     status = (
         F.when(failed, "FAILED_REGION")
@@ -101,7 +106,7 @@ def load_audit(
         .when(F.col("partial_documents") > 0, "PARTIAL_DOCUMENTS")
         .otherwise("OK")
     )
-    return _counted(spark, directory, tenancy, regions).select(
+    return counted.select(
         REGION_COLUMN,
         "collection",
         status.alias("status"),

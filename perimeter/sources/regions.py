@@ -63,7 +63,7 @@ def export_regions(spark: SparkSession, directory: str, tenancy: str) -> list[st
     return sorted(found)
 
 
-def _paths(
+def export_files(
     spark: SparkSession,
     directory: str,
     collection: str,
@@ -97,7 +97,7 @@ def regional_lines(
     One region without a file is allowed and shows in the audit; a collection without a
     file in any region raises unless ``allow_missing``.
     """
-    paths = _paths(spark, directory, collection, tenancy, include)
+    paths = export_files(spark, directory, collection, tenancy, include)
     if not paths and not allow_missing:
         raise FileNotFoundError(f"no {collection}-{tenancy}-<region>.jsonl in {directory}")
     lines = read_lines(spark, collection, list(paths.values()), "_file")
@@ -133,7 +133,7 @@ def consolidate_lines(
 ) -> None:
     """Copy the selected regions' lines verbatim into ``<target>/<collection>.jsonl``."""
     for name in K.COLLECTIONS:
-        paths = _paths(spark, directory, name, tenancy, include)
+        paths = export_files(spark, directory, name, tenancy, include)
         paths = {region: path for region, path in paths.items() if region != skip}
         if not paths and not allow_missing:
             raise FileNotFoundError(f"no {name}-{tenancy}-<region>.jsonl in {directory}")

@@ -40,9 +40,9 @@ def _rule_fields(rule: str, tcp: str, udp: str, port_range: str) -> dict[str, st
         "source": text(f"{rule}source"),
         "protocol": text(f"{rule}protocol"),
         "has_tcp": f"{rule}{tcp} IS NOT NULL",
-        "tcp_port_min": port(f"{rule}{tcp}.{port_range}.min"),
+        "tcp_port_min": port(f"{rule}{tcp}.{port_range}.min", "ceil"),
         "tcp_port_max": port(f"{rule}{tcp}.{port_range}.max"),
-        "udp_port_min": port(f"{rule}{udp}.{port_range}.min"),
+        "udp_port_min": port(f"{rule}{udp}.{port_range}.min", "ceil"),
         "udp_port_max": port(f"{rule}{udp}.{port_range}.max"),
     }
 
