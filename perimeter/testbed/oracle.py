@@ -373,6 +373,11 @@ _SELECTS: dict[str, str] = {
 }
 
 
+_SELECTS["loaded_audit"] = _SELECTS["load_audit"]
+_SELECTS["append_batches"] = _SELECTS["write_jsonl"]
+_SELECTS["regional_summary"] = " UNION ALL ".join(
+    f"SELECT '{scope}' AS scope, * FROM ({_SELECTS[f'{scope}_service_summary']})" for scope in ("pub", "priv")
+)
 _SELECTS["write_report"] = _SELECTS["priv_other_subnets"]
 for _table in ("vnics", "subnets"):
     _names = [f"{scope}_{kind}_{_table}" for scope in ("pub", "priv") for kind in ("insecure", "other")]

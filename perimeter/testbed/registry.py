@@ -12,7 +12,8 @@ from perimeter.functions import scalars
 from perimeter.operators import attachments, exposure, lookup, rules, scope, services
 from perimeter.plans import reports
 from perimeter.plans.lattice import KINDS
-from perimeter.sources import audit, children, documents, downloads, regions
+from perimeter.plans.regional_summary import RegionalSummary
+from perimeter.sources import audit, batches, children, documents, downloads, loading, regions
 from perimeter.testbed.workspace import (
     FAILED_REGION,
     LOOKUP_PRIVATE_IP,
@@ -245,19 +246,53 @@ def _subnet_ids(w: Workspace) -> DataFrame:
     )
 
 
-def _written(w: Workspace) -> DataFrame:
-    """Group rules written as JSON lines, read back as text."""
-    path = w.new_path()
-    exported = regions.consolidate_regions(w.spark, w.export_dir, TENANCY)
-    documents.write_jsonl(exported["nsgrules"], path)
+def _rule_lines(lines: DataFrame) -> DataFrame:
     line = F.col("value")
-    return w.spark.read.text(path).select(
+    return lines.select(
         F.get_json_object(line, "$.id").alias("rule_id"),
         line.contains('"tcp_options":null').alias("tcp_options_null"),
         line.contains('"udp_options":null').alias("udp_options_null"),
     )
 
 
+def _written(w: Workspace) -> DataFrame:
+    """Group rules written as JSON lines, read back as text."""
+    path = w.new_path()
+    exported = regions.consolidate_regions(w.spark, w.export_dir, TENANCY)
+    documents.write_jsonl(exported["nsgrules"], path)
+    return _rule_lines(w.spark.read.text(path))
+
+
+def _appended(w: Workspace) -> DataFrame:
+    """Group rules appended in two batches, each of them twice."""
+    path = w.new_path()
+    rows = regions.consolidate_regions(w.spark, w.export_dir, TENANCY)["nsgrules"]
+    first = F.col("region").isin(*REGIONS[:2])
+    for batch, chosen in (("first", first), ("first", first), ("rest", ~first), ("rest", ~first)):
+        batches.append_batch(rows.where(chosen), path, batch)
+    return _rule_lines(w.spark.read.text(batches.batch_paths(w.spark, path)))
+
+
+def _loaded(w: Workspace) -> DataFrame:
+    """What was counted while the tables were loaded."""
+    return loading.loaded_audit(w.inventory.routes.sparkSession, w.tables_dir)
+
+
+def _regional_summary(w: Workspace) -> DataFrame:
+    """Both summaries from counts kept per region; one region is counted twice.
+
+    Group attachments lie in their rule's region here, not in that of their interface.
+    """
+    kept = RegionalSummary(w.spark, w.new_path(), whole=("nsgvnic",))
+    for region in (*REGIONS, REGIONS[1]):
+        kept.replace(w.inventory, region)
+    rows = [
+        kept.summary(name, ordered=False).select(F.lit(prefix).alias("scope"), "*")
+        for prefix, name in SCOPES.items()
+    ]
+    return reduce(DataFrame.unionByName, rows)
+
+
 def _downloaded(w: Workspace) -> DataFrame:
     """A report saved as CSV and read back."""
     path = w.new_path()
@@ -308,7 +343,10 @@ def _sources() -> dict[str, Query]:
         "load_audit": _query(
             lambda w: audit.load_audit(w.spark, w.export_dir, TENANCY, expected, [FAILED_REGION])
         ),
+        "loaded_audit": _query(_loaded),
         "write_jsonl": _query(_written),
+        "append_batches": _query(_appended),
+        "regional_summary": _query(_regional_summary),
         "write_report": _query(_downloaded),
     }
 

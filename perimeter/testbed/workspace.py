@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from perimeter.plans.lattice import Lattice
 from perimeter.sources.inventory import Inventory
+from perimeter.sources.loading import load_regional
 from perimeter.sources.regions import consolidate_lines
 from perimeter.testbed import fixtures
 
@@ -88,9 +89,20 @@ class Workspace:
     @cached_property
     def inventory(self) -> Inventory:
         """Stored typed tables with their hot keys measured."""
-        path = f"{self.root}/tables"
-        Inventory.from_regional_jsonl(self.spark, self.export_dir, TENANCY).store(path)
-        return Inventory.open(self.spark, path)
+        return load_regional(
+            self.spark,
+            self.export_dir,
+            TENANCY,
+            self.tables_dir,
+            include=(*REGIONS, MISSING_REGION),
+            failed_regions=[FAILED_REGION],
+            require=False,
+        )
+
+    @property
+    def tables_dir(self) -> str:
+        """Folder of the stored tables and what was counted while they were loaded."""
+        return f"{self.root}/tables"
 
     @cached_property
     def lattice(self) -> Lattice:

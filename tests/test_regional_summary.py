@@ -92,3 +92,21 @@ def test_only_the_region_is_read(spark, tmp_path):
 def test_unknown_scope(spark, tmp_path):
     with pytest.raises(ValueError, match="scope must be"):
         RegionalSummary(spark, str(tmp_path)).summary("all")
+
+
+def test_attachments_in_other_regions(spark, interpreted, tmp_path):  # noqa: F811
+    """Group attachments listed in the other region count where their interface lies."""
+    folder = tmp_path / "export"
+    _export(folder, {"r-1": 7, "r-2": 8})
+    one, two = (folder / f"nsgvnic-ten-{r}.jsonl" for r in ("r-1", "r-2"))
+    swapped = one.read_text(), two.read_text()
+    two.write_text(swapped[0])
+    one.write_text(swapped[1])
+    inventory = Inventory.from_regional_jsonl(spark, str(folder), "ten")
+    kept = RegionalSummary(spark, str(tmp_path / "counts"), whole=("nsgvnic",))
+    for region in ("r-1", "r-2"):
+        kept.replace(inventory, region)
+    for scope in ("public", "private"):
+        assert _rows(kept.summary(scope)) == _rows(reports.service_summary(inventory, scope))
+    with pytest.raises(ValueError, match="read whole"):
+        RegionalSummary(spark, str(tmp_path), whole=("vnics",))
