@@ -378,6 +378,22 @@ _SELECTS["append_batches"] = _SELECTS["write_jsonl"]
 _SELECTS["regional_summary"] = " UNION ALL ".join(
     f"SELECT '{scope}' AS scope, * FROM ({_SELECTS[f'{scope}_service_summary']})" for scope in ("pub", "priv")
 )
+_POLICIES = (
+    ("sl", "sl", "sub_sl", "sl_insecure", "securitylist_id", "securitylist_name"),
+    ("nsg", "nsg", "member", "nsg_insecure", "nsg_id", "nsg_name"),
+)
+_SELECTS["cleanup_ledger"] = " UNION ALL ".join(
+    f"""SELECT '{kind}' AS kind, {name} AS name, {policy} AS policy, vcn_id, compartment_id, lifecycle_state,
+          time_created, cis_insecure_case FROM ({_SELECTS[f"unused_{kind}"]})"""
+    for kind, _, _, _, policy, name in _POLICIES
+)
+_SELECTS["cleanup_changes"] = " UNION ALL ".join(
+    f"""SELECT '{kind}' AS kind, {name} AS name, {policy} AS policy, vcn_id, compartment_id, lifecycle_state,
+          time_created, coalesce(cis_insecure_case, 'NONE') AS cis_insecure_case, CAST(-count(*) AS BIGINT) AS n
+        FROM {details} LEFT JOIN ({_agg(cases, policy)}) USING ({policy})
+        WHERE {policy} IN (SELECT {policy} FROM {used}) GROUP BY ALL"""
+    for kind, details, used, cases, policy, name in _POLICIES
+)
 _SELECTS["write_report"] = _SELECTS["priv_other_subnets"]
 for _table in ("vnics", "subnets"):
     _names = [f"{scope}_{kind}_{_table}" for scope in ("pub", "priv") for kind in ("insecure", "other")]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,8 @@ from pyspark.sql import functions as F
 from perimeter.functions import scalars
 from perimeter.operators import attachments, exposure, lookup, rules, scope, services
 from perimeter.plans import reports
+from perimeter.plans.cleanup_ledger import KINDS as POLICIES
+from perimeter.plans.cleanup_ledger import CleanupLedger
 from perimeter.plans.lattice import KINDS
 from perimeter.plans.regional_summary import RegionalSummary
 from perimeter.sources import audit, batches, children, documents, downloads, loading, regions
@@ -293,6 +296,30 @@ def _regional_summary(w: Workspace) -> DataFrame:
     return reduce(DataFrame.unionByName, rows)
 
 
+def _in_two_exports(w: Workspace, first, found) -> DataFrame:
+    """Both cleanup ledgers after the export ``first`` and that of all tables."""
+    path, rows = w.new_path(), []
+    for name, kind in POLICIES.items():
+        ledger = CleanupLedger(w.spark, path, name)
+        ledger.take(first, "first")
+        ledger.take(w.inventory, "all")
+        named = found(ledger).withColumnsRenamed({kind.name: "name", kind.policy: "policy"})
+        rows.append(named.select(F.lit(name).alias("kind"), "*"))
+    return reduce(DataFrame.unionByName, rows)
+
+
+def _unused_by_ledger(w: Workspace) -> DataFrame:
+    """Both cleanup reports; the first export lacks a region."""
+    tables = {n: t.where(F.col("region") != REGIONS[1]) for n, t in w.inventory.tables().items()}
+    return _in_two_exports(w, replace(w.inventory, **tables), lambda ledger: ledger.unused(ordered=False))
+
+
+def _unused_no_more(w: Workspace) -> DataFrame:
+    """What left both cleanup reports when policies were attached; the first export has no attachments."""
+    bare = replace(w.inventory, subnets=w.inventory.subnets.where("false"), nsgvnic=w.inventory.nsgvnic.where("false"))
+    return _in_two_exports(w, bare, lambda ledger: ledger.changes("all"))
+
+
 def _downloaded(w: Workspace) -> DataFrame:
     """A report saved as CSV and read back."""
     path = w.new_path()
@@ -347,6 +374,8 @@ def _sources() -> dict[str, Query]:
         "write_jsonl": _query(_written),
         "append_batches": _query(_appended),
         "regional_summary": _query(_regional_summary),
+        "cleanup_ledger": _query(_unused_by_ledger),
+        "cleanup_changes": _query(_unused_no_more),
         "write_report": _query(_downloaded),
     }
 
