@@ -394,6 +394,10 @@ _SELECTS["cleanup_changes"] = " UNION ALL ".join(
         WHERE {policy} IN (SELECT {policy} FROM {used}) GROUP BY ALL"""
     for kind, details, used, cases, policy, name in _POLICIES
 )
+for _kind in ("insecure", "other"):
+    _SELECTS[f"colocated_{_kind}_nsg"] = " UNION ALL ".join(
+        f"SELECT '{scope}' AS scope, * FROM ({_SELECTS[f'{scope}_{_kind}_nsg']})" for scope in ("pub", "priv")
+    )
 _SELECTS["write_report"] = _SELECTS["priv_other_subnets"]
 for _table in ("vnics", "subnets"):
     _names = [f"{scope}_{kind}_{_table}" for scope in ("pub", "priv") for kind in ("insecure", "other")]

@@ -14,6 +14,7 @@ from perimeter.operators import attachments, exposure, lookup, rules, scope, ser
 from perimeter.plans import reports
 from perimeter.plans.cleanup_ledger import KINDS as POLICIES
 from perimeter.plans.cleanup_ledger import CleanupLedger
+from perimeter.plans.colocated import Colocated
 from perimeter.plans.lattice import KINDS
 from perimeter.plans.regional_summary import RegionalSummary
 from perimeter.sources import audit, batches, children, documents, downloads, loading, regions
@@ -347,6 +348,18 @@ def _lattice() -> dict[str, Query]:
     return {f"lattice_{table}": _from_lattice(table) for table in ("vnics", "subnets")}
 
 
+def _colocated(kind: str) -> Query:
+    """The group rules of both scopes, from interfaces and members that lie together."""
+
+    def build(w: Workspace) -> DataFrame:
+        stored = Colocated.store(w.inventory, w.new_path())
+        report = {"insecure": stored.insecure_nsg, "other": stored.other_nsg}[kind]
+        rows = [report(name, ordered=False).select(F.lit(prefix).alias("scope"), "*") for prefix, name in SCOPES.items()]
+        return reduce(DataFrame.unionByName, rows)
+
+    return _query(build)
+
+
 def _sources() -> dict[str, Query]:
     expected = (*REGIONS, MISSING_REGION)
     return {
@@ -382,7 +395,8 @@ def _sources() -> dict[str, Query]:
 
 def queries() -> dict[str, Query]:
     """Every registered query by name."""
-    return {**_reports(), **_blocks(), **_lattice(), **_sources()}
+    colocated = {f"colocated_{kind}_nsg": _colocated(kind) for kind in KINDS}
+    return {**_reports(), **_blocks(), **_lattice(), **colocated, **_sources()}
 
 
 def report_keys() -> list[str]:
