@@ -46,7 +46,7 @@ def committed_batches(spark: SparkSession, path: str) -> dict[str, str]:
     return {n: f"{path}/{folder}" for n, folder in folders.items() if folder}
 
 
-def append_batch(documents: DataFrame, path: str, batch: str) -> bool:
+def append_batch(documents: DataFrame, path: str, batch: str, compression: str = "none") -> bool:
     """Append documents as the batch of this name; False if it was committed before.
 
     The lines are those of ``write_jsonl``. Of two drivers that append one batch at the same time the
@@ -58,7 +58,7 @@ def append_batch(documents: DataFrame, path: str, batch: str) -> bool:
     if _folder(spark, path, batch):
         return False
     folder = f"{batch}-{uuid.uuid4().hex}"
-    write_jsonl(documents, f"{path}/{folder}", mode="errorifexists")
+    write_jsonl(documents, f"{path}/{folder}", mode="errorifexists", compression=compression)
     commit, system = _at(spark, path, _COMMITS, batch)
     if system.exists(commit) and system.getFileStatus(commit).getLen() == 0:
         system.delete(commit, False)
