@@ -1,0 +1,108 @@
+"""Preparing the tables: files of many tasks, packed text, collections on their first use."""
+
+from __future__ import annotations
+
+import os
+from collections import Counter
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from perimeter import constants as K
+from perimeter.sources import audit, batches, clustered, documents, loading
+from perimeter.testbed import workspace
+from perimeter.testbed.registry import queries
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture
+def fresh(spark, monkeypatch):
+    """A workspace in which nothing is written yet, behind the registered queries."""
+    found = workspace.Workspace(spark, SF_DIR)
+    monkeypatch.setattr("perimeter.testbed.registry.workspace", lambda *_: found)
+    return found
+
+
+def names(folder: str) -> set[str]:
+    return {p.name for p in Path(folder).iterdir() if not p.name.startswith(".")}
+
+
+def test_a_large_table_is_written_by_several_tasks(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.range(900_000).selectExpr("'r' AS region", "uuid() AS key")
+    clustered.write_clustered(rows, path, "key")
+    written = spark.read.parquet(path)
+    files = [f.removeprefix("file://") for f in written.inputFiles()]
+    assert len(files) >= 2 and written.count() == 900_000
+    assert max(map(os.path.getsize, files)) < 2 * clustered.FILE_BYTES
+    ranges = written.groupBy(F.input_file_name().alias("f")).agg(F.min("key").alias("a"), F.max("key").alias("b"))
+    ordered = sorted((r["a"], r["b"]) for r in ranges.collect())
+    assert all(b < a for (_, b), (a, _) in zip(ordered, ordered[1:], strict=False))
+
+
+def test_a_query_prepares_what_it_reads_whole(spark, fresh):
+    rows = queries()["subnet_details"](spark, SF_DIR)
+    assert rows.count() == spark.read.parquet(f"{SF_DIR}/customer.parquet").count()
+    assert names(fresh.tables_dir) & set(K.COLLECTIONS) == {"subnets"}
+    assert {n.split("-")[0] for n in names(f"{fresh.root}/exports")} == {"subnets"}
+
+
+def test_collections_loaded_one_by_one_make_the_whole_inventory(spark, fresh, tmp_path):
+    fresh.only("subnets")
+    fresh.only("vnics", "subnets")
+    whole = loading.load_regional(
+        spark, fresh.export_dir, workspace.TENANCY, str(tmp_path / "lake"), require=False,
+        include=(*workspace.REGIONS, workspace.MISSING_REGION), failed_regions=[workspace.FAILED_REGION],
+    )
+    for name, table in fresh.inventory.tables().items():
+        assert Counter(map(str, table.collect())) == Counter(map(str, whole.tables()[name].collect())), name
+        assert getattr(fresh.on_use, name).schema == table.schema
+    assert fresh.only("subnets").vnics is None
+    expected = audit.load_audit(
+        spark, fresh.export_dir, workspace.TENANCY, (*workspace.REGIONS, workspace.MISSING_REGION), [workspace.FAILED_REGION]
+    )
+    found = loading.loaded_audit(spark, fresh.tables_dir).select(*expected.columns)
+    assert Counter(map(str, found.collect())) == Counter(map(str, expected.collect()))
+
+
+def test_hot_keys_of_parts_are_those_of_the_table(spark, tmp_path, fresh):
+    fresh.only("subnets", "securitylists")
+    for column in ("subnet_sl.subnet_id", "sl_rules.securitylist_id", "subnets.subnet_id"):
+        assert fresh.on_use.hot.on(column) == fresh.only("subnets", "securitylists").hot.on(column)
+    with pytest.raises(AttributeError):
+        fresh.on_use.addresses  # noqa: B018
+
+
+def test_exports_and_batches_are_packed(spark, fresh, tmp_path):
+    lines = spark.read.text(f"{fresh.export_dir}/nsgrules-*")
+    size = lines.agg(F.sum(F.length("value"))).first()[0]
+    stored = sum(f.stat().st_size for d in Path(fresh.export_dir).glob("nsgrules-*") for f in d.glob("part-*"))
+    assert stored < size / 3
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+    rows = documents.load_collections(spark, fresh.consolidated_dir)["nsgrules"]
+    assert rows.count() == lines.count()
+    path = str(tmp_path / "batches")
+    assert batches.append_batch(rows, path, "one", compression="gzip")
+    folders = batches.batch_paths(spark, path)
+    assert all(p.name.endswith(".gz") for f in folders for p in Path(f).glob("part-*"))
+    assert Counter(map(str, documents.readable("nsgrules", documents.read_lines(spark, "nsgrules", folders)).collect())) == Counter(map(str, rows.collect()))
+
+
+def test_text_after_a_document_still_shows(spark, tmp_path):
+    lines = {
+        '{"id":"a","tcp_options":{"destination_port_range":{"min":1,"max":"2"}}}': False,
+        '{"id":"b"} ': False,
+        '{"id":"c"} {"id":"d"}': True,
+        '{"id":"e"},{"id":"f"}': True,
+        '{"id":"g"} x': True,
+        '{"id":"h","_":[1,{"a":NaN}]}': False,
+        '{"id":NaN}': False,
+        '{}': False,
+        '[{"id":"i"}]': True,
+        "5": True,
+    }
+    (tmp_path / "f.jsonl").write_text("".join(f"{line}\n" for line in lines))
+    read = documents.read_lines(spark, "nsgrules", str(tmp_path / "f.jsonl"))
+    assert [r["_partial_document"] for r in read.collect()] == list(lines.values())
