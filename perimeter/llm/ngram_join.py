@@ -141,7 +141,9 @@ def _described(words: int) -> Callable:
             first = {c: s for c, s in zip(classes, sets, strict=True) if c is not None}
             if first:
                 grams = np.concatenate(list(first.values())) >> np.uint64(64 - SKETCH_BITS)
-                counts += np.bincount(grams.astype(np.int64), minlength=len(counts)).astype(np.int32)
+                # Only counters that a piece touches: copies of the whole sketch would be four times its size.
+                places, times = np.unique(grams.astype(np.int32), return_counts=True)
+                counts[places] += times.astype(np.int32)
             none = [None] * len(sets)
             rows = [batch["doc_id"], [len(s) for s in sets], classes, none, none]
             yield pa.RecordBatch.from_arrays(
