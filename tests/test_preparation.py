@@ -10,6 +10,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from perimeter import constants as K
+from perimeter.functions import scalars
+from perimeter.schemas import INGRESS_RULE, reading_schema
 from perimeter.sources import audit, batches, clustered, documents, loading
 from perimeter.testbed import workspace
 from perimeter.testbed.registry import queries
@@ -106,3 +108,64 @@ def test_text_after_a_document_still_shows(spark, tmp_path):
     (tmp_path / "f.jsonl").write_text("".join(f"{line}\n" for line in lines))
     read = documents.read_lines(spark, "nsgrules", str(tmp_path / "f.jsonl"))
     assert [r["_partial_document"] for r in read.collect()] == list(lines.values())
+
+
+ODD_LISTS = (
+    '[{"source":"a"},{"source":"b","tcpOptions":{"destinationPortRange":{"min":1,"max":"2"}}}]',
+    '[{"source":"a"},{"source":"b","tcpOptions":"x"},5,null,"{\\"source\\":\\"c\\"}"]',
+    '[{"source":"a","_corrupt_record":"x"}]',
+    '{"source":"a"}',
+    "[]",
+    "[null]",
+    "null",
+    '"[{\\"source\\":\\"d\\"}] x"',
+    "7",
+)
+
+
+def test_a_list_parsed_at_once_is_the_list_parsed_one_by_one(spark):
+    rows = spark.createDataFrame([(text,) for text in (*ODD_LISTS, None, "", "[1,", " [1]")], "v string")
+    schema, options = " ".join(INGRESS_RULE.split()), "map('columnNameOfCorruptRecord', '_corrupt_record')"
+    one_by_one = f"transform({scalars.elements('v')}, e -> from_json(e, '{schema}', {options}))"
+    for r in rows.selectExpr("v", f"{scalars.parsed('v', INGRESS_RULE)} AS a", f"{one_by_one} AS b").collect():
+        assert r["a"] == r["b"], r["v"]
+
+
+def test_a_line_is_parsed_once_and_reads_the_same(spark, tmp_path):
+    lines = [f'{{"identifier":"sl","additional_details":{{"ingressSecurityRules":{text}}}}}' for text in ODD_LISTS]
+    lines += [
+        *lines[:1], lines[0] + " ", lines[0] + " {}", lines[0] + ",", lines[0] + "}", lines[0] + "]", lines[0] + '],"x":[1',
+        lines[0][:-3], '{"identifier":"a","additional_details":5}', '{"identifier":{"b":1}}', "null", "5", "[]", "{}", "x",
+        '{"_corrupt_record":"x"}', '{"_corrupt_record":"x","identifier":"y"}', '[{"identifier":"a"}]', '{"identifier":"a"},{"identifier":"b"}',
+    ]
+    (tmp_path / "f.jsonl").write_text("".join(f"{line}\n" for line in lines))
+    read = documents.read_lines(spark, "securitylists", str(tmp_path / "f.jsonl"))
+    options = {"columnNameOfCorruptRecord": "_corrupt_record"}
+    alone = spark.read.text(str(tmp_path / "f.jsonl")).select(
+        F.from_json("value", reading_schema("securitylists"), options).alias("d"),
+        (F.coalesce(F.size(F.from_json(F.concat(F.lit("["), "value", F.lit("]")), "array<struct<_:string>>")), F.lit(0)) != 1).alias("more"),
+    ).select("d.*", "more")
+    found = [r.asDict(True) for r in read.collect()]
+    for line, got, want in zip(lines, found, alone.collect(), strict=True):
+        want = want.asDict(True)
+        more = want.pop("more")
+        partial = got.pop("_partial_document")
+        assert got == want, line
+        assert partial or not (more or want["_corrupt_record"]), line
+    kept = documents.readable("securitylists", read)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "Generate explode" in plan
+    below = plan[plan.index("Generate explode") + 1 :]
+    assert below.count("from_json") == 1
+
+
+def test_collections_of_a_query_are_stored_together(spark, fresh, monkeypatch):
+    asked = []
+    load = workspace.load_regional
+    monkeypatch.setattr(workspace, "load_regional", lambda *a, **k: asked.append(k["collections"]) or load(*a, **k))
+    queries()["priv_insecure_vnics_exposed_by_sl"](spark, SF_DIR)
+    assert [sorted(names) for names in asked] == [["routes", "securitylists", "subnets", "vnics"]]
+    queries()["lookup_ip"](spark, SF_DIR)
+    assert [sorted(names) for names in asked[1:]] == [["nsgdata", "nsgrules", "nsgvnic", "privateips", "publicips"]]
+    orders = spark.read.parquet(f"{SF_DIR}/orders.parquet").count()
+    assert fresh.loaded("vnics", "vnics").vnics.count() == orders
