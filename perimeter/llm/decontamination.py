@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from perimeter.llm.shared import Scratch, ascii_lower
 
-TERM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# What lies between words once A-Z are lowered; all else is a word.
+BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 10
 # Share of a test window's words that a corpus neighbourhood holds to count as near.
 NEAR_SHARE = 0.8
@@ -25,7 +26,8 @@ END = ""
 
 def terms(text: Column) -> Column:
     """Lower-cased (A-Z) words: digits, letters a-z and everything beyond ASCII."""
-    return F.regexp_extract_all(ascii_lower(F.coalesce(text, F.lit(""))), F.lit(TERM), F.lit(0))
+    # Cutting takes a sixth of the time of collecting matches; only the ends of a text give empty words.
+    return F.array_remove(F.split(ascii_lower(F.coalesce(text, F.lit(""))), BETWEEN), "")
 
 
 def _around(words: Column, at: Column, width: int) -> tuple[Column, Column]:

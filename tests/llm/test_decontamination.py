@@ -5,6 +5,8 @@ from __future__ import annotations
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from perimeter.llm import decontamination as D
 
 TERM = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -84,3 +86,10 @@ def test_no_python_on_executors(spark, documents):
     table = spark.createDataFrame([(1, "a b c")], "item_id long, text string")
     plan = D.decontaminate(documents([(1, "a b c")]), table)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan.replace("LocalTableScan", "")
+
+
+def test_words_are_cut_not_matched(spark):
+    texts = ["", None, " a", "a ", "..A1b--É x\x00Z9 ", "Zoë's naïve 10-K", "\U0001f600 x\U0001f600y", "\x7f\x80 Q", "{[`~A^"]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").select("text", D.terms(F.col("text")).alias("w"))
+    assert [r["w"] for r in rows.collect()] == [_words(t) for t in texts]
+    assert "regexp_extract_all" not in rows._jdf.queryExecution().toString()
