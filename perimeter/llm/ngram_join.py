@@ -35,7 +35,7 @@ SKETCH_BITS, FILTER_BITS, CHUNKS = 22, 27, 64
 # One would do; by chance two texts share one far more often than several.
 EVIDENCE = 3
 # Bytes of text that are cut into words at once.
-PIECE = 1 << 20
+PIECE = 1 << 18
 LONG, INT, BINARY = pa.int64(), pa.int32(), pa.binary()
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -107,7 +107,7 @@ class Order:
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches of about a megabyte of text: words as objects need many times its memory."""
+    """Batches of some text: words as objects need many times its memory."""
     for batch in batches:
         sizes = np.cumsum(pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy(zero_copy_only=False))
         at = 0
@@ -116,6 +116,9 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             to = max(at + 1, int(np.searchsorted(sizes, before + PIECE, side="right")))
             yield batch.slice(at, to - at)
             at = to
+        # A worker is used again by later steps; what Arrow holds back would come on top of theirs.
+        del batch
+        pa.default_memory_pool().release_unused()
 
 
 def _batches(columns: tuple[str, ...], make: Callable) -> Callable:
@@ -457,7 +460,9 @@ def jaccard_components(
         cut = source.mapInArrow(
             _segments(words, fragments, order, wanted), "class long, fragment int, grams array<long>"
         )
-        return scratch.bucketed(cut, "segments", "class", "fragment")
+        found = scratch.bucketed(cut, "segments", "class", "fragment")
+        wanted.unpersist()
+        return found
 
     labels = None
     counted = None
