@@ -13,6 +13,7 @@ from perimeter import constants as K
 from perimeter.functions import scalars
 from perimeter.schemas import INGRESS_RULE, reading_schema
 from perimeter.sources import audit, batches, clustered, documents, loading
+from perimeter.sources.inventory import Inventory
 from perimeter.testbed import workspace
 from perimeter.testbed.registry import queries
 
@@ -169,3 +170,26 @@ def test_collections_of_a_query_are_stored_together(spark, fresh, monkeypatch):
     assert [sorted(names) for names in asked[1:]] == [["nsgdata", "nsgrules", "nsgvnic", "privateips", "publicips"]]
     orders = spark.read.parquet(f"{SF_DIR}/orders.parquet").count()
     assert fresh.loaded("vnics", "vnics").vnics.count() == orders
+
+
+def test_a_stopped_load_leaves_no_rows_behind(spark, fresh, monkeypatch):
+    measured = Inventory.profiled
+
+    def stopped(self, *rest):
+        raise RuntimeError("stopped")
+
+    monkeypatch.setattr(Inventory, "profiled", stopped)
+    with pytest.raises(RuntimeError):
+        fresh.only("subnets")
+    monkeypatch.setattr(Inventory, "profiled", measured)
+    customers = spark.read.parquet(f"{SF_DIR}/customer.parquet").count()
+    found = fresh.only("subnets")
+    assert found.subnets.count() == customers
+    assert len(found.ranges.files["subnets"]) == len(found.subnets.inputFiles())
+    assert loading.loaded_audit(spark, fresh.tables_dir).agg(F.sum("documents")).first()[0] == customers
+
+
+def test_a_query_on_exports_writes_those_that_it_reads(spark, fresh):
+    rows = queries()["tag_parent"](spark, SF_DIR)
+    assert rows.count() == spark.read.parquet(f"{SF_DIR}/orders.parquet").count()
+    assert {n.split("-")[0] for n in names(f"{fresh.root}/exports")} == {"privateips"}
