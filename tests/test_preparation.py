@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import time
 from collections import Counter
 from pathlib import Path
 
@@ -193,3 +194,24 @@ def test_a_query_on_exports_writes_those_that_it_reads(spark, fresh):
     rows = queries()["tag_parent"](spark, SF_DIR)
     assert rows.count() == spark.read.parquet(f"{SF_DIR}/orders.parquet").count()
     assert {n.split("-")[0] for n in names(f"{fresh.root}/exports")} == {"privateips"}
+
+
+def test_exports_leave_no_shuffled_rows_and_the_settings_of_the_session(spark, fresh):
+    def shuffled() -> set[str]:
+        found = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+        return {name for n in range(found.size()) if (name := found.apply(n).getName()).startswith("shuffle_")}
+
+    before = shuffled()
+    kept = {name: spark.conf.get(name) for name in workspace._WHILE_EXPORTED}
+    path = fresh.exports("nsgrules", "securitylists")
+    assert {name: spark.conf.get(name) for name in kept} == kept
+    for _ in range(100):
+        if not shuffled() - before:
+            break
+        time.sleep(0.1)
+    assert not shuffled() - before
+    line_items = spark.read.parquet(f"{SF_DIR}/lineitem.parquet").count()
+    assert spark.read.text(f"{path}/nsgrules-*").count() == line_items
+    rules = documents.readable("securitylists", documents.read_lines(spark, "securitylists", f"{path}/securitylists-*"))
+    listed = F.size(F.from_json("additional_details.ingressSecurityRules", "array<string>"))
+    assert rules.agg(F.sum(F.when(listed > 0, listed))).first()[0] == line_items
