@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from perimeter import constants as K
 from perimeter.functions import scalars
 from perimeter.schemas import INGRESS_RULE, reading_schema
-from perimeter.sources import audit, batches, clustered, documents, loading
+from perimeter.sources import audit, batches, clustered, documents, loading, regions, tables
 from perimeter.sources.inventory import Inventory
 from perimeter.testbed import workspace
 from perimeter.testbed.registry import queries
@@ -161,6 +161,29 @@ def test_a_line_is_parsed_once_and_reads_the_same(spark, tmp_path):
     assert below.count("from_json") == 1
 
 
+def test_lists_of_a_load_are_parsed_once_and_typed_the_same(spark, tmp_path):
+    lines = [f'{{"identifier":"sl","additional_details":{{"ingressSecurityRules":{text}}}}}' for text in ODD_LISTS]
+    (tmp_path / "securitylists-ten-r-1.jsonl").write_text("".join(f"{line}\n" for line in [*lines, "{}", lines[0] + " {}"]))
+    read = [
+        regions.regional_lines(spark, str(tmp_path), "securitylists", "ten", ["r-1"], with_lists=parsed)
+        for parsed in (False, True)
+    ]
+    apart, once = (tables.typed("securitylists", documents.readable("securitylists", lines)) for lines in read)
+    assert once.schema == apart.schema and list(map(str, once.collect())) == list(map(str, apart.collect()))
+    marks = [[r["_partial_document"] for r in lines.collect()] for lines in read]
+    assert marks[0] == marks[1] and set(marks[0]) == {True, False}
+    plan = once._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(scalars.PARSED_KEY) == apart._jdf.queryExecution().optimizedPlan().toString().count(scalars.PARSED_KEY) / 2
+
+
+def test_text_after_a_document_is_not_looked_for_where_only_fields_matter(spark, tmp_path):
+    (tmp_path / "f.jsonl").write_text('{"id":"a"} {"id":"b"}\n{}\n5\n{"id":NaN} x\n')
+    read = documents.read_lines(spark, "nsgrules", str(tmp_path / "f.jsonl"))
+    assert [r["id"] for r in documents.readable("nsgrules", read).collect()] == ["a", None, '"NaN"']
+    plan = documents.readable("nsgrules", read)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("isnotnull(_document") < plan.index("lengthOfJsonArray")
+
+
 def test_collections_of_a_query_are_stored_together(spark, fresh, monkeypatch):
     asked = []
     load = workspace.load_regional

@@ -7,6 +7,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from perimeter.operators import skew
 from perimeter.operators.skew import (
     count_copies,
     counted_join,
@@ -119,3 +120,19 @@ def test_copies_survive_counting_and_chunks(spark):
         again = expand_copies(counted, "copies", order, chunk)
         assert [r.name for r in again.collect()] == ["a"] * 3 + ["b"] * 25 + [None] * 2
     assert rows(expand_copies(counted, "copies")) == rows(df)
+
+
+def test_hot_keys_are_exact_whatever_share_of_keys_falls_into_a_group(spark, monkeypatch):
+    rows = [("a", f"k{n % 7}" if n % 7 else None, n % 3) for n in range(300)] + [("b", "k1", 200), ("b", None, 1)]
+    weighted = spark.createDataFrame(rows, "column string, key string, weight long")
+    weights: dict = {}
+    for column, key, weight in rows:
+        weights[column, key] = weights.get((column, key), 0) + weight
+    for groups in (1, 3, 1 << 14):
+        monkeypatch.setattr(skew, "KEY_GROUPS", groups)
+        for limit in (10, 42, 10_000):
+            expected: dict = {}
+            for (column, key), weight in weights.items():
+                if weight > limit:
+                    expected.setdefault(column, {})[key] = -(-weight // limit)
+            assert skew.measure_hot_keys(weighted, limit).splits == expected
