@@ -238,3 +238,55 @@ def test_exports_leave_no_shuffled_rows_and_the_settings_of_the_session(spark, f
     rules = documents.readable("securitylists", documents.read_lines(spark, "securitylists", f"{path}/securitylists-*"))
     listed = F.size(F.from_json("additional_details.ingressSecurityRules", "array<string>"))
     assert rules.agg(F.sum(F.when(listed > 0, listed))).first()[0] == line_items
+
+
+def test_a_load_leaves_no_shuffled_rows_and_the_settings_of_the_session(spark, fresh):
+    def shuffled() -> set[str]:
+        found = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+        return {name for n in range(found.size()) if (name := found.apply(n).getName()).startswith("shuffle_")}
+
+    before = shuffled()
+    kept = {name: spark.conf.get(name) for name in workspace._WHILE_LOADED}
+    fresh.only("nsgrules", "nsgvnic")
+    assert {name: spark.conf.get(name) for name in kept} == kept
+    for _ in range(100):
+        if not shuffled() - before:
+            break
+        time.sleep(0.1)
+    assert not shuffled() - before
+
+
+def test_lines_of_a_load_are_gone_through_once(spark, tmp_path):
+    """Braces tell whether a document ends its line; lists are parsed with their line."""
+    nested = '{"identifier":"a","additional_details":{"vcnId":"v","ingressSecurityRules":[{"source":"s","tcpOptions":{}}]}}'
+    lines = {
+        nested: False,
+        nested + "}": True,
+        nested[:-1]: True,
+        '{"identifier":"a"}}': True,
+        '{"identifier":"}","display_name":"x"}': False,
+        '{"identifier":"}"} }': True,
+        '{"identifier":"{","display_name":"b"}}': True,
+        '{"identifier":"a","more":{"x":{}}}': False,
+        '{"identifier":"a"}{"identifier":"b"}': True,
+        '[{"identifier":"a"}] }': True,
+        '{"additional_details":{},"additional_details":{}}': False,
+    }
+    for name in ("securitylists", "vnics", "nsgrules", "nsgvnic"):
+        (tmp_path / f"{name}-ten-r-1.jsonl").write_text("".join(f"{line}\n" for line in lines))
+        for with_lists in (False, True):
+            read = regions.regional_lines(spark, str(tmp_path), name, "ten", ["r-1"], with_lists=with_lists)
+            marks = dict(zip(lines, (r["_partial_document"] for r in read.collect()), strict=True))
+            assert marks == lines, (name, with_lists)
+    read = regions.regional_lines(spark, str(tmp_path), "securitylists", "ten", ["r-1"], with_lists=True)
+    plan = tables.typed("securitylists", documents.readable("securitylists", read))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode") == 1 and plan.count(f'concat({{"{documents._LINE_KEY}":[') == 1
+
+
+def test_ports_read_the_same_as_decimals(spark):
+    texts = ["22", "22.0", " 22", "22 ", "+22", "-1", "0", "007", "1e3", "2e", "22.5", "9" * 19, "9" * 30, "1_0", "1\u007f", "1x2", "٢", "", "x"]
+    rows = spark.createDataFrame([(t,) for t in [*texts, None]], "v string")
+    for bound in ("floor", "ceil"):
+        alone = f"try_cast({bound}(try_cast(v AS DECIMAL(38, 10))) AS BIGINT)"
+        for r in rows.selectExpr("v", f"{scalars.port('v', bound)} AS a", f"{alone} AS b").collect():
+            assert r["a"] == r["b"], r["v"]
